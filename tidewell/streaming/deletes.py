@@ -13,7 +13,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.operators.merge import Update, delete_in, merge_into
+from tidewell.operators.merge import MergeResult, Update, delete_in, merge_into
 
 DEADLINE_DAYS = 30
 
@@ -26,14 +26,18 @@ def delete_requests(feed: DataFrame, key: str = "customer_id", ts: str = "row_ti
                     F.lit("requested").alias("status")))
 
 
+def delete_downstream(deleted_keys: DataFrame, downstream: DataFrame, keys: Sequence[str]) -> MergeResult:
+    """Remove every downstream row of a deleted key (anti join; change rows by semi join)."""
+    return delete_in(downstream, deleted_keys.select(*keys).distinct(), keys)
+
+
+def mark_deleted(deleted_keys: DataFrame, requests: DataFrame, keys: Sequence[str]) -> MergeResult:
+    """``MERGE … WHEN MATCHED THEN UPDATE SET status = 'deleted'``."""
+    return merge_into(requests, deleted_keys.select(*keys).distinct(), list(keys),
+                      matched=[Update(None, {"status": "'deleted'"})], check_cardinality=False)
+
+
 def propagate_deletes(deleted_keys: DataFrame, downstream: DataFrame, requests: DataFrame,
-                      keys: Sequence[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Remove ``deleted_keys`` from ``downstream``; mark matching ``requests`` deleted.
-
-    Returns ``(downstream_state, downstream_changes, requests_state)``.
-    """
-    ks = deleted_keys.select(*keys).distinct()
-    down = delete_in(downstream, ks, keys)
-    req = merge_into(requests, ks, list(keys), matched=[Update(None, {"status": "'deleted'"})],
-                     check_cardinality=False).state
-    return down.state, down.changes, req
+                      keys: Sequence[str]) -> tuple[MergeResult, MergeResult]:
+    """Both effects of one batch of deletes: downstream rows removed, requests marked."""
+    return delete_downstream(deleted_keys, downstream, keys), mark_deleted(deleted_keys, requests, keys)
