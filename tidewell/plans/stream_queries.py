@@ -354,9 +354,9 @@ def q_delete_requests(spark, d):
     return _read(spark, run_available_now(delete_requests(src), "delete_requests"))
 
 
-@query("propagate_deletes", """
+@query("propagate_deletes", FEED_SQL + """
 SELECT o_orderkey AS order_id, o_custkey AS customer_id FROM orders
-WHERE o_custkey NOT IN (SELECT user_id FROM events WHERE event_type = 'error')
+WHERE o_custkey NOT IN (SELECT customer_id FROM feed WHERE _change_type = 'delete')
 """)
 def q_propagate_deletes(spark, d):
     """Delete rows from the change feed of customers remove that customer's orders

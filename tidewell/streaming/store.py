@@ -21,6 +21,7 @@ own directory and readers take the newest.
 
 from __future__ import annotations
 
+import json
 from typing import Callable, Sequence
 
 from pyspark.errors import AnalysisException
@@ -35,6 +36,7 @@ from tidewell.operators.merge import MergeResult
 class VersionedTable:
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = 64):
         self.spark, self.path, self.keys, self.buckets = spark, path.rstrip("/"), list(keys), buckets
+        self._schema: StructType | None = None
 
     # ---- layout ------------------------------------------------------------------
     def bucket_of(self) -> "F.Column":
@@ -74,7 +76,13 @@ class VersionedTable:
 
     # ---- API ------------------------------------------------------------------------
     def create(self, df: DataFrame) -> None:
-        """Version 0: every bucket of ``df`` (overwrites an earlier create)."""
+        """Version 0: every bucket of ``df`` (overwrites an earlier create).
+
+        The schema is stored next to the data, so an empty table has one too.
+        """
+        self._schema = df.schema
+        (self.spark.createDataFrame([(df.schema.json(),)], "value string").coalesce(1)
+         .write.mode("overwrite").text(f"{self.path}/schema"))
         self._write(0, df, None, all_buckets=True)
 
     def read(self, version: int | None = None, schema=None) -> DataFrame:
@@ -82,9 +90,11 @@ class VersionedTable:
             schema = self.schema()
         return self._state_rows(schema, self._live(version))
 
-    def schema(self):
-        st = self.spark.read.parquet(f"{self.path}/state")
-        return st.drop("v", "bucket").schema
+    def schema(self) -> StructType:
+        if self._schema is None:
+            text = self.spark.read.text(f"{self.path}/schema").first()[0]
+            self._schema = StructType.fromJson(json.loads(text))
+        return self._schema
 
     def changes(self, start: int | None = None, end: int | None = None) -> DataFrame:
         ch = self.spark.read.parquet(f"{self.path}/changes")
