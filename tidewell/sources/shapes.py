@@ -149,6 +149,25 @@ def price_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").cast("timestamp").alias("updated"))
 
 
+BOOK_STATUS_BY_EVENT = {"signup": "INSERT", "error": "DELETE"}  # every other type is "UPDATE"
+BOOK_CDC_DDL = ("book_id BIGINT, title STRING, author STRING, price DOUBLE, row_status STRING, "
+                "row_time TIMESTAMP")
+
+
+def books_cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Book change rows (``row_status`` INSERT/UPDATE/DELETE, ``row_time``) from ``events``."""
+    e = read_table(spark, sf_dir, "events")
+    status = F.lit("UPDATE")
+    for ev, st in reversed(list(BOOK_STATUS_BY_EVENT.items())):
+        status = F.when(F.col("event_type") == ev, F.lit(st)).otherwise(status)
+    return e.select(
+        F.col("user_id").alias("book_id"),
+        F.concat(F.lit("Book "), F.col("user_id").cast("string")).alias("title"),
+        F.concat(F.lit("Author "), F.pmod(F.col("user_id"), F.lit(10)).cast("string")).alias("author"),
+        F.col("value").alias("price"), status.alias("row_status"),
+        F.col("ts").cast("timestamp").alias("row_time"))
+
+
 def _envelope(df: DataFrame, topic: str, key: str, offset: Column, ts: Column) -> DataFrame:
     value = F.to_json(F.struct(*[F.col(c) for c in df.columns]), JSON_OPTS)
     return df.select(
