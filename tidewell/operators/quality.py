@@ -1,7 +1,8 @@
 """Quality rules: CHECK constraints and pipeline expectations.
 
-A rule set is ``{name: SQL predicate}``.  By SQL convention a rule whose
-predicate is NULL passes (``strict=True`` makes NULL fail).  Checks run in the
+A rule set is ``{name: SQL predicate}``.  For CHECK constraints a rule whose
+predicate is NULL passes, by SQL convention (``strict=True`` makes NULL fail);
+expectations behave like filters, so there NULL fails.  Checks run in the
 same job as the write: the violation raises inside the task that sees the row,
 so a write fails as a whole and leaves no committed output.  Counts are one
 aggregate, or ``observe`` metrics gathered while the data is written.
@@ -60,8 +61,9 @@ def ensure_valid(df: DataFrame, rules: Rules, strict: bool = False) -> None:
 
 
 def expect_drop(df: DataFrame, rules: Rules, observation: Observation | None = None) -> DataFrame:
-    """``ON VIOLATION DROP ROW``: keep passing rows; dropped count in ``observation``."""
-    ok = _all_ok(rules)
+    """``ON VIOLATION DROP ROW``: keep rows whose rules are all true (a NULL result
+    drops the row, as a filter does); dropped count in ``observation``."""
+    ok = _all_ok(rules, strict=True)
     if observation is not None:
         df = df.observe(observation, F.count(F.lit(1)).alias("input_rows"),
                         F.count_if(~ok).alias("dropped_rows"))
@@ -71,7 +73,7 @@ def expect_drop(df: DataFrame, rules: Rules, observation: Observation | None = N
 def expect_warn(df: DataFrame, rules: Rules, observation: Observation) -> DataFrame:
     """Keep every row; per-rule failure counts are reported through ``observation``."""
     return df.observe(observation, F.count(F.lit(1)).alias("input_rows"),
-                      *[F.count_if(~_ok(r)).alias(f"failed_{n}") for n, r in rules.items()])
+                      *[F.count_if(~_ok(r, strict=True)).alias(f"failed_{n}") for n, r in rules.items()])
 
 
 def assert_unique(df: DataFrame, keys) -> DataFrame:

@@ -2,9 +2,9 @@
 
 ``VersionedTable`` keeps a keyed table as versions of hash buckets:
 
-    <path>/state/v=<version>/bucket=<b>/part-*.parquet     rows of bucket b as of that version
-    <path>/changes/_commit_version=<version>/…             change rows of that commit
-    <path>/manifest/v=<version>/…                          (bucket, version) rows: the commit marker
+    <path>/state/_tw_version=<n>/_tw_bucket=<b>/part-*.parquet   rows of bucket b as of version n
+    <path>/changes/_commit_version=<n>/…                         change rows of that commit
+    <path>/manifest/_tw_version=<n>/…                            (bucket, version) rows: the commit marker
 
 A commit reads only the buckets its source rows hash to, applies a pure
 function ``(current_rows, source) -> MergeResult`` and writes those buckets
@@ -32,6 +32,9 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from tidewell.operators.changes import CT, CTS, CV
 from tidewell.operators.merge import MergeResult
 
+# partition columns of the layout (named so they cannot clash with table columns)
+V, B = "_tw_version", "_tw_bucket"
+
 
 class VersionedTable:
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = 64):
@@ -50,29 +53,32 @@ class VersionedTable:
 
     def latest_version(self) -> int | None:
         m = self._manifest()
-        return None if m is None else m.agg(F.max("v")).first()[0]
+        return None if m is None else m.agg(F.max(V)).first()[0]
 
     def _live(self, version: int | None, buckets: DataFrame | None = None) -> DataFrame | None:
         m = self._manifest()
         if m is None:
             return None
         if version is not None:
-            m = m.filter(F.col("v") <= version)
+            m = m.filter(F.col(V) <= version)
         if buckets is not None:
-            m = m.join(buckets, "bucket", "left_semi")
-        return m.groupBy("bucket").agg(F.max("v").alias("v"))
+            m = m.join(buckets, B, "left_semi")
+        return m.groupBy(B).agg(F.max(V).alias(V))
 
-    def _state_rows(self, schema, live: DataFrame | None) -> DataFrame:
+    def _state_rows(self, schema, live: DataFrame | None, version: int | None = None) -> DataFrame:
         if live is None:
             return self.spark.createDataFrame([], schema)
         try:
-            full = StructType(list(schema.fields) + [StructField("v", IntegerType()),
-                                                     StructField("bucket", IntegerType())])
+            full = StructType(list(schema.fields) + [StructField(V, IntegerType()),
+                                                     StructField(B, IntegerType())])
             st = self.spark.read.schema(full).parquet(f"{self.path}/state")
         except AnalysisException:
             return self.spark.createDataFrame([], schema)
+        if version is not None:
+            # static partition filter: a replayed commit never reads the directory it rewrites
+            st = st.filter(F.col(V) <= version)
         # (bucket, version) pairs: at most ``buckets`` rows → broadcast; prunes partitions
-        return st.join(F.broadcast(live), ["v", "bucket"], "left_semi").drop("v", "bucket")
+        return st.join(F.broadcast(live), [V, B], "left_semi").drop(V, B)
 
     # ---- API ------------------------------------------------------------------------
     def create(self, df: DataFrame) -> None:
@@ -88,7 +94,7 @@ class VersionedTable:
     def read(self, version: int | None = None, schema=None) -> DataFrame:
         if schema is None:
             schema = self.schema()
-        return self._state_rows(schema, self._live(version))
+        return self._state_rows(schema, self._live(version), version)
 
     def schema(self) -> StructType:
         if self._schema is None:
@@ -109,28 +115,28 @@ class VersionedTable:
                commit_ts: "F.Column | None" = None) -> None:
         """Apply ``apply(current_rows_of_touched_buckets, source)`` as ``version``."""
         schema = self.schema()
-        touched_rows = source.select(self.bucket_of().alias("bucket")).distinct()
+        touched_rows = source.select(self.bucket_of().alias(B)).distinct()
         touched = [r[0] for r in touched_rows.collect()]  # at most ``buckets`` ints
         if not touched:
             return
-        tb = self.spark.createDataFrame([(b,) for b in touched], "bucket int")
-        current = self._state_rows(schema, self._live(version - 1, tb))
+        tb = self.spark.createDataFrame([(b,) for b in touched], f"{B} int")
+        current = self._state_rows(schema, self._live(version - 1, tb), version - 1)
         result = apply(current, source)
         self._write(version, result.state, result.changes, touched=touched, commit_ts=commit_ts)
 
     def _write(self, version: int, state: DataFrame, changes: DataFrame | None,
                touched: Sequence[int] | None = None, all_buckets: bool = False,
                commit_ts: "F.Column | None" = None) -> None:
-        (state.withColumn("bucket", self.bucket_of())
-         .repartition("bucket").write.mode("overwrite").partitionBy("bucket")
-         .parquet(f"{self.path}/state/v={version}"))
+        (state.withColumn(B, self.bucket_of())
+         .repartition(B).write.mode("overwrite").partitionBy(B)
+         .parquet(f"{self.path}/state/{V}={version}"))
         if changes is not None:
             ts = commit_ts if commit_ts is not None else F.current_timestamp()
             (changes.withColumn(CTS, ts).write.mode("overwrite")
              .parquet(f"{self.path}/changes/{CV}={version}"))
         buckets = list(range(self.buckets)) if all_buckets else list(touched or [])
-        (self.spark.createDataFrame([(b,) for b in buckets], "bucket int").coalesce(1)
-         .write.mode("overwrite").parquet(f"{self.path}/manifest/v={version}"))
+        (self.spark.createDataFrame([(b,) for b in buckets], f"{B} int").coalesce(1)
+         .write.mode("overwrite").parquet(f"{self.path}/manifest/{V}={version}"))
 
 
 class EpochTable:
