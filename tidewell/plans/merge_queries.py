@@ -290,3 +290,36 @@ def q_merge_status(spark, d):
     done = (feed.filter(f"row_status = 'delete' AND row_time < {SPLIT}").select("customer_id").distinct())
     return merge_into(req, done, ["customer_id"], matched=[Update(None, {"status": "'deleted'"})],
                       check_cardinality=False).state
+
+
+@query("scd1_upsert_cdf", None)
+def q_scd1_upsert_cdf(spark, d):
+    """Newest-wins upsert fed by change-feed rows (insert / update_postimage), composite
+    key, ``_commit_timestamp`` kept as ``processed_timestamp``; two commits."""
+    from tidewell.plans.version_queries import V15, customer_change_feed
+    feed = (customer_change_feed(spark, d)
+            .withColumnRenamed("_commit_timestamp", "processed_timestamp"))
+    keys = ["customer_id", "country_code"]
+    cols = [c for c in feed.columns if c not in ("_change_type", "_commit_version")]
+    target = _empty_like(spark, feed.select(*cols))
+
+    def step(tgt, part):
+        src = part.drop("_commit_version")
+        r = cdc.scd1_upsert(tgt, src, keys, "processed_timestamp", status_col="_change_type",
+                            statuses=("insert", "update_postimage"), method="rank")
+        return r.state
+
+    s1 = step(target, feed.filter(F.col("_commit_version") <= V15))
+    return step(s1, feed.filter(F.col("_commit_version") > V15))
+
+
+def _register_cdf_oracle():
+    from tidewell.plans.registry import ORACLES
+    from tidewell.plans.version_queries import FC, FEED_SQL
+    ORACLES["scd1_upsert_cdf"] = (FEED_SQL + f"""
+SELECT {FC}, _commit_timestamp AS processed_timestamp FROM (
+  SELECT *, row_number() OVER (PARTITION BY customer_id, country_code ORDER BY _commit_timestamp DESC) AS rn
+  FROM feed WHERE _change_type IN ('insert', 'update_postimage')) x WHERE rn = 1""").strip()
+
+
+_register_cdf_oracle()

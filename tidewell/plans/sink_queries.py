@@ -138,3 +138,19 @@ def q_expire_partitions_archive(spark, d):
     archive = scratch_path(spark, "archive-orders")
     L.expire_partitions(spark, name, "year_month", "1998-01", archive)
     return spark.read.parquet(archive).select("o_orderkey", "o_custkey", "year_month")
+
+
+INLINE_VALUES = [(100001, "Customer#100001", 3, 12.5), (100002, "Customer#100002", 7, -4.0),
+                 (100003, "Customer#100003", 24, 0.0)]
+
+
+@query("inline_rows", "SELECT c_custkey, c_name, c_nationkey, c_acctbal FROM customer UNION ALL "
+       + "SELECT * FROM (VALUES " + ", ".join(f"({k}, '{n}', {c}, {b})" for k, n, c, b in INLINE_VALUES)
+       + ") v(c_custkey, c_name, c_nationkey, c_acctbal)")
+def q_inline_rows(spark, d):
+    """``INSERT INTO t VALUES (…), (…)`` into a table created from ``customer``."""
+    name = _name("customers_t")
+    W.ctas(read_table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal"), name)
+    values = ", ".join(f"({k}, '{n}', {c}, {b})" for k, n, c, b in INLINE_VALUES)
+    spark.sql(f"INSERT INTO {name} VALUES {values}")
+    return spark.table(name)
