@@ -57,3 +57,40 @@ def test_restore_and_diff(spark):
     assert (3, "delete") in kinds and (1, "update_postimage") in kinds
     summary = {r["_commit_version"]: r for r in C.commit_summary(feed).collect()}
     assert summary[3]["delete"] == 1 and summary[3]["update_postimage"] == 1
+
+
+def test_scd2_hot_key_over_many_chunks(spark):
+    import random
+    rnd = random.Random(7)
+    data = []
+    t = 0
+    for _ in range(400):  # one key holds most rows, prices often repeat
+        t += 1
+        k = 1 if rnd.random() < 0.8 else rnd.randint(2, 6)
+        p = rnd.choice([1.0, 2.0, None, 2.0, 3.0])
+        data.append((k, "x", p, t))
+    data += [(9, "x", None, 1), (9, "x", 1.0, 2), (9, "x", 2.0, 3)]  # NULL in force never differs
+    feed = spark.createDataFrame(data, DDL)
+    chunked = scd2_history(feed, "book_id", "price", "updated", ["title"], chunks=16)
+    single = scd2_history(feed, "book_id", "price", "updated", ["title"], chunks=1)
+    key0 = lambda r: tuple((x is None, x if x is not None else 0) for x in r)
+    assert sorted(map(tuple, chunked.collect()), key=key0) == sorted(map(tuple, single.collect()), key=key0)
+    # reference model, key by key in time order
+    expect = []
+    for k in sorted({r[0] for r in data}):
+        cur = None
+        seen = False
+        opened = []
+        for _, title, p, ts in sorted((r for r in data if r[0] == k), key=lambda r: r[3]):
+            if not seen:
+                opened.append([p, ts])
+                cur, seen = p, True
+            elif p is not None and cur is not None and p != cur:
+                opened.append([p, ts])
+                cur = p
+        for i, (p, ts) in enumerate(opened):
+            end = opened[i + 1][1] if i + 1 < len(opened) else None
+            expect.append((k, "x", p, end is None, ts, end))
+    key = lambda r: tuple((x is None, x if x is not None else 0) for x in r)
+    assert sorted(map(tuple, chunked.collect()), key=key) == sorted(expect, key=key)
+    assert len([r for r in expect if r[0] == 9]) == 1

@@ -20,7 +20,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 from typing import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CHANGE_TYPE = "_change_type"
@@ -86,8 +86,13 @@ def merge_into(target: DataFrame, source: DataFrame, on: Sequence[str] | Mapping
 
     src = source
     if check_cardinality and matched:
-        # rows per source key: the shuffle is the one the joins need anyway
-        src = src.withColumn("_s_n", F.count(F.lit(1)).over(Window.partitionBy(*skeys)))
+        # keys with several source rows: a partial aggregate (hot keys combine map-side),
+        # joined back; usually tiny, so adaptive execution broadcasts it
+        dups = (source.groupBy(*skeys).agg(F.count(F.lit(1)).alias("_s_n"))
+                .filter(F.col("_s_n") > 1)
+                .select(*[F.col(k).alias(f"_dk{i}") for i, k in enumerate(skeys)], "_s_n"))
+        src = (src.join(dups, [F.col(k).eqNullSafe(F.col(f"_dk{i}")) for i, k in enumerate(skeys)], "left")
+               .select(*source.columns, F.coalesce(F.col("_s_n"), F.lit(1)).alias("_s_n")))
     t = target.alias("t")
     s = src.alias("s")
     cond = _on(on, extra_condition)

@@ -8,8 +8,16 @@ version at the update's time.  A key never seen before is inserted from its
 first update.  With an empty target the same function builds the whole
 history from a feed (``scd2_history``).
 
-Only current target rows and the batch take part in the window; closed rows
-pass through untouched.
+Only current target rows and the batch take part in the sequencing; closed
+rows pass through untouched.
+
+Plan: the per-key sequence is cut into contiguous chunks by range
+partitioning (``sequence_chunks``), so a key holding a large share of all rows
+is spread over many tasks.  Each chunk computes its local predecessor /
+successor values with windows over ``(key, chunk)``; what a chunk needs from
+earlier or later chunks of the same key (last value in force, whether any row
+came before, the next version's start) comes from a per-chunk summary that has
+at most (keys + chunks) rows.
 """
 
 from __future__ import annotations
@@ -19,38 +27,71 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewell.operators.window import sequence_chunks
+
 CURRENT, EFFECTIVE, END = "current", "effective_date", "end_date"
+CH = "_chunk"
 
 
-def scd2_apply(target: DataFrame | None, updates: DataFrame, key: str, tracked: str, ts: str,
-               attrs: Sequence[str] = ()) -> DataFrame:
+def _sequence(target: DataFrame | None, updates: DataFrame, key: str, tracked: str, ts: str,
+              attrs: Sequence[str]):
     cols = [key, *attrs, tracked]
     out_cols = [*cols, CURRENT, EFFECTIVE, END]
     upd = updates.select(*cols, F.col(ts).alias(EFFECTIVE), F.lit(1).alias("_src"))
-    if target is not None:
-        closed = target.filter(~F.coalesce(F.col(CURRENT), F.lit(False))).select(*out_cols)
-        cur = target.filter(F.col(CURRENT)).select(*cols, EFFECTIVE, F.lit(0).alias("_src"))
-        seq = cur.unionByName(upd)
-    else:
-        closed = None
-        seq = upd
-    w = Window.partitionBy(key).orderBy(EFFECTIVE, "_src")
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    prev = F.last(F.col(tracked), ignorenulls=True).over(before)
-    n_before = F.count(F.lit(1)).over(before)
-    starts = seq.withColumn(
-        "_start", (F.col("_src") == 0) | (n_before == 0)
-        | F.coalesce(F.col(tracked) != prev, F.lit(False)))
-    versions = starts.filter("_start")
-    w2 = Window.partitionBy(key).orderBy(EFFECTIVE, "_src")
-    nxt = F.lead(EFFECTIVE).over(w2)
-    versions = versions.select(*cols, EFFECTIVE, nxt.alias(END)).select(
-        *cols, F.col(END).isNull().alias(CURRENT), EFFECTIVE, END)
+    if target is None:
+        return None, upd, cols
+    closed = target.filter(~F.coalesce(F.col(CURRENT), F.lit(False))).select(*out_cols)
+    cur = target.filter(F.col(CURRENT)).select(*cols, EFFECTIVE, F.lit(0).alias("_src"))
+    return closed, cur.unionByName(upd), cols
+
+
+def scd2_apply(target: DataFrame | None, updates: DataFrame, key: str, tracked: str, ts: str,
+               attrs: Sequence[str] = (), chunks: int | None = None) -> DataFrame:
+    closed, seq, cols = _sequence(target, updates, key, tracked, ts, attrs)
+    seq = sequence_chunks(seq, [key], [EFFECTIVE, "_src"], chunks, CH)
+    order = [F.col(EFFECTIVE), F.col("_src")]
+    local = Window.partitionBy(key, CH).orderBy(*order)
+    before = local.rowsBetween(Window.unboundedPreceding, -1)
+    stamp = F.struct(F.col(EFFECTIVE), F.col("_src"))
+
+    # ---- pass 1: which rows start a version --------------------------------------------
+    nonnull = F.when(F.col(tracked).isNotNull(), F.struct(stamp.alias("o"), F.col(tracked).alias("v")))
+    per_chunk = (seq.groupBy(key, CH)
+                 .agg(F.max(nonnull).alias("_last"), F.count(F.lit(1)).alias("_n"),
+                      F.min(F.struct(stamp.alias("o"), F.col(tracked).isNull().alias("z"))).alias("_first")))
+    by_chunk = Window.partitionBy(key).orderBy(CH)
+    earlier = by_chunk.rowsBetween(Window.unboundedPreceding, -1)
+    # a key whose first version holds NULL keeps it: NULL <> x is never true
+    carried = per_chunk.select(
+        key, CH,
+        F.last(F.col("_last.v"), ignorenulls=True).over(earlier).alias("_carry_v"),
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_carry_n"),
+        F.first(F.col("_first.z")).over(by_chunk.rowsBetween(Window.unboundedPreceding, 0))
+        .alias("_null_first"))
+    marked = (seq.withColumn("_prev_local", F.last(F.col(tracked), ignorenulls=True).over(before))
+              .withColumn("_n_local", F.count(F.lit(1)).over(before))
+              .join(carried, [key, CH], "left"))
+    prev = F.coalesce(F.col("_prev_local"), F.col("_carry_v"))
+    n_before = F.col("_n_local") + F.coalesce(F.col("_carry_n"), F.lit(0))
+    starts = marked.filter((F.col("_src") == 0) | (n_before == 0)
+                           | (~F.col("_null_first") & F.coalesce(F.col(tracked) != prev, F.lit(False))))
+    starts = starts.select(*cols, EFFECTIVE, "_src", CH)
+
+    # ---- pass 2: each version ends where the key's next version starts -------------------
+    first_start = starts.groupBy(key, CH).agg(F.min(stamp).alias("_first"))
+    later = Window.partitionBy(key).orderBy(CH).rowsBetween(1, Window.unboundedFollowing)
+    nxt_chunk = first_start.select(key, CH, F.first(F.col("_first." + EFFECTIVE), ignorenulls=True)
+                                   .over(later).alias("_next_chunk"))
+    versions = (starts.withColumn("_next_local", F.lead(EFFECTIVE).over(local))
+                .join(nxt_chunk, [key, CH], "left")
+                .withColumn(END, F.coalesce(F.col("_next_local"), F.col("_next_chunk")))
+                .select(*cols, F.col(END).isNull().alias(CURRENT), EFFECTIVE, END))
     return versions if closed is None else closed.unionByName(versions)
 
 
-def scd2_history(feed: DataFrame, key: str, tracked: str, ts: str, attrs: Sequence[str] = ()) -> DataFrame:
-    return scd2_apply(None, feed, key, tracked, ts, attrs)
+def scd2_history(feed: DataFrame, key: str, tracked: str, ts: str, attrs: Sequence[str] = (),
+                 chunks: int | None = None) -> DataFrame:
+    return scd2_apply(None, feed, key, tracked, ts, attrs, chunks)
 
 
 def scd2_current(table: DataFrame, key: str, tracked: str, attrs: Sequence[str] = ()) -> DataFrame:

@@ -6,8 +6,10 @@ Two plans for the same question:
   aggregate, so each map task combines its rows before the shuffle and a hot key
   costs one row per task, not a sort of all its rows.  Ties in the order columns
   are broken by the remaining columns (deterministic).
-* ``method="rank"``: ``rank() = 1`` over a window, the form the reference
-  uses; ties are all kept, so downstream MERGE may see duplicates.
+* ``method="rank"``: the rows ``rank() = 1`` would keep (ties all kept, as
+  the reference does, so downstream MERGE may see duplicates).  Planned as a
+  per-key maximum (partial aggregate) semi-joined back, so a hot key is split
+  by adaptive skew handling instead of being sorted in one window task.
 """
 
 from __future__ import annotations
@@ -22,6 +24,11 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] |
                    method: str = "max_by") -> DataFrame:
     order = [order_by] if isinstance(order_by, str) else list(order_by)
     if method == "rank":
+        top = df.groupBy(*keys).agg(F.max(F.struct(*[F.col(c) for c in order])).alias("_top"))
+        top = top.select(*keys, *[F.col(f"_top.{c}").alias(f"_top_{c}") for c in order])
+        cond = [df[k].eqNullSafe(top[k]) for k in keys] + [df[c].eqNullSafe(top[f"_top_{c}"]) for c in order]
+        return df.join(top, cond, "left_semi")
+    if method == "window_rank":
         w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
         return df.withColumn("_rank", F.rank().over(w)).filter("_rank = 1").drop("_rank")
     if method != "max_by":
@@ -33,3 +40,24 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] |
     return (df.groupBy(*keys).agg(F.max_by(row, ordering).alias("_r"))
             .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
             .select(*df.columns))
+
+
+def sequence_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunks: int | None = None,
+                    name: str = "_chunk") -> DataFrame:
+    """Split each key's ordered rows into contiguous chunks.
+
+    Range partitioning on ``(keys…, order…)`` puts consecutive runs of the
+    sort order in one partition, so a key with many rows spans several
+    partitions; the partition id numbers the chunks in order.  Per-key
+    sequential computations then run per ``(key, chunk)`` and carry values
+    across chunk borders through a small per-chunk summary.
+
+    Range bounds come from sampling, so two evaluations could cut differently;
+    the assignment is therefore checkpointed (reliably, under the cluster's
+    checkpoint folder) and every consumer reads the same chunks.
+    """
+    from tidewell.session import checkpoint_root
+    checkpoint_root(df.sparkSession)  # makes sure a checkpoint folder is set
+    n = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (df.repartitionByRange(n, *keys, *order).withColumn(name, F.spark_partition_id())
+            .checkpoint(eager=True))

@@ -61,6 +61,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = tempfile.mkdtemp(prefix="tidewell-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", root)
+    if not spark.sparkContext.getCheckpointDir():
+        # DataFrame.checkpoint() writes under the context's folder: the same shared place
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
