@@ -35,9 +35,10 @@ def scd1_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], seque
     """
     src = source if status_col is None else source.filter(F.col(status_col).isin(*statuses))
     src = latest_per_key(src, keys, sequence_by, method=method)
+    # max_by leaves one row per key, so only the tie-keeping rank form needs the duplicate check
     return merge_into(target, src, list(keys),
                       matched=[Update(F.col(f"t.{sequence_by}") < F.col(f"s.{sequence_by}"))],
-                      not_matched=[Insert()])
+                      not_matched=[Insert()], check_cardinality=(method != "max_by"))
 
 
 def cdc_apply(target: DataFrame, source: DataFrame, keys: Sequence[str], sequence_by: str,
@@ -49,4 +50,4 @@ def cdc_apply(target: DataFrame, source: DataFrame, keys: Sequence[str], sequenc
     return merge_into(target, src, list(keys),
                       matched=[Delete(is_del),
                                Update(F.col(f"t.{sequence_by}") < F.col(f"s.{sequence_by}"))],
-                      not_matched=[Insert(~is_del)])
+                      not_matched=[Insert(~is_del)], check_cardinality=False)  # unique by construction

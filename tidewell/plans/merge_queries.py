@@ -10,6 +10,7 @@ from tidewell.operators.merge import (Delete, Insert, Update, delete_in, delete_
                                       merge_into, update_where)
 from tidewell.plans.common import CUSTOMER_FEED_CTE, CUSTOMERS_CTE, with_ctes
 from tidewell.plans.registry import query
+from tidewell.session import checkpoint_root
 from tidewell.sources import shapes
 from tidewell.sources.tables import read_table
 
@@ -140,6 +141,13 @@ def q_dedup_upsert(spark, d):
     return merge_insert_only(loaded, batch, ["order_id", "order_timestamp"]).state
 
 
+def commit(df):
+    """The state a first commit leaves behind, written (reliable checkpoint) before the next
+    commit reads it, as a table write would be; cuts the lineage between commits."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def _empty_like(spark, df):
     return spark.createDataFrame([], df.schema)
 
@@ -165,7 +173,7 @@ def q_scd1_upsert(spark, d):
     src1, src2 = _customers_silver_src(spark, d, first), _customers_silver_src(spark, d, second)
     cols = ["customer_id", "email", "first_name", "city", "country", "balance", "row_time"]
     target = _empty_like(spark, src1.select(*cols))
-    s1 = cdc.scd1_upsert(target, src1, ["customer_id"], "row_time").state
+    s1 = commit(cdc.scd1_upsert(target, src1, ["customer_id"], "row_time").state)
     return cdc.scd1_upsert(s1, src2, ["customer_id"], "row_time").state
 
 
@@ -179,7 +187,7 @@ WHERE rn = 1 AND row_status <> 'delete'
 @query("cdc_apply", APPLY_SQL)
 def q_cdc_apply(spark, d):
     first, second = _feed_halves(spark, d)
-    state = cdc.apply_changes(first, ["customer_id"], "row_time", "row_status = 'delete'")
+    state = commit(cdc.apply_changes(first, ["customer_id"], "row_time", "row_status = 'delete'"))
     return cdc.cdc_apply(state, second, ["customer_id"], "row_time").state
 
 
@@ -309,7 +317,8 @@ def q_scd1_upsert_cdf(spark, d):
                             statuses=("insert", "update_postimage"), method="rank")
         return r.state
 
-    s1 = step(target, feed.filter(F.col("_commit_version") <= V15))
+    feed = commit(feed)
+    s1 = commit(step(target, feed.filter(F.col("_commit_version") <= V15)))
     return step(s1, feed.filter(F.col("_commit_version") > V15))
 
 

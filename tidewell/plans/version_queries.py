@@ -154,7 +154,9 @@ def q_scd2_history(spark, d):
 @query("scd2_upsert", SCD2_SQL + f"SELECT {SCD2_COLS} FROM hist")
 def q_scd2_upsert(spark, d):
     f = shapes.price_feed(spark, d)
-    first = scd2_history(f.filter(f"updated < {SPLIT}"), "book_id", "price", "updated", ["title", "author"])
+    from tidewell.plans.merge_queries import commit
+    first = commit(scd2_history(f.filter(f"updated < {SPLIT}"), "book_id", "price", "updated",
+                                ["title", "author"]))
     return scd2_apply(first, f.filter(f"updated >= {SPLIT}"), "book_id", "price", "updated",
                       ["title", "author"])
 
