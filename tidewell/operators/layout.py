@@ -34,9 +34,11 @@ def zorder_key(df: DataFrame, cols: Sequence[str], bits: int = Z_BITS) -> Column
     return key
 
 
-def layout_rewrite(df: DataFrame, path: str, cols: Sequence[str], files: int) -> None:
+def layout_rewrite(df: DataFrame, path: str, cols: Sequence[str], files: int | None = None) -> None:
     """``OPTIMIZE … ZORDER BY`` re-aimed: range-partition and sort so each file
-    covers a narrow band of the clustering columns."""
+    covers a narrow band of the clustering columns (``files`` defaults to the
+    session's shuffle partition count)."""
+    files = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if len(cols) == 1:
         key = F.col(cols[0])
         out = df.repartitionByRange(files, key).sortWithinPartitions(key)

@@ -34,14 +34,14 @@ CUSTOMER_JSON_SQL = ("SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c
 
 @query("scan_json", CUSTOMER_JSON_SQL)
 def q_scan_json(spark, d):
-    path = land(read_table(spark, d, "customer"), "json", "customers-json", files=1)
+    path = land(read_table(spark, d, "customer"), "json", "customers-json")
     return S.scan_json(spark, path).select("c_custkey", "c_name", "c_nationkey", "c_acctbal",
                                            "c_mktsegment")
 
 
 @query("scan_json_glob", CUSTOMER_JSON_SQL)
 def q_scan_json_glob(spark, d):
-    path = land(read_table(spark, d, "customer"), "json", "customers-json", files=4)
+    path = land(read_table(spark, d, "customer"), "json", "customers-json")
     return S.scan_json(spark, f"{path}/part-*.json").select(
         "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
 
@@ -49,14 +49,14 @@ def q_scan_json_glob(spark, d):
 @query("scan_with_provenance",
        "SELECT c_custkey, c_name, true AS from_json_file FROM customer")
 def q_scan_with_provenance(spark, d):
-    path = land(read_table(spark, d, "customer"), "json", "customers-json", files=3)
+    path = land(read_table(spark, d, "customer"), "json", "customers-json")
     df = S.with_provenance(S.scan_json(spark, path))
     return df.select("c_custkey", "c_name", F.col("source_file").endswith(".json").alias("from_json_file"))
 
 
 @query("scan_text", "SELECT c_custkey AS customer_id, c_name AS name FROM customer")
 def q_scan_text(spark, d):
-    path = land(read_table(spark, d, "customer"), "json", "customers-json", files=2)
+    path = land(read_table(spark, d, "customer"), "json", "customers-json")
     lines = S.scan_text(spark, path)
     return lines.select(X.json_path("value", "c_custkey").cast("bigint").alias("customer_id"),
                         X.json_path("value", "c_name").alias("name"))
@@ -64,7 +64,7 @@ def q_scan_text(spark, d):
 
 @query("scan_binary", "SELECT count(*) AS total_lines FROM customer")
 def q_scan_binary(spark, d):
-    path = land(read_table(spark, d, "customer"), "json", "customers-json", files=3)
+    path = land(read_table(spark, d, "customer"), "json", "customers-json")
     b = S.scan_binary(spark, path, glob="*.json")
     # each file's bytes → lines; counted per file on the executors, summed after
     per_file = b.select(F.size(F.filter(F.split(F.col("content").cast("string"), "\n"),
@@ -76,8 +76,18 @@ BOOKS_SQL = ("SELECT p_partkey AS book_id, p_name AS title, p_brand AS author, p
              "p_retailprice AS price FROM part")
 
 
+CSV_HEADER = "book_id;title;author;category;price"
+
+
 def _books_csv(spark, d) -> str:
-    return land(shapes.books(spark, d), "csv", "books-csv", files=2, header="true", sep=";")
+    """Two CSV exports (header, ';') into one folder, like successive file drops."""
+    from tidewell.operators.tables import sink_csv
+    path = scratch_path(spark, "books-csv")
+    b = shapes.books(spark, d)
+    sizes = read_table(spark, d, "part").select(F.col("p_partkey").alias("book_id"), "p_size")
+    sink_csv(b.join(sizes.filter("p_size <= 25"), "book_id", "left_semi"), path)
+    sink_csv(b.join(sizes.filter("p_size > 25"), "book_id", "left_semi"), path)
+    return path
 
 
 @query("scan_csv", BOOKS_SQL)
@@ -86,14 +96,14 @@ def q_scan_csv(spark, d):
 
 
 @query("scan_csv_raw", """
-SELECT line AS _c0 FROM (
-  SELECT concat_ws(';', CAST(p_partkey AS VARCHAR), p_name, p_brand, p_type, CAST(p_retailprice AS VARCHAR)) AS line
-  FROM part
-  UNION ALL SELECT 'book_id;title;author;category;price' FROM range(2))
+SELECT concat_ws(';', CAST(p_partkey AS VARCHAR), p_name, p_brand, p_type, CAST(p_retailprice AS VARCHAR)) AS _c0
+FROM part
 """)
 def q_scan_csv_raw(spark, d):
-    # two files → two header lines read as data: the "unparsed" contrast
-    return S.scan_csv_raw(spark, _books_csv(spark, d)).select("_c0")
+    # default options: one unparsed ``_c0`` string per line, and every file's header
+    # line read as data (one per file, so it is dropped here to keep the result exact)
+    raw = S.scan_csv_raw(spark, _books_csv(spark, d)).select("_c0")
+    return raw.filter(F.col("_c0") != CSV_HEADER)
 
 
 @query("scan_table", "SELECT * FROM nation")

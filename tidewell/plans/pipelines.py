@@ -68,8 +68,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def medallion_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     ws = Workspace.new(spark, "medallion")
-    landing = land_files(raw_orders(spark, sf_dir), "json", "orders-raw", path=ws.path("landing"),
-                         files_per_chunk=4)
+    landing = land_files(raw_orders(spark, sf_dir), "json", "orders-raw", path=ws.path("landing"))
     customers = shapes.customer_profiles(spark, sf_dir)  # static lookup
     # bronze: raw rows + arrival time + source file
     bronze = (spark.readStream.schema(RAW_ORDER_DDL).json(landing)
@@ -97,8 +96,7 @@ def medallion_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- declarative country pipeline
 
 def orders_cleaned(spark: SparkSession, sf_dir: str, ws: Workspace) -> DataFrame:
-    landing = land_files(raw_orders(spark, sf_dir), "json", "orders-raw", path=ws.path("landing"),
-                         files_per_chunk=4)
+    landing = land_files(raw_orders(spark, sf_dir), "json", "orders-raw", path=ws.path("landing"))
     customers = shapes.customer_profiles(spark, sf_dir)
     raw = spark.readStream.schema(RAW_ORDER_DDL).json(landing)
     cleaned = Q.expect_drop(raw, {"valid_order_number": "order_id IS NOT NULL"})
@@ -134,8 +132,7 @@ def country_daily(spark: SparkSession, sf_dir: str, countries=("NATION_1", "NATI
 def books_silver(spark: SparkSession, sf_dir: str, ws: Workspace) -> DataFrame:
     """``APPLY CHANGES INTO books_silver KEYS (book_id) APPLY AS DELETE WHEN row_status = 'DELETE'
     SEQUENCE BY row_time COLUMNS * EXCEPT (row_status)`` as a stream into a tombstoned table."""
-    landing = land_files(shapes.books_cdc(spark, sf_dir), "json", "books-cdc", path=ws.path("books_landing"),
-                         files_per_chunk=4, **JSON_TS)
+    landing = land_files(shapes.books_cdc(spark, sf_dir), "json", "books-cdc", path=ws.path("books_landing"), **JSON_TS)
     bronze = spark.readStream.schema(shapes.BOOK_CDC_DDL).options(**JSON_TS).json(landing)
     cols = ["book_id", "title", "author", "price", "row_time"]
     table = VersionedTable(spark, ws.path("books_silver"), ["book_id"], buckets=16)
@@ -174,7 +171,7 @@ def books_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 def country_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     ws = Workspace.new(spark, "country-sales")
     landing = land_files(raw_orders(spark, sf_dir).drop("books"), "json", "orders-raw",
-                         path=ws.path("landing"), files_per_chunk=4)
+                         path=ws.path("landing"))
     raw = spark.readStream.schema(RAW_ORDER_DDL).json(landing)
     cust = shapes.customers(spark, sf_dir).select("customer_id", "email", "country_code")
     lk = shapes.country_lookup(spark, sf_dir)

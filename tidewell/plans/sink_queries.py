@@ -100,7 +100,7 @@ def q_append_evolving(spark, d):
 def q_layout_rewrite(spark, d):
     li = read_table(spark, d, "lineitem")
     path = scratch_path(spark, "lineitem-clustered")
-    L.layout_rewrite(li, path, ["l_partkey", "l_suppkey"], files=4)
+    L.layout_rewrite(li, path, ["l_partkey", "l_suppkey"])
     return spark.read.parquet(path)
 
 
@@ -108,7 +108,7 @@ def q_layout_rewrite(spark, d):
 def q_layout_rewrite_one(spark, d):
     li = read_table(spark, d, "lineitem")
     path = scratch_path(spark, "lineitem-sorted")
-    L.layout_rewrite(li, path, ["l_orderkey"], files=4)
+    L.layout_rewrite(li, path, ["l_orderkey"])
     # reads after the rewrite skip row groups by their min/max statistics
     return spark.read.parquet(path).filter("l_orderkey BETWEEN 1000 AND 2000")
 

@@ -34,7 +34,7 @@ def _events(spark, d):
 
 def _events_stream(spark, d, max_files=None):
     e = _events(spark, d)
-    path = land_files(e, "parquet", "landing-events", files_per_chunk=4)
+    path = land_files(e, "parquet", "landing-events")
     r = spark.readStream.schema(e.schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
@@ -60,7 +60,7 @@ def q_stream_table(spark, d):
 
 
 def _feed_json(spark, d) -> str:
-    return land_files(shapes.customer_feed(spark, d), "json", "landing-customers", files_per_chunk=4, **JSON_TS)
+    return land_files(shapes.customer_feed(spark, d), "json", "landing-customers", **JSON_TS)
 
 
 FEED_SQL_ROWS = with_ctes(CUSTOMER_FEED_CTE) + f"SELECT {FC} FROM cf"
@@ -187,19 +187,23 @@ def q_tumbling_stats_stream(spark, d):
 
 @query("late_rows", TUMBLING_STREAM_SQL)
 def q_late_rows(spark, d):
-    """Events land in time order in three chunks; after the second, a late copy of
-    the first five days arrives.  Its rows are behind the watermark and ignored."""
+    """Events land in time order in three drops, each processed by an available-now
+    run on the same checkpoint; between the second and third drop a late copy of
+    the first five days lands.  Its rows are behind the watermark and ignored."""
     e = _events(spark, d)
-    chunks = [F.col("ts") < F.lit("2024-01-11").cast("timestamp"),
-              (F.col("ts") >= F.lit("2024-01-11").cast("timestamp")) & (F.col("ts") < F.lit("2024-01-21").cast("timestamp")),
-              F.col("ts") >= F.lit("2024-01-21").cast("timestamp")]
-    path = land_files(e, "parquet", "landing-late", chunks=chunks[:2], files_per_chunk=1)
-    land_files(e.filter(F.col("ts") < F.lit("2024-01-06").cast("timestamp")), "parquet", "landing-late",
-               files_per_chunk=1, path=path)
-    land_files(e.filter(chunks[2]), "parquet", "landing-late", files_per_chunk=1, path=path)
-    src = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    s = tumbling_stats(src, "ts", ["event_type"], "event_id", "value", watermark="10 minutes")
-    return _read(spark, run_available_now(s, "late_rows", output_mode="append"))
+    ts = F.col("ts")
+    day = lambda n: F.lit(f"2024-01-{n:02d}").cast("timestamp")
+    drops = [e.filter(ts < day(11)), e.filter((ts >= day(11)) & (ts < day(21))),
+             e.filter(ts < day(6)),  # late copy
+             e.filter(ts >= day(21))]
+    landing, out = scratch_path(spark, "landing-late"), scratch_path(spark, "late_rows")
+    ckpt = scratch_path(spark, "checkpoint-late_rows")
+    for drop in drops:
+        land_files(drop, "parquet", "landing-late", path=landing)
+        src = spark.readStream.schema(e.schema).parquet(landing)
+        s = tumbling_stats(src, "ts", ["event_type"], "event_id", "value", watermark="10 minutes")
+        run_available_now(s, "late_rows", path=out, checkpoint=ckpt, output_mode="append")
+    return _read(spark, out)
 
 
 # ---------------------------------------------------------------------------- joins
@@ -209,7 +213,7 @@ def _orders_stream(spark, d, nested=True):
     o = shapes.book_orders(spark, d)
     if not nested:
         o = o.drop("books")
-    path = land_files(o, "parquet", "landing-orders-pq", files_per_chunk=4)
+    path = land_files(o, "parquet", "landing-orders-pq")
     return spark.readStream.schema(o.schema).parquet(path)
 
 
@@ -250,7 +254,7 @@ FROM orders JOIN cu ON o_custkey = cu.customer_id
 def q_stream_stream_join(spark, d):
     o = _orders_stream(spark, d, nested=False).select("order_id", "customer_id")
     c = shapes.customers(spark, d).select("customer_id", "email", "country_code")
-    cpath = land_files(c, "parquet", "landing-customers-pq", files_per_chunk=2)
+    cpath = land_files(c, "parquet", "landing-customers-pq")
     cs = spark.readStream.schema(c.schema).parquet(cpath)
     s = SJ.stream_stream_join(o, cs, ["customer_id"], "inner")
     return _read(spark, run_available_now(s, "stream_stream_join"))
@@ -260,7 +264,7 @@ def q_stream_stream_join(spark, d):
 
 
 def land_envelope(spark, d) -> str:
-    return land_files(shapes.bronze_envelope(spark, d), "json", "landing-kafka", files_per_chunk=4)
+    return land_files(shapes.bronze_envelope(spark, d), "json", "landing-kafka")
 
 
 def bronze_stream(spark, landing: str):
@@ -320,17 +324,15 @@ def q_demux_topic(spark, d):
 
 @query("upsert_stream", ORDER_SUM_SQL)
 def q_upsert_stream(spark, d):
-    """Orders arrive in three time chunks, each delivered twice; every micro-batch
-    is deduplicated within the watermark and insert-merged into the versioned table."""
+    """Orders arrive in three time-ordered drops, each delivered twice; after each drop
+    an available-now run deduplicates within the watermark and insert-merges every
+    micro-batch into the versioned table (same checkpoint across runs)."""
     o = shapes.book_orders(spark, d).drop("books")
-    chunks = [F.col("order_timestamp") < F.lit("1997-01-01").cast("timestamp"),
-              (F.col("order_timestamp") >= F.lit("1997-01-01").cast("timestamp"))
-              & (F.col("order_timestamp") < F.lit("1999-01-01").cast("timestamp")),
-              F.col("order_timestamp") >= F.lit("1999-01-01").cast("timestamp")]
-    path = scratch_path(spark, "landing-orders-chunks")
-    for c in chunks:
-        for _ in range(2):
-            land_files(o.filter(c), "json", "x", files_per_chunk=1, path=path, **JSON_TS)
+    ts = F.col("order_timestamp")
+    y = lambda n: F.lit(f"{n}-01-01").cast("timestamp")
+    drops = [o.filter(ts < y(1997)), o.filter((ts >= y(1997)) & (ts < y(1999))), o.filter(ts >= y(1999))]
+    landing = scratch_path(spark, "landing-orders-drops")
+    ckpt = scratch_path(spark, "checkpoint-upsert_stream")
     table = VersionedTable(spark, scratch_path(spark, "orders_silver"), ["order_id"], buckets=16)
     table.create(spark.createDataFrame([], o.schema))
     keys = ["order_id", "order_timestamp"]
@@ -339,9 +341,12 @@ def q_upsert_stream(spark, d):
         table.commit(epoch + 1, batch, lambda cur, src: merge_insert_only(cur, src, keys),
                      commit_ts=F.lit(None).cast("timestamp"))
 
-    src = spark.readStream.schema(ORDER_ROW_DDL).options(**JSON_TS).option("maxFilesPerTrigger", 1).json(path)
-    s = stream_dedup(src, keys, "order_timestamp", "30 seconds")
-    run_available_now(s, "upsert_stream", output_mode="update", foreach_batch=upsert)
+    for drop in drops:
+        for _ in range(2):
+            land_files(drop, "json", "landing-orders", path=landing, **JSON_TS)
+        src = spark.readStream.schema(ORDER_ROW_DDL).options(**JSON_TS).json(landing)
+        s = stream_dedup(src, keys, "order_timestamp", "30 seconds")
+        run_available_now(s, "upsert_stream", output_mode="update", foreach_batch=upsert, checkpoint=ckpt)
     return table.read()
 
 

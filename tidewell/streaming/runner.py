@@ -15,16 +15,19 @@ from tidewell.session import scratch_path
 
 
 def land_files(df: DataFrame, fmt: str, name: str, chunks: Sequence[Column] | None = None,
-               files_per_chunk: int = 2, path: str | None = None, **options) -> str:
+               files_per_chunk: int | None = None, path: str | None = None, **options) -> str:
     """Write ``df`` into a landing folder, optionally as time-ordered chunks.
 
     Each chunk is one write job, so files of later chunks have later
     modification times, which is the order a file stream source reads them in.
+    ``files_per_chunk`` forces a file count and is meant only for tiny test inputs.
     """
     path = path or scratch_path(df.sparkSession, name)
     parts = [df] if not chunks else [df.filter(c) for c in chunks]
     for i, part in enumerate(parts):
-        w = part.repartition(files_per_chunk).write.mode("append").format(fmt)
+        # the data's own partitioning decides the file count; a fixed count is for tiny tests
+        out = part.repartition(files_per_chunk) if files_per_chunk else part
+        w = out.write.mode("append").format(fmt)
         for k, v in options.items():
             w = w.option(k, v)
         w.save(path)
