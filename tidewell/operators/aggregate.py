@@ -50,5 +50,24 @@ def collect_sorted_set(col: str | Column) -> Column:
 
 
 def flatten_distinct(col: str | Column) -> Column:
-    """``array_distinct(flatten(collect_set(arr)))`` sorted."""
+    """``array_distinct(flatten(collect_set(arr)))`` sorted, as one aggregate expression.
+
+    It gathers every distinct array of a group in one task before flattening;
+    ``distinct_elements`` computes the same set without that.
+    """
     return F.array_sort(F.array_distinct(F.flatten(F.collect_set(col))))
+
+
+def distinct_elements(df: DataFrame, keys: Sequence[str], array_col: str | Column,
+                      name: str) -> DataFrame:
+    """Per group, the sorted distinct elements of an array column (``flatten_distinct``).
+
+    Planned as explode → ``distinct`` on (keys, element) → collect: the distinct
+    step is a partial aggregate hashed on the element too, so a group holding a
+    large share of all rows is deduplicated across many tasks, and the final
+    collect receives at most one row per distinct element.  A group whose arrays
+    are all NULL or empty gets an empty array.
+    """
+    arr = F.col(array_col) if isinstance(array_col, str) else array_col
+    pairs = df.select(*keys, F.explode_outer(arr).alias("_e")).distinct()
+    return pairs.groupBy(*keys).agg(F.array_sort(F.collect_list("_e")).alias(name))

@@ -31,7 +31,9 @@ def cdc_change_feed(feed: DataFrame, keys: Sequence[str], seq: str, status: str,
     keys = list(keys)
     data_cols = [c for c in feed.columns if c not in keys and c not in drop]
     v = feed.withColumn(CV, version)
-    commit_ts = v.groupBy(CV).agg(F.max(seq).alias(CTS))  # one row per commit
+    # one row per commit; a plain join, so adaptive execution broadcasts it after
+    # measuring its real size and shuffles it otherwise
+    commit_ts = v.groupBy(CV).agg(F.max(seq).alias(CTS))
     rest = [c for c in data_cols if c != seq]
     last = (v.groupBy(*keys, CV)
             .agg(F.max_by(F.struct(*[F.col(c) for c in data_cols]),
@@ -47,7 +49,7 @@ def cdc_change_feed(feed: DataFrame, keys: Sequence[str], seq: str, status: str,
         .when(now_live & prev_live, F.array(row("_prev", "update_preimage"), row("_now", "update_postimage"))) \
         .when(~now_live & prev_live, F.array(row("_prev", "delete")))
     changes = per.select(CV, F.explode(events).alias("r")).select("r.*", CV)
-    return changes.join(F.broadcast(commit_ts), CV).select(*keys, *data_cols, CT, CV, CTS)
+    return changes.join(commit_ts, CV).select(*keys, *data_cols, CT, CV, CTS)
 
 
 def changes_between(feed: DataFrame, start: int, end: int | None = None) -> DataFrame:

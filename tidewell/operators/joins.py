@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # a lookup side is broadcast only when it has at most this many rows
-BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_ROWS = 200_000
 
 
 def bounded_rows(df: DataFrame, max_rows: int) -> bool:

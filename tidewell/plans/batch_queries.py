@@ -301,7 +301,8 @@ def q_collect_sets(spark, d):
     o = shapes.book_orders(spark, d)
     return o.groupBy("customer_id").agg(
         F.array_join(G.collect_sorted_set("order_id").cast("array<string>"), ",").alias("orders_set"),
-        F.size(F.collect_set("books.book_id")).alias("n_book_lists"))
+        # distinct arrays counted by a distributed distinct aggregate, not gathered in a set
+        F.count_distinct(F.col("books.book_id")).cast("int").alias("n_book_lists"))
 
 
 @query("flatten_sets", """
@@ -311,8 +312,8 @@ FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_custkey
 """)
 def q_flatten_sets(spark, d):
     o = shapes.book_orders(spark, d)
-    s = F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.col("books.book_id").cast("array<string>")))))
-    return o.groupBy("customer_id").agg(F.array_join(s, ",").alias("books_set"))
+    s = G.distinct_elements(o, ["customer_id"], F.col("books.book_id").cast("array<string>"), "books")
+    return s.select("customer_id", F.array_join("books", ",").alias("books_set"))
 
 
 # ---------------------------------------------------------------------------- SQL UDFs

@@ -6,19 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.functions.scalar import day_bucket
+from tidewell.operators.joins import broadcast_lookup
 from tidewell.plans.registry import query
 from tidewell.sources import shapes
 from tidewell.sources.tables import read_table
 
 
 def customer_countries(spark: SparkSession, sf_dir: str, country: str | None = None) -> DataFrame:
-    """``customer_id, email, name, country``; the nation lookup has 25 rows by
-    definition of the schema, so it is broadcast without a size probe."""
+    """``customer_id, email, name, country``; the nation lookup is broadcast
+    only after its row count is checked (``broadcast_lookup``)."""
     cust = shapes.customers(spark, sf_dir).select("customer_id", "email", "name", "country_code")
     lookup = shapes.country_lookup(spark, sf_dir)
     if country is not None:
         lookup = lookup.filter(F.col("country") == country)
-    return (cust.join(F.broadcast(lookup), F.col("country_code") == F.col("code"), "inner")
+    return (broadcast_lookup(cust, lookup, F.col("country_code") == F.col("code"), "inner")
             .drop("code", "country_code"))
 
 
@@ -47,11 +48,17 @@ def country_day_stats_for(spark: SparkSession, sf_dir: str, country: str) -> Dat
 
 def materialize_customers_orders(spark: SparkSession, sf_dir: str) -> str:
     """Write the silver ``customers_orders`` table, partitioned by country (the
-    view's filter column), under the checkpoint root; return its path."""
+    view's filter column), under the checkpoint root; return its path.
+
+    The ``rebalance`` hint shuffles rows by country, so each write task covers
+    few country directories, and adaptive execution splits a country that holds
+    a large share of all rows into advisory-size partitions (and merges small
+    ones) instead of writing it from one task.
+    """
     from tidewell.session import scratch_path
     path = scratch_path(spark, "customers_orders")
-    (customers_orders(spark, sf_dir).drop("books")
-     .repartition("country").write.partitionBy("country").parquet(path))
+    (customers_orders(spark, sf_dir).drop("books").hint("rebalance", "country")
+     .write.partitionBy("country").parquet(path))
     return path
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidewell.operators import cdc
 from tidewell.operators.changes import snapshot_diff
+from tidewell.operators.joins import broadcast_lookup
 from tidewell.operators.merge import (Delete, Insert, Update, delete_in, delete_where, merge_insert_only,
                                       merge_into, update_where)
 from tidewell.plans.common import CUSTOMER_FEED_CTE, CUSTOMERS_CTE, with_ctes
@@ -154,7 +155,7 @@ def _empty_like(spark, df):
 
 def _customers_silver_src(spark, d, f):
     lk = shapes.country_lookup(spark, d)
-    return (f.join(F.broadcast(lk), F.col("country_code") == F.col("code"), "inner")
+    return (broadcast_lookup(f, lk, F.col("country_code") == F.col("code"), "inner")
             .select("customer_id", "email", "first_name", "city", "country", "balance", "row_status",
                     "row_time"))
 

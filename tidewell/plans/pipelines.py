@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tidewell.functions.scalar import day_bucket, json_path, unix_seconds_to_ts
 from tidewell.operators import quality as Q
 from tidewell.operators.cdc import scd1_upsert
+from tidewell.operators.joins import broadcast_lookup
 from tidewell.operators.merge import MergeResult, merge_insert_only
 from tidewell.operators.scd2 import scd2_apply, scd2_current
 from tidewell.operators.window import latest_per_key
@@ -177,7 +178,7 @@ def country_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     lk = shapes.country_lookup(spark, sf_dir)
     cleaned = Q.expect_drop(raw.join(cust, "customer_id", "left"), {"valid_email": "email IS NOT NULL"})
     ws.run(cleaned.select("order_id", "customer_id", "email", "country_code", "total"), "cleaned")
-    c = spark.read.parquet(ws.path("cleaned")).join(F.broadcast(lk), F.col("country_code") == F.col("code"))
+    c = broadcast_lookup(spark.read.parquet(ws.path("cleaned")), lk, F.col("country_code") == F.col("code"))
     return c.groupBy("country").agg(F.count("order_id").alias("orders_count"),
                                     F.sum("total").alias("total_amount"))
 
@@ -199,8 +200,8 @@ def full_pipeline(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     customers = VersionedTable(spark, ws.path("customers_silver"), ["customer_id"], buckets=16)
     customers.create(spark.createDataFrame([], "customer_id bigint, email string, first_name string, city string, "
                                                 "country string, balance double, row_time timestamp"))
-    cust_src = (demux(bronze(), "customers", shapes.CUSTOMER_DDL)
-                .join(F.broadcast(lookup), F.col("country_code") == F.col("code"), "inner")
+    cust_src = (broadcast_lookup(demux(bronze(), "customers", shapes.CUSTOMER_DDL), lookup,
+                                 F.col("country_code") == F.col("code"), "inner")
                 .select(*cust_cols, "row_status"))
 
     def upsert_customers(batch, epoch):

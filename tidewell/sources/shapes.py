@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewell.operators.joins import broadcast_lookup
 from tidewell.sources.tables import read_table
 
 # Customer change statuses by event type, and the JSON time format
@@ -91,7 +92,7 @@ def customer_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.concat(F.lit("street "), F.col("c_custkey").cast("string")).alias("street"),
                  F.concat(F.lit("city "), F.col("c_nationkey").cast("string")).alias("city"),
                  F.col("n_name").alias("country")).alias("address")))
-    return (c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "left")
+    return (broadcast_lookup(c, n, c.c_nationkey == n.n_nationkey, "left")
             .select(F.col("c_custkey").alias("customer_id"),
                     customer_email(F.col("c_custkey"), F.col("c_mktsegment"), F.col("c_nationkey"),
                                    F.col("c_acctbal")).alias("email"),

@@ -127,8 +127,11 @@ class VersionedTable:
     def _write(self, version: int, state: DataFrame, changes: DataFrame | None,
                touched: Sequence[int] | None = None, all_buckets: bool = False,
                commit_ts: "F.Column | None" = None) -> None:
-        (state.withColumn(B, self.bucket_of())
-         .repartition(B).write.mode("overwrite").partitionBy(B)
+        # rows go to write tasks by bucket, so each task writes few bucket folders;
+        # adaptive execution splits a bucket holding a hot key into advisory-size
+        # partitions instead of writing it from one task
+        (state.withColumn(B, self.bucket_of()).hint("rebalance", B)
+         .write.mode("overwrite").partitionBy(B)
          .parquet(f"{self.path}/state/{V}={version}"))
         if changes is not None:
             ts = commit_ts if commit_ts is not None else F.current_timestamp()
