@@ -26,13 +26,24 @@ DEFAULT_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
 }
 
+# Streaming state (dedup keys, open windows, stream-stream join buffers) lives in
+# RocksDB on executor disk instead of the JVM heap, with changelog checkpoints so
+# a micro-batch uploads only its changes.  A query restarted from a checkpoint keeps
+# the provider it was started with (Spark stores it in the offset log).
+STATE_STORE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+_SPARK_DEFAULT_PROVIDER = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "tidewell", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
+    conf = {**DEFAULT_CONF, **STATE_STORE_CONF}
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -45,8 +56,13 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def apply_defaults(spark: SparkSession) -> None:
-    """Pin the settings results depend on (time zone) on an existing session."""
+    """Pin the settings results depend on (time zone) on an existing session, and
+    use the RocksDB state store unless the session chose a provider of its own."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if spark.conf.get(key, _SPARK_DEFAULT_PROVIDER) == _SPARK_DEFAULT_PROVIDER:
+        for k, v in STATE_STORE_CONF.items():
+            spark.conf.set(k, v)
 
 
 def checkpoint_root(spark: SparkSession) -> str:
