@@ -244,28 +244,43 @@ def full_pipeline(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     run_available_now(book_src, "books_silver", foreach_batch=upsert_books, checkpoint=ws.checkpoint("books_silver"))
     current_books = scd2_current(books.read(), "book_id", "price", ["title", "author"])
 
-    # task 6: customers_orders = orders ⋈ customer change rows (insert / update_postimage)
+    # task 6: customers_orders = each order with its customer's newest version from the
+    # customer change feed (insert / update_postimage rows), newest-wins per (order, customer).
+    # A stream-stream join of orders with every change row of their customer would pair each
+    # order with all versions of its customer (quadratic for a busy customer) before the upsert
+    # keeps one.  Instead one stream carries both feeds, and per micro-batch
+    #   new orders ⋈ the newest version of each customer so far, and
+    #   the newest version of each customer changed in the batch ⋈ that customer's orders;
+    # each order meets at most one customer row per side.
     cf_schema = spark.read.parquet(customers.path + "/changes").schema
-    cust_changes = (spark.readStream.schema(cf_schema).parquet(customers.path + "/changes")
-                    .filter(F.col("_change_type").isin("insert", "update_postimage"))
-                    .drop("_change_type", "_commit_version")
-                    .withColumnRenamed("_commit_timestamp", "processed_timestamp"))
+    versions = lambda df: (df.filter(F.col("_change_type").isin("insert", "update_postimage"))
+                           .drop("_change_type", "_commit_version")
+                           .withColumnRenamed("_commit_timestamp", "processed_timestamp"))
+    newest = lambda df: latest_per_key(df, ["customer_id"], "row_time")
+    cust_changes = versions(spark.readStream.schema(cf_schema).parquet(customers.path + "/changes"))
+    order_cols5 = ["order_id", "order_timestamp", "customer_id", "quantity", "total"]
     o_schema = spark.read.parquet(orders.path + "/changes").schema
     order_changes = (spark.readStream.schema(o_schema).parquet(orders.path + "/changes")
-                     .filter(F.col("_change_type") == "insert")
-                     .select("order_id", "order_timestamp", "customer_id", "quantity", "total"))
+                     .filter(F.col("_change_type") == "insert").select(*order_cols5))
+    cust_cols = cust_changes.columns
+    both = (order_changes.withColumn("_side", F.lit("order"))
+            .unionByName(cust_changes.withColumn("_side", F.lit("customer")), allowMissingColumns=True))
     co_cols = ["order_id", "order_timestamp", "customer_id", "quantity", "total", "email", "first_name",
                "city", "country", "balance", "row_time", "processed_timestamp"]
     co = VersionedTable(spark, ws.path("customers_orders"), ["order_id", "customer_id"], buckets=16)
-    joined = order_changes.join(cust_changes, "customer_id", "inner").select(*co_cols)
-    co.create(spark.createDataFrame([], joined.schema))
+    co.create(spark.createDataFrame([], both.select(*co_cols).schema))
 
     def upsert_co(batch, epoch):
-        co.commit(epoch + 1, batch, lambda cur, src: scd1_upsert(
-            cur, src, ["order_id", "customer_id"], "row_time", status_col=None),
+        new_orders = batch.filter(F.col("_side") == "order").select(*order_cols5)
+        changed = newest(batch.filter(F.col("_side") == "customer").select(*cust_cols))
+        known = newest(versions(customers.changes()))  # committed customer versions, re-read per batch
+        src = (new_orders.join(known, "customer_id").select(*co_cols)
+               .unionByName(orders.read().select(*order_cols5).join(changed, "customer_id").select(*co_cols)))
+        co.commit(epoch + 1, src, lambda cur, s: scd1_upsert(
+            cur, s, ["order_id", "customer_id"], "row_time", status_col=None),
             commit_ts=F.lit(None).cast("timestamp"))
 
-    run_available_now(joined, "customers_orders", foreach_batch=upsert_co,
+    run_available_now(both, "customers_orders", foreach_batch=upsert_co,
                       checkpoint=ws.checkpoint("customers_orders"))
 
     # task 7: books_sales = order items ⋈ current books (static side re-read per batch)
