@@ -72,3 +72,32 @@ def test_versioned_table_hot_bucket_roundtrip(spark):
     t.commit(1, src, lambda cur, s: merge_insert_only(cur, s, ["k", "n"]))
     assert t.read().count() == 2000
     assert t.read().filter("k = 0").count() == 1500
+
+
+def test_newest_version_join_equals_pairwise_join(spark):
+    import random
+    from tidewell.operators.cdc import scd1_upsert
+    from tidewell.operators.window import latest_per_key
+    from tidewell.streaming.joins import newest_version_join
+    rnd = random.Random(7)
+    # customer 0 is hot: many versions and many orders
+    facts = [(i, rnd.choice([0, 0, 0, 1, 2, 3])) for i in range(120)]
+    dims = [(c, t, f"v{c}-{t}") for c in range(4) for t in rnd.sample(range(1000), 25 if c == 0 else 4)]
+    fact_schema, dim_schema = "order_id INT, customer_id INT", "customer_id INT, row_time INT, email STRING"
+    cols = ["order_id", "customer_id", "row_time", "email"]
+    batches = [([f for f in facts if f[0] % 3 == b], [d for d in dims if d[1] % 3 == b]) for b in range(3)]
+
+    state = spark.createDataFrame([], "order_id INT, customer_id INT, row_time INT, email STRING")
+    seen_f, seen_d = [], []
+    for new_f, new_d in batches:
+        seen_f += new_f
+        seen_d += new_d
+        src = newest_version_join(spark.createDataFrame(new_f, fact_schema), spark.createDataFrame(new_d, dim_schema),
+                                  spark.createDataFrame(seen_d, dim_schema), spark.createDataFrame(seen_f, fact_schema),
+                                  "customer_id", "row_time").select(*cols)
+        state = spark.createDataFrame(
+            scd1_upsert(state, src, ["order_id", "customer_id"], "row_time", status_col=None).state.collect(), state.schema)
+
+    pairs = spark.createDataFrame(facts, fact_schema).join(spark.createDataFrame(dims, dim_schema), "customer_id")
+    expected = latest_per_key(pairs.select(*cols), ["order_id", "customer_id"], "row_time")
+    assert rows(state, *cols) == rows(expected, *cols)

@@ -19,11 +19,11 @@ from tidewell.operators.cdc import scd1_upsert
 from tidewell.operators.joins import broadcast_lookup
 from tidewell.operators.merge import MergeResult, merge_insert_only
 from tidewell.operators.scd2 import scd2_apply, scd2_current
-from tidewell.operators.window import latest_per_key
 from tidewell.plans.gold import country_day_stats_of
 from tidewell.session import scratch_path
 from tidewell.sources import shapes
 from tidewell.streaming.cdc import DELETED, apply_changes_batch, live_rows
+from tidewell.streaming.joins import newest_version_join
 from tidewell.streaming.runner import land_files, run_available_now
 from tidewell.streaming.stateful import stream_dedup, tumbling_stats
 from tidewell.streaming.store import EpochTable, VersionedTable
@@ -256,7 +256,6 @@ def full_pipeline(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     versions = lambda df: (df.filter(F.col("_change_type").isin("insert", "update_postimage"))
                            .drop("_change_type", "_commit_version")
                            .withColumnRenamed("_commit_timestamp", "processed_timestamp"))
-    newest = lambda df: latest_per_key(df, ["customer_id"], "row_time")
     cust_changes = versions(spark.readStream.schema(cf_schema).parquet(customers.path + "/changes"))
     order_cols5 = ["order_id", "order_timestamp", "customer_id", "quantity", "total"]
     o_schema = spark.read.parquet(orders.path + "/changes").schema
@@ -271,11 +270,11 @@ def full_pipeline(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     co.create(spark.createDataFrame([], both.select(*co_cols).schema))
 
     def upsert_co(batch, epoch):
-        new_orders = batch.filter(F.col("_side") == "order").select(*order_cols5)
-        changed = newest(batch.filter(F.col("_side") == "customer").select(*cust_cols))
-        known = newest(versions(customers.changes()))  # committed customer versions, re-read per batch
-        src = (new_orders.join(known, "customer_id").select(*co_cols)
-               .unionByName(orders.read().select(*order_cols5).join(changed, "customer_id").select(*co_cols)))
+        src = newest_version_join(
+            batch.filter(F.col("_side") == "order").select(*order_cols5),
+            batch.filter(F.col("_side") == "customer").select(*cust_cols),
+            versions(customers.changes()),  # committed customer versions, re-read per batch
+            orders.read().select(*order_cols5), "customer_id", "row_time").select(*co_cols)
         co.commit(epoch + 1, src, lambda cur, s: scd1_upsert(
             cur, s, ["order_id", "customer_id"], "row_time", status_col=None),
             commit_ts=F.lit(None).cast("timestamp"))

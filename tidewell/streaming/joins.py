@@ -6,6 +6,9 @@
   once, when it is created).  Only stream rows trigger output.
 * stream–stream: both sides buffered in state; give watermarks and a time
   bound to let Spark drop old state.
+* newest-version join: facts joined with the newest version of their
+  dimension row, maintained from both sides per micro-batch without pairing
+  a fact with every version of its dimension key.
 """
 
 from __future__ import annotations
@@ -14,6 +17,8 @@ from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 
+from tidewell.operators.window import latest_per_key
+
 
 def stream_static_join(stream: DataFrame, static: DataFrame, on, how: str = "inner") -> DataFrame:
     return stream.join(static, on, how)
@@ -44,3 +49,22 @@ def stream_stream_join(left: DataFrame, right: DataFrame, on: Sequence[str] | Co
             return left.join(right, cond, how).drop(right[on[0]]) if len(on) == 1 else left.join(right, cond, how)
         return left.join(right, on & cond, how)
     return left.join(right, on, how)
+
+
+def newest_version_join(new_facts: DataFrame, changed_dims: DataFrame, known_dims: DataFrame,
+                        all_facts: DataFrame, key: str, sequence_by: str) -> DataFrame:
+    """One micro-batch of ``fact ⋈ newest dimension version`` rows for a newest-wins table.
+
+    ``new_facts`` and ``changed_dims`` are the batch's new fact rows and dimension
+    versions; ``known_dims`` are all dimension versions committed so far and
+    ``all_facts`` all facts so far.  New facts meet the newest known version of
+    their key; the newest version of each key changed in the batch meets that
+    key's facts.  Each fact meets at most one dimension row per side, so a key
+    with many versions costs one row per fact, not one per (fact, version).
+    Upserted newest-wins on ``sequence_by`` (``scd1_upsert``), the batches give the
+    same table as joining every fact with every version and keeping the newest.
+    """
+    def newest(d: DataFrame) -> DataFrame:
+        return latest_per_key(d, [key], sequence_by)
+    return (new_facts.join(newest(known_dims), key)
+            .unionByName(all_facts.join(newest(changed_dims), key)))
