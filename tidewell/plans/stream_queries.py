@@ -368,7 +368,7 @@ def q_propagate_deletes(spark, d):
     downstream and mark the delete requests done, one micro-batch at a time."""
     feed = customer_change_feed(spark, d)
     feed_path = scratch_path(spark, "customers-changes")
-    feed.write.partitionBy("_commit_version").parquet(feed_path)
+    feed.hint("rebalance", "_commit_version").write.partitionBy("_commit_version").parquet(feed_path)
     orders = read_table(spark, d, "orders").select(F.col("o_orderkey").alias("order_id"),
                                                    F.col("o_custkey").alias("customer_id"))
     down = VersionedTable(spark, scratch_path(spark, "customers_orders"), ["customer_id"], buckets=16)
@@ -392,7 +392,7 @@ def q_propagate_deletes(spark, d):
 @query("stream_changes", FEED_SQL + f"SELECT * FROM feed WHERE _commit_version >= {V15}")
 def q_stream_changes(spark, d):
     path = scratch_path(spark, "customers-changes")
-    customer_change_feed(spark, d).write.partitionBy("_commit_version").parquet(path)
+    customer_change_feed(spark, d).hint("rebalance", "_commit_version").write.partitionBy("_commit_version").parquet(path)
     schema = spark.read.parquet(path).schema
     s = spark.readStream.schema(schema).parquet(path).filter(F.col("_commit_version") >= V15)
     return _read(spark, run_available_now(s, "stream_changes"))
