@@ -24,6 +24,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # a small dimension is broadcast only below this many bytes
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # reliable checkpoints (lineage cuts in the shared folder) are removed once unreferenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 # Streaming state (dedup keys, open windows, stream-stream join buffers) lives in

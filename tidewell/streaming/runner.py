@@ -1,8 +1,13 @@
 """Running Structured Streaming queries to completion and landing input files.
 
-Queries run with ``trigger(availableNow=True)``: every file present at start
-is processed (in as many micro-batches as the source options allow), then the
-query stops.  Checkpoints and outputs live under the shared checkpoint root.
+By default queries run with ``trigger(availableNow=True)``: every file present
+at start is processed (in as many micro-batches as the source options allow),
+then the query stops.  ``trigger="once"`` does the same in one micro-batch; a
+processing-time interval (``"10 seconds"``) or ``trigger=None`` (Spark's default:
+the next batch as soon as the last one ends) start a continuous query, which
+runs until the data present has been processed (``processAllAvailable``) and
+is then stopped; a long-running deployment would keep it running instead.
+Checkpoints and outputs live under the shared checkpoint root.
 """
 
 from __future__ import annotations
@@ -37,12 +42,23 @@ def land_files(df: DataFrame, fmt: str, name: str, chunks: Sequence[Column] | No
 def run_available_now(sdf: DataFrame, name: str, *, path: str | None = None, fmt: str = "parquet",
                       output_mode: str = "append", partition_by: Sequence[str] | None = None,
                       foreach_batch: Callable[[DataFrame, int], None] | None = None,
-                      checkpoint: str | None = None, timeout_s: int = 600) -> str:
-    """Run a streaming DataFrame to the end of the available input; return the output path."""
+                      checkpoint: str | None = None, timeout_s: int = 600,
+                      trigger: str | None = "available_now") -> str:
+    """Run a streaming DataFrame to the end of the available input; return the output path.
+
+    ``trigger``: ``"available_now"`` (default), ``"once"``, a processing-time
+    interval such as ``"5 seconds"``, or ``None`` for Spark's default trigger.
+    """
     spark: SparkSession = sdf.sparkSession
     checkpoint = checkpoint or scratch_path(spark, f"checkpoint-{name}")
     w = sdf.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True)
+    finite = trigger in ("available_now", "once")
+    if trigger == "available_now":
+        w = w.trigger(availableNow=True)
+    elif trigger == "once":
+        w = w.trigger(once=True)
+    elif trigger is not None:
+        w = w.trigger(processingTime=trigger)
     if foreach_batch is not None:
         q = w.foreachBatch(foreach_batch).start()
     else:
@@ -50,10 +66,16 @@ def run_available_now(sdf: DataFrame, name: str, *, path: str | None = None, fmt
         if partition_by:
             w = w.partitionBy(*partition_by)
         q = w.format(fmt).start(path)
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError(f"stream {name} did not finish in {timeout_s}s")
+    if finite:
+        q.awaitTermination(timeout_s)
+        if q.isActive:
+            q.stop()
+            raise TimeoutError(f"stream {name} did not finish in {timeout_s}s")
+    else:
+        try:
+            q.processAllAvailable()  # every file present has been committed to the sink
+        finally:
+            q.stop()
     if q.exception() is not None:
         raise q.exception()
     return path or checkpoint
