@@ -24,6 +24,7 @@ from __future__ import annotations
 import json
 from typing import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,7 @@ from tidewell.operators.merge import MergeResult
 
 # partition columns of the layout (named so they cannot clash with table columns)
 V, B = "_tw_version", "_tw_bucket"
+KIND = "_tw_is_state"
 
 
 class VersionedTable:
@@ -127,16 +129,27 @@ class VersionedTable:
     def _write(self, version: int, state: DataFrame, changes: DataFrame | None,
                touched: Sequence[int] | None = None, all_buckets: bool = False,
                commit_ts: "F.Column | None" = None) -> None:
+        st = state.withColumn(B, self.bucket_of())
+        both = None
+        if changes is not None:
+            # state and change rows come from the same MERGE joins: compute them once,
+            # keep them (spilling to disk; lost blocks are recomputed from lineage)
+            # and write each part from that
+            ts = commit_ts if commit_ts is not None else F.current_timestamp()
+            ch = changes.withColumn(CTS, ts)
+            both = (st.withColumn(KIND, F.lit(True))
+                    .unionByName(ch.withColumn(KIND, F.lit(False)), allowMissingColumns=True)
+                    .persist(StorageLevel.MEMORY_AND_DISK))
+            st = both.filter(F.col(KIND)).select(*st.columns)
+            ch = both.filter(~F.col(KIND)).select(*ch.columns)
         # rows go to write tasks by bucket, so each task writes few bucket folders;
         # adaptive execution splits a bucket holding a hot key into advisory-size
         # partitions instead of writing it from one task
-        (state.withColumn(B, self.bucket_of()).hint("rebalance", B)
-         .write.mode("overwrite").partitionBy(B)
+        (st.hint("rebalance", B).write.mode("overwrite").partitionBy(B)
          .parquet(f"{self.path}/state/{V}={version}"))
-        if changes is not None:
-            ts = commit_ts if commit_ts is not None else F.current_timestamp()
-            (changes.withColumn(CTS, ts).write.mode("overwrite")
-             .parquet(f"{self.path}/changes/{CV}={version}"))
+        if both is not None:
+            ch.write.mode("overwrite").parquet(f"{self.path}/changes/{CV}={version}")
+            both.unpersist()
         buckets = list(range(self.buckets)) if all_buckets else list(touched or [])
         (self.spark.createDataFrame([(b,) for b in buckets], f"{B} int").coalesce(1)
          .write.mode("overwrite").parquet(f"{self.path}/manifest/{V}={version}"))
