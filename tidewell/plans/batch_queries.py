@@ -521,7 +521,9 @@ def q_top_k(spark, d):
     read_table(spark, d, "events").createOrReplaceTempView("events_v")
     spark.sql("CREATE OR REPLACE TEMP VIEW top_users AS SELECT user_id, count(*) AS n_events "
               "FROM events_v GROUP BY user_id ORDER BY n_events DESC, user_id LIMIT 10")
-    return spark.table("top_users")
+    # the session view published as a global temp view and read from another session
+    spark.table("top_users").createOrReplaceGlobalTempView("top_users")
+    return spark.newSession().table("global_temp.top_users")
 
 
 # ---------------------------------------------------------------------------- set operations
