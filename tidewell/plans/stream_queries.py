@@ -76,14 +76,14 @@ def inferred_schema(spark, landing: str, schema_location: str):
     """Infer once from the files present, persist the schema JSON, reuse it afterwards."""
     from pyspark.sql.types import StructType
     import json
-    try:
+    from tidewell.session import path_exists
+    if path_exists(spark, schema_location):
         text = spark.read.text(schema_location).first()[0]
         return StructType.fromJson(json.loads(text))
-    except Exception:  # noqa: BLE001 - no schema stored yet
-        schema = spark.read.json(landing).schema
-        spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode(
-            "overwrite").text(schema_location)
-        return schema
+    schema = spark.read.json(landing).schema
+    spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode(
+        "overwrite").text(schema_location)
+    return schema
 
 
 @query("ingest_files_inferred", with_ctes(CUSTOMER_FEED_CTE) + """

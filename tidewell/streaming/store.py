@@ -25,13 +25,13 @@ import json
 from typing import Callable, Sequence
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tidewell.operators.changes import CT, CTS, CV
 from tidewell.operators.merge import MergeResult
+from tidewell.session import path_exists
 
 # partition columns of the layout (named so they cannot clash with table columns)
 V, B = "_tw_version", "_tw_bucket"
@@ -48,10 +48,8 @@ class VersionedTable:
         return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
 
     def _manifest(self) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(f"{self.path}/manifest")
-        except AnalysisException:
-            return None
+        path = f"{self.path}/manifest"
+        return self.spark.read.parquet(path) if path_exists(self.spark, path) else None
 
     def latest_version(self) -> int | None:
         m = self._manifest()
@@ -70,12 +68,11 @@ class VersionedTable:
     def _state_rows(self, schema, live: DataFrame | None, version: int | None = None) -> DataFrame:
         if live is None:
             return self.spark.createDataFrame([], schema)
-        try:
-            full = StructType(list(schema.fields) + [StructField(V, IntegerType()),
-                                                     StructField(B, IntegerType())])
-            st = self.spark.read.schema(full).parquet(f"{self.path}/state")
-        except AnalysisException:
+        if not path_exists(self.spark, f"{self.path}/state"):
             return self.spark.createDataFrame([], schema)
+        full = StructType(list(schema.fields) + [StructField(V, IntegerType()),
+                                                 StructField(B, IntegerType())])
+        st = self.spark.read.schema(full).parquet(f"{self.path}/state")
         if version is not None:
             # static partition filter: a replayed commit never reads the directory it rewrites
             st = st.filter(F.col(V) <= version)
