@@ -8,8 +8,10 @@ version at the update's time.  A key never seen before is inserted from its
 first update.  With an empty target the same function builds the whole
 history from a feed (``scd2_history``).
 
-Only current target rows and the batch take part in the sequencing; closed
-rows pass through untouched.
+Only the batch and the current target rows of keys the batch mentions take
+part in the sequencing; closed rows and the current rows of other keys pass
+through untouched, so a batch costs in proportion to its own keys, not to the
+table.
 
 Plan: the per-key sequence is cut into contiguous chunks by range
 partitioning (``sequence_chunks``), so a key holding a large share of all rows
@@ -40,9 +42,17 @@ def _sequence(target: DataFrame | None, updates: DataFrame, key: str, tracked: s
     upd = updates.select(*cols, F.col(ts).alias(EFFECTIVE), F.lit(1).alias("_src"))
     if target is None:
         return None, upd, cols
-    closed = target.filter(~F.coalesce(F.col(CURRENT), F.lit(False))).select(*out_cols)
-    cur = target.filter(F.col(CURRENT)).select(*cols, EFFECTIVE, F.lit(0).alias("_src"))
-    return closed, cur.unionByName(upd), cols
+    # keys of the batch (one row each, a partial aggregate; usually small enough for
+    # adaptive execution to broadcast), matched NULL-safe like the window's grouping.
+    # One left join tags every target row, so closed rows and current rows of other
+    # keys leave as a single pass-through branch.
+    batch_keys = updates.select(F.col(key).alias("_bk")).distinct().withColumn("_hit", F.lit(True))
+    tagged = (target.join(batch_keys, F.col(key).eqNullSafe(F.col("_bk")), "left")
+              .withColumn("_seq", F.coalesce(F.col(CURRENT), F.lit(False))
+                          & F.coalesce(F.col("_hit"), F.lit(False))))
+    passthrough = tagged.filter(~F.col("_seq")).select(*out_cols)
+    cur = tagged.filter(F.col("_seq")).select(*cols, EFFECTIVE, F.lit(0).alias("_src"))
+    return passthrough, cur.unionByName(upd), cols
 
 
 def scd2_apply(target: DataFrame | None, updates: DataFrame, key: str, tracked: str, ts: str,
