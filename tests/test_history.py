@@ -94,3 +94,25 @@ def test_scd2_hot_key_over_many_chunks(spark):
     key = lambda r: tuple((x is None, x if x is not None else 0) for x in r)
     assert sorted(map(tuple, chunked.collect()), key=key) == sorted(expect, key=key)
     assert len([r for r in expect if r[0] == 9]) == 1
+
+
+def test_scd2_batch_passes_other_keys_through_in_one_branch(spark):
+    """A batch sequences only its own keys; the rest of the table is one pass-through
+    branch, so chained batches do not multiply the partition count."""
+    import datetime as dt
+    from pyspark.sql import functions as F
+    from tidewell.operators.scd2 import scd2_apply
+    t = lambda d: dt.datetime(2024, 1, d)
+    feed = spark.createDataFrame([(k, float(k), t(1)) for k in range(40)], "k INT, p DOUBLE, ts TIMESTAMP")
+    state = scd2_apply(None, feed, "k", "p", "ts").checkpoint(eager=True)
+    n0 = state.rdd.getNumPartitions()
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for day in range(2, 6):
+        batch = spark.createDataFrame([(1, float(day), t(day)), (2, 2.0, t(day))], "k INT, p DOUBLE, ts TIMESTAMP")
+        state = scd2_apply(state, batch, "k", "p", "ts").checkpoint(eager=True)
+    # key 1 changed price every day: 1 closed + 4 new versions; key 2 never changed: one row
+    assert state.filter("k = 1").count() == 5 and state.filter("k = 1 AND current").count() == 1
+    assert [tuple(r) for r in state.filter("k = 2").select("p", "current", "end_date").collect()] == [(2.0, True, None)]
+    assert state.filter("k >= 3").filter(F.col("current") & F.col("end_date").isNull()).count() == 37
+    # linear, not doubling: at most the first state's partitions plus one shuffle's worth per batch
+    assert state.rdd.getNumPartitions() <= n0 + 4 * shuffle
