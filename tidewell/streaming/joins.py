@@ -66,5 +66,7 @@ def newest_version_join(new_facts: DataFrame, changed_dims: DataFrame, known_dim
     """
     def newest(d: DataFrame) -> DataFrame:
         return latest_per_key(d, [key], sequence_by)
-    return (new_facts.join(newest(known_dims), key)
+    # only versions of keys the new facts carry are aggregated (a semi join first)
+    wanted = known_dims.join(new_facts.select(key).distinct(), key, "left_semi")
+    return (new_facts.join(newest(wanted), key)
             .unionByName(all_facts.join(newest(changed_dims), key)))
