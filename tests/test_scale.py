@@ -101,3 +101,19 @@ def test_newest_version_join_equals_pairwise_join(spark):
     pairs = spark.createDataFrame(facts, fact_schema).join(spark.createDataFrame(dims, dim_schema), "customer_id")
     expected = latest_per_key(pairs.select(*cols), ["order_id", "customer_id"], "row_time")
     assert rows(state, *cols) == rows(expected, *cols)
+
+
+def test_layout_rewrite_spreads_a_hot_value_over_files(spark):
+    from tidewell.operators.layout import layout_rewrite
+    from tidewell.session import scratch_path
+    df = spark.range(4000).select(F.when(F.col("id") < 3000, 0).otherwise(F.col("id")).alias("k"),
+                                  F.col("id").alias("v"))
+    path = scratch_path(spark, "layout-hot")
+    layout_rewrite(df, path, ["k"], files=8)
+    out = spark.read.parquet(path).withColumn("f", F.col("_metadata.file_path"))
+    assert out.count() == 4000
+    # the hot value spans several files; files are contiguous key bands, so at most the
+    # last file of the hot value also holds the next values
+    assert out.filter("k = 0").select("f").distinct().count() >= 3
+    bands = out.groupBy("f").agg(F.min("k").alias("lo"), F.max("k").alias("hi")).collect()
+    assert sum(1 for b in bands if b["lo"] == 0 and b["hi"] > 0) <= 1

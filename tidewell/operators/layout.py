@@ -36,15 +36,22 @@ def zorder_key(df: DataFrame, cols: Sequence[str], bits: int = Z_BITS) -> Column
 
 def layout_rewrite(df: DataFrame, path: str, cols: Sequence[str], files: int | None = None) -> None:
     """``OPTIMIZE … ZORDER BY`` re-aimed: range-partition and sort so each file
-    covers a narrow band of the clustering columns (``files`` defaults to the
-    session's shuffle partition count)."""
+    covers a narrow band of the clustering columns.
+
+    ``files`` is the number of output files (size it to the wanted file size; it
+    defaults to the session's shuffle partition count).  The range key carries a
+    hash of the whole row after the clustering key, so a single key value holding
+    a large share of all rows spans several contiguous files instead of one task.
+    """
     files = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tiebreak = F.xxhash64(*[F.col(c) for c in df.columns]).alias("_tb")
     if len(cols) == 1:
         key = F.col(cols[0])
-        out = df.repartitionByRange(files, key).sortWithinPartitions(key)
+        out = (df.withColumn("_tb", tiebreak).repartitionByRange(files, key, "_tb")
+               .sortWithinPartitions(key).drop("_tb"))
     else:
-        out = df.withColumn("_z", zorder_key(df, cols))
-        out = out.repartitionByRange(files, "_z").sortWithinPartitions("_z").drop("_z")
+        out = df.withColumn("_z", zorder_key(df, cols)).withColumn("_tb", tiebreak)
+        out = out.repartitionByRange(files, "_z", "_tb").sortWithinPartitions("_z").drop("_z", "_tb")
     out.write.mode("overwrite").parquet(path)
 
 
