@@ -117,3 +117,11 @@ def test_layout_rewrite_spreads_a_hot_value_over_files(spark):
     assert out.filter("k = 0").select("f").distinct().count() >= 3
     bands = out.groupBy("f").agg(F.min("k").alias("lo"), F.max("k").alias("hi")).collect()
     assert sum(1 for b in bands if b["lo"] == 0 and b["hi"] > 0) <= 1
+
+
+def test_path_exists(spark):
+    from tidewell.session import path_exists, scratch_path
+    p = scratch_path(spark, "exists-probe")
+    assert not path_exists(spark, p)
+    spark.range(3).write.parquet(p)
+    assert path_exists(spark, p) and path_exists(spark, f"{SF_SMALL}/nation.parquet")
