@@ -50,3 +50,61 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewell.llm.substring_dedup import dedup_substrings
     out = dedup_substrings(table(spark, sf_dir, "documents"), window=35)
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op9_quality_rules")
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewell.llm.quality import quality_rules
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
+@query("op10_chat_format", r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (
+  SELECT *, role IS DISTINCT FROM lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS head,
+         length(text) + length(regexp_replace(text, '[^\\\[\]<]', '', 'g')) AS text_chars,
+         length(role) + length(regexp_replace(role, '[^\\\[\]<]', '', 'g')) AS role_chars
+  FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(7 + sum(text_chars + CASE WHEN head THEN 14 + role_chars ELSE 5 END) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+""")
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewell.llm.chat_format import format_chats, masked_text, read_turns
+    said = "</s>[INST] ok [/INST]"
+    own = spark.sql(f"SELECT -1L AS conv_id, 0L AS turn, 'user' AS role, '{said}' AS text "
+                    f"UNION ALL SELECT -1L, 1L, 'assistant', '{said}'")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    f = format_chats(turns)
+    f = f.select("conv_id", "formatted", read_turns(F.col("formatted")).alias("turns"),
+                 masked_text(F.col("formatted"), F.col("loss_spans")).alias("loss"))
+    return f.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""), 256)
+        .alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+
+
+def byte_bpe(spark: SparkSession, path: str | None = None):
+    """The production vocabulary and pattern; ``path`` names another rank file."""
+    import public_tokenizers
+    from tidewell.llm.byte_bpe import ByteBPE, ranks_file
+    return ByteBPE(spark, ranks_file(path or public_tokenizers.path(VOCABULARY)), public_tokenizers.PATTERN)
+
+
+@query("op4_byte_bpe")
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewell.llm.byte_bpe import bpe_encode, ids_text
+    bpe = byte_bpe(spark)
+    out = bpe_encode(table(spark, sf_dir, "documents").select("doc_id", "text"), bpe).select("doc_id", "ids")
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids_text(F.col("ids")), 256).alias("ids_sha256"),
+                      F.sha2(bpe.decode("ids"), 256).alias("decoded_sha256"))
