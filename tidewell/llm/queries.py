@@ -108,3 +108,40 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = bpe_encode(table(spark, sf_dir, "documents").select("doc_id", "text"), bpe).select("doc_id", "ids")
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids_text(F.col("ids")), 256).alias("ids_sha256"),
                       F.sha2(bpe.decode("ids"), 256).alias("decoded_sha256"))
+
+
+@query("op2_ngram_jaccard", r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+    lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [md5(array_to_string(ws, ' ') || ' ')]
+        ELSE list_distinct(list_transform(range(1, len(ws) - 2), lambda i: md5(array_to_string(ws[i:i + 3], ' ')))) END AS hs FROM w),
+n AS (SELECT doc_id, len(hs) AS n FROM s),
+t AS (SELECT doc_id, unnest(hs) AS h FROM s),
+shared AS MATERIALIZED (SELECT h, doc_id FROM t WHERE h IN (SELECT h FROM t GROUP BY h HAVING count(*) > 1)),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shared a JOIN shared b USING (h)
+          WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS MATERIALIZED (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+                       WHERE 100 * c >= 85 * (x.n + y.n - c)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM n UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+comp AS (SELECT a, min(b) AS c FROM reach GROUP BY a)
+SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, c AS component_id FROM n JOIN comp ON a = doc_id
+""")
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewell.llm.ngram_jaccard import jaccard_components
+    return jaccard_components(table(spark, sf_dir, "documents"), n=4, num=85, den=100)
+
+
+def held_out(id_col: str = "doc_id"):
+    """True for the fifth of the ids that nothing may be learned from (a null id is held out)."""
+    return F.coalesce(F.crc32(F.encode(F.col(id_col).cast("string"), "UTF-8")) % 5 == 0, F.lit(True))
+
+
+@query("op3_language_id")
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewell.llm.language_id import identify_languages, train_language_model
+    docs = table(spark, sf_dir, "documents")
+    model = train_language_model(docs.where(~held_out()))
+    out = identify_languages(docs, model, "doc_id", "text", held_out().alias("held_out"))
+    return out.select("doc_id", "held_out", "lang_pred", "score", "rejected")
