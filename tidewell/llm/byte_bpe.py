@@ -16,11 +16,12 @@ import base64
 import struct
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 MAX_VOCABULARY = 1_000_000
-CACHED_UNITS = 400_000
+CACHED_UNITS = 250_000
 
 
 def byte_characters() -> list[str]:
@@ -79,12 +80,11 @@ def sentencepiece_model(tokens: list[bytes]) -> bytes:
 
 
 class Codec:
-    """Encoder and decoder of one process, built from the broadcast tokens and model."""
+    """Encoder of one process, built from the broadcast tokens and model."""
 
     def __init__(self, tokens: list[bytes], model: bytes, pattern: str):
         import regex
         import sentencepiece
-        self.tokens = tokens
         self.whole = {t: (i,) for i, t in enumerate(tokens)}
         self.pieces = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.find = regex.compile(pattern).findall
@@ -143,15 +143,16 @@ class Codec:
             out = [get(u) if ids is None else ids for u, ids in zip(units, out)]
         return list(chain.from_iterable(out))
 
-    def decode(self, ids) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+
+def decode_ids(tokens: list[bytes], ids) -> bytes:
+    return b"".join(map(tokens.__getitem__, ids))
 
 
 _CODECS: dict[int, Codec] = {}
 
 
 def _codec(shared) -> Codec:
-    """One codec for each broadcast and process."""
+    """One encoder for each broadcast and process."""
     if shared.id not in _CODECS:
         _CODECS.clear()
         _CODECS[shared.id] = Codec(*shared.value)
@@ -184,18 +185,16 @@ class ByteBPE:
         @F.arrow_udf("array<int>")
         def encode(texts: pa.Array) -> pa.Array:
             codec = _codec(shared)
-            return pa.array([codec.encode(t) if t else [] for t in texts.to_pylist()], pa.list_(pa.int32()))
+            flat = [np.fromiter(codec.encode(t.as_py() or ""), np.int32) for t in texts]
+            bounds = np.cumsum([0, *map(len, flat)]).astype(np.int32)
+            return pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate([np.zeros(0, np.int32), *flat])))
 
         @F.arrow_udf("binary")
         def decode(ids: pa.Array) -> pa.Array:
-            codec = _codec(shared)
-            flat, at = ids.flatten().to_pylist(), 0
-            out = []
-            for n in ids.value_lengths().to_pylist():
-                n = n or 0
-                out.append(codec.decode(flat[at:at + n]))
-                at += n
-            return pa.array(out, pa.binary())
+            tokens = shared.value[0]
+            flat = ids.flatten().to_numpy(zero_copy_only=False)
+            bounds = np.cumsum([0, *(n or 0 for n in ids.value_lengths().to_pylist())])
+            return pa.array([decode_ids(tokens, flat[a:b].tolist()) for a, b in zip(bounds, bounds[1:])], pa.binary())
 
         self.encode, self.decode = encode, decode
 

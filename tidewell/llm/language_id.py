@@ -26,7 +26,8 @@ SIZES = (1, 2, 3, 4)
 DIM = 16
 TRAIN_ROWS = 4000          # bound of the training sample over all languages
 EPOCHS, RATE, BATCH = 12, 20.0, 32
-KEPT_SHARE = 0.999         # of held-out labelled texts that the threshold must not reject
+MARGIN = 0.8               # the threshold is this share of the lowest score of a set-aside labelled text
+MIN_SUBWORDS = 60          # shorter texts are never rejected for a low score
 UNKNOWN = "und"
 _LETTER = r"\p{L}"
 _BYTES = np.random.default_rng(7).integers(1, 2**63, 256, dtype=np.uint64) * U64(2) + U64(1)
@@ -82,14 +83,15 @@ class LanguageModel:
     temperature: float
     threshold: float          # calibrated probabilities below are rejected
 
-    def probabilities(self, texts) -> np.ndarray:
+    def probabilities(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """(probability of each language, number of subwords) of each text."""
         bucket, bound = subwords(texts)
         n = np.diff(bound)
         total = np.zeros((len(n), len(self.languages)))
         some = np.flatnonzero(n)
         if len(some):
             total[some] = np.add.reduceat(self.scores[bucket], bound[some], axis=0) / n[some, None]
-        return _softmax((total + self.bias) / self.temperature)
+        return _softmax((total + self.bias) / self.temperature), n
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -121,11 +123,11 @@ def _sample(docs: DataFrame, id_col: Column, text: Column, lang: Column, rows: i
             at = np.searchsorted(key // BUCKETS, np.arange(batch.num_rows + 1))
             key, n = (key % BUCKETS).astype(np.uint16), n.astype(np.float32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("h"), batch.column("lang"),
+                [batch.column("h"), batch.column("lang"), pa.array(np.diff(bound), pa.int64()),
                  pa.array([key[a:b].tobytes() for a, b in zip(at, at[1:])], pa.binary()),
-                 pa.array([n[a:b].tobytes() for a, b in zip(at, at[1:])], pa.binary())], ["h", "lang", "key", "n"])
+                 pa.array([n[a:b].tobytes() for a, b in zip(at, at[1:])], pa.binary())], ["h", "lang", "total", "key", "n"])
 
-    found = d.where(keep).mapInArrow(counts, "h long, lang string, key binary, n binary").collect()
+    found = d.where(keep).mapInArrow(counts, "h long, lang string, total long, key binary, n binary").collect()
     return sorted(found, key=lambda r: (r["h"], r["lang"]))
 
 
@@ -174,8 +176,9 @@ def train_language_model(docs: DataFrame, id_col: str = "doc_id", text_col: str
     def loss(t: float) -> float:
         return -np.log(np.maximum(_softmax(logits / t)[np.arange(len(judge)), right], 1e-12)).mean()
     temperature = min(np.geomspace(0.05, 20, 60), key=loss)
-    best = np.sort(_softmax(logits / temperature).max(axis=1))
-    threshold = float(best[int((1 - KEPT_SHARE) * len(best))]) * 0.9
+    long = np.array([sample[i]["total"] >= MIN_SUBWORDS for i in judge])
+    best = _softmax(logits / temperature).max(axis=1)
+    threshold = MARGIN * float(best[long].min()) if long.any() else 0.0
     return LanguageModel(languages, scores, bias, float(temperature), min(threshold, 0.5))
 
 
@@ -184,8 +187,8 @@ def identify_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc
     """``doc_id``, ``keep``, ``lang_pred``, ``score`` (calibrated probability) and ``rejected``, one row per input row.
 
     A null text or one without a letter is ``und`` with score 0 and rejected; so is every text
-    when no language was learned.  Other texts get the likeliest language and are rejected
-    below the model's threshold.  Ids may repeat or be null; equal scores go to the
+    when no language was learned.  Other texts get the likeliest language; of at least
+    ``MIN_SUBWORDS`` subwords they are rejected below the model's threshold.  Ids may repeat or be null; equal scores go to the
     alphabetically first language; an empty table gives an empty table; other columns are
     not read.
     """
@@ -203,14 +206,14 @@ def identify_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc
         for batch in batches:
             letter = batch.column("_letter").to_numpy(zero_copy_only=False)
             if m.languages:
-                p = m.probabilities(batch.column("_text"))
+                p, n = m.probabilities(batch.column("_text"))
                 best = np.where(letter, p.argmax(axis=1), len(m.languages))
                 score = np.where(letter, p.max(axis=1), 0.0)
             else:
-                best, score = np.zeros(batch.num_rows, int), np.zeros(batch.num_rows)
+                best, score, n = np.zeros(batch.num_rows, int), np.zeros(batch.num_rows), np.zeros(batch.num_rows, int)
             columns = [batch.column(i) for i, f in enumerate(batch.schema) if f.name not in ("_text", "_letter")]
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array(names[best], pa.string()), pa.array(score.astype(float)),
-                 pa.array((best == len(m.languages)) | (score < m.threshold))], schema=to_arrow_schema(out_type))
+                 pa.array((best == len(m.languages)) | (n >= MIN_SUBWORDS) & (score < m.threshold))], schema=to_arrow_schema(out_type))
 
     return d.mapInArrow(predict, out_type)

@@ -145,3 +145,32 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = train_language_model(docs.where(~held_out()))
     out = identify_languages(docs, model, "doc_id", "text", held_out().alias("held_out"))
     return out.select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
+@query("op6_decontaminate", r"""
+WITH dw AS (SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws FROM documents),
+iw AS (SELECT item_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws FROM benchmark),
+il AS (SELECT item_id, ws, least(len(ws), 10) AS k FROM iw WHERE len(ws) > 0),
+win AS (SELECT DISTINCT item_id, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS v FROM il),
+ks AS (SELECT DISTINCT k FROM il),
+dh AS (SELECT doc_id, k, CASE WHEN len(ws) >= k THEN list_transform(range(1, len(ws) - k + 2),
+         lambda i: array_to_string(ws[i:i + k - 1], ' ')) ELSE [] END AS hs FROM dw, ks),
+dp AS (SELECT doc_id, k, unnest(hs) AS v, unnest(range(1, len(hs) + 1)) AS i FROM dh),
+m AS (SELECT doc_id, dp.k, i, item_id FROM dp JOIN win USING (k, v)),
+hit AS (SELECT doc_id, count(DISTINCT i + o) AS n FROM m, range(0, 10) t(o) WHERE o < k GROUP BY doc_id),
+it AS (SELECT doc_id, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS ids FROM m GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(len(ids), 0) AS BIGINT) AS n_items, sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256,
+       coalesce(n, 0) > 0 AS contaminated
+FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
+""")
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewell.llm.decontaminate import find_contamination
+    out = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    return out.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+                      F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+                      (F.col("n_hit") > 0).alias("contaminated"))
