@@ -174,3 +174,13 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
                       F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
                       (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewell.llm.toxicity import score_toxicity, train_toxicity_model
+    docs = table(spark, sf_dir, "documents")
+    learn = table(spark, sf_dir, "labels").where(~held_out())
+    model = train_toxicity_model(docs, learn)
+    out = score_toxicity(docs, model, held_out().alias("held_out"))
+    return out.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "spans")

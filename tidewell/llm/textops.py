@@ -85,6 +85,7 @@ class Batch:
         self.ends = np.flatnonzero(inside & (~after | edge[1:])) + 1
         self.first = np.searchsorted(self.starts, self.off)
         self.first[-1] = len(self.starts)
+        self._total = None
 
     @property
     def n_words(self) -> np.ndarray:
@@ -95,13 +96,18 @@ class Batch:
 
     def hashes(self) -> np.ndarray:
         """64-bit hash of every word."""
-        if not len(self.starts):
+        return self.span_hashes(self.starts, self.ends)
+
+    def span_hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """64-bit hashes of byte ranges."""
+        if not len(starts):
             return np.zeros(0, U64)
         power, inverse = _powers(_BYTE_BASE, len(self.data) + 1)
-        total = np.empty(len(self.data) + 1, U64)
-        total[0] = 0
-        np.cumsum(_BYTE_VALUES[self.data] * power[:-1], out=total[1:])
-        return mix((total[self.ends] - total[self.starts]) * inverse[self.starts] + (self.ends - self.starts).astype(U64))
+        if self._total is None:
+            self._total = np.empty(len(self.data) + 1, U64)
+            self._total[0] = 0
+            np.cumsum(_BYTE_VALUES[self.data] * power[:-1], out=self._total[1:])
+        return mix((self._total[ends] - self._total[starts]) * inverse[starts] + (ends - starts).astype(U64))
 
     def windows(self, word_hashes: np.ndarray, size: int, second: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """(first word of every window of ``size`` words inside one text, its hash)."""
