@@ -184,3 +184,14 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = train_toxicity_model(docs, learn)
     out = score_toxicity(docs, model, held_out().alias("held_out"))
     return out.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "spans")
+
+
+# Stands in for a secret that a deployment would pass in.
+PII_KEY = "pseudonym-key-1"
+
+
+@query("op5_pii_feistel")
+def op5_pii_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewell.llm.pii import counts, pseudonymise
+    out = pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
+    return out.select("doc_id", "text", F.size("pii_kinds").cast("long").alias("n_replaced"), *counts(F.col("pii_kinds")))
