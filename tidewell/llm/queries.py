@@ -195,3 +195,10 @@ def op5_pii_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewell.llm.pii import counts, pseudonymise
     out = pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
     return out.select("doc_id", "text", F.size("pii_kinds").cast("long").alias("n_replaced"), *counts(F.col("pii_kinds")))
+
+
+@query("op7_html_extract")
+def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewell.llm.html_extract import extract_main_text
+    out = extract_main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
