@@ -202,3 +202,9 @@ def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewell.llm.html_extract import extract_main_text
     out = extract_main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
