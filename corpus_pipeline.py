@@ -30,7 +30,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without a letter and texts that the calibrated model rejects.  The model is fitted on
     the labelled rows of the stage's own documents that are not held out."""
     model = train_language_model(docs.where(~held_out()))
-    out = identify_languages(docs, model, "doc_id", "text", F.struct(*docs.columns).alias("row"))
+    out = identify_languages(docs, model, "doc_id", "text", _row(docs))
     return out.where(~F.col("rejected")).select("row.*")
 
 
@@ -40,19 +40,18 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     comp = jaccard_components(docs, "doc_id", "text", SHINGLE, SIMILAR, 100)
     kept = comp.where("doc_id = component_id").select("doc_id").distinct()
     once = docs.where("doc_id IS NOT NULL").join(kept, "doc_id").dropDuplicates(["doc_id"])
-    return once.select(docs.columns).union(docs.where("doc_id IS NULL"))
+    return once.select([F.col(f"`{c}`") for c in docs.columns]).union(docs.where("doc_id IS NULL"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts the passages of test items out of the texts; texts that are hardly anything else go."""
-    out = find_contamination(docs, table(spark, sf_dir, "benchmark"), F.struct(*docs.columns).alias("row"))
-    out = out.where(~F.col("exceeds")).select("row.*", F.col("clean_text").alias("_clean"))
-    return _with_text(out, docs, "_clean")
+    out = find_contamination(docs, table(spark, sf_dir, "benchmark"), _row(docs))
+    return _with_text(out.where(~F.col("exceeds")), docs, "clean_text")
 
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces personal data by pseudonyms of the same format."""
-    return _with_text(pseudonymise(docs, PII_KEY, "text", "_text", None), docs, "_text")
+    return _with_text(pseudonymise(docs.select(_row(docs), "text"), PII_KEY, "text", "new_text", None), docs, "new_text")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,12 +62,17 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), same.alias("round_trip"))
 
 
+def _row(docs: DataFrame):
+    """All columns as one struct, so that no name of theirs meets an operator's own."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+
+
 def _with_text(out: DataFrame, docs: DataFrame, text: str) -> DataFrame:
     """The columns of ``docs`` with another text; ``n_chars``, where there is one, follows it."""
     new = {"text": F.col(text)}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.length(F.col(text)).cast(docs.schema["n_chars"].dataType)
-    return out.select([new.get(c, F.col(c)).alias(c) for c in docs.columns])
+    return out.select([new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 STAGES = [("language_id", language), ("ngram_jaccard", near_duplicates), ("decontamination", decontamination),

@@ -165,6 +165,8 @@ def classify(b: BlockText, has_article: bool) -> bool | None:
         return False
     if b.linked > LINK_DENSITY * b.chars:
         return None if b.article and b.tag not in ("li", "td", "th", "dd", "dt") else False
+    if not b.article and "©" in b.text:
+        return False
     if b.chars < LONG_CHARS:
         return None
     if b.article:
@@ -176,36 +178,39 @@ def classify(b: BlockText, has_article: bool) -> bool | None:
 def main_blocks(page: str) -> list[str]:
     """Pass two: ambiguous blocks take the label of the nearest decided ones.
 
-    Between two different labels the nearer one wins, the good one when equally near.  Inside
-    an article only its own blocks count as neighbours, and an article without any
-    decided block is good as a whole; elsewhere blocks without a decided neighbour are good when
-    nothing on the page is decided otherwise.
+    Between two different labels the nearer one wins, the good one when equally near.
+    Boilerplate containers, which may stand amid the text, count only where no other block is
+    decided, and never inside an article, where only its own blocks count; a block without
+    any decided neighbour is good.
     """
     blocks = read_blocks(page)
     # an article counts if it holds any text that is no boilerplate
     has_article = any(b.article and not b.bad for b in blocks)
     labels = [classify(b, has_article) for b in blocks]
+
+    def nearest(i: int, counts) -> bool | None:
+        found = []
+        for step in (-1, 1):
+            j = i + step
+            while 0 <= j < len(blocks) and (labels[j] is None or not counts(blocks[j])):
+                j += step
+            if 0 <= j < len(blocks):
+                found.append((abs(j - i), not labels[j]))
+        return not min(found)[1] if found else None
+
     kept = []
     for i, (b, label) in enumerate(zip(blocks, labels)):
-        if label is None:
-            near: dict[int, tuple[int, bool] | None] = {}
-            for step in (-1, 1):
-                j = i + step
-                while 0 <= j < len(blocks) and (labels[j] is None or _apart(b, blocks[j])):
-                    j += step
-                near[step] = (abs(j - i), labels[j]) if 0 <= j < len(blocks) else None
-            found = sorted((d, not good) for d, good in filter(None, near.values()))
-            label = not found[0][1] if found else True
-        if label:
+        if label is None and b.article:
+            label = nearest(i, lambda o: o.article == b.article and not o.bad)
+        elif label is None:
+            label = nearest(i, lambda o: not o.bad)
+            if label is None:
+                label = nearest(i, lambda o: True)
+        if label is None or label:
             kept.append(b.text)
     return kept
 
 
-def _apart(a: BlockText, b: BlockText) -> bool:
-    """Boilerplate and other articles say nothing about an article's blocks."""
-    return bool(a.article) and (b.article != a.article or b.bad)
-
-
 def extract_main_text(pages: DataFrame, html_col: str = "html", out_col: str = "text") -> DataFrame:
     """``pages`` with the main text in ``out_col`` (replacing a column of that name).
 

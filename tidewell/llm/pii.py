@@ -158,18 +158,20 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", out_col: str
     are replaced; an empty table gives an empty table.
     """
     pattern = _quote(_combined())
-    text = F.col(text_col)
-    found = F.when(text.rlike(_combined()), F.expr(f"regexp_extract_all(`{text_col}`, {pattern}, 0)"))
-    d = docs.withColumn("_found", found)
-    d = d.withColumn("_new", F.expr(f"transform(_found, m -> {_pseudonym(key)})"))
-    pieces = F.expr(f"split(`{text_col}`, {pattern}, -1)")
-    joined = F.array_join(F.zip_with(pieces, F.concat(F.transform("_new", lambda p: p["text"]), F.array(F.lit(""))),
+    # the row stays apart from the working columns, so no name can clash
+    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).alias("text"))
+    d = d.withColumn("found", F.when(F.col("text").rlike(_combined()), F.expr(f"regexp_extract_all(text, {pattern}, 0)")))
+    d = d.withColumn("new", F.expr(f"transform(found, m -> {_pseudonym(key)})"))
+    pieces = F.expr(f"split(text, {pattern}, -1)")
+    joined = F.array_join(F.zip_with(pieces, F.concat(F.transform("new", lambda p: p["text"]), F.array(F.lit(""))),
                                      lambda a, b: F.concat(a, b)), "")
-    kinds = F.coalesce(F.filter(F.transform("_new", lambda p: p["kind"]), lambda k: k.isNotNull()),
+    kinds = F.coalesce(F.filter(F.transform("new", lambda p: p["kind"]), lambda k: k.isNotNull()),
                        F.array().cast("array<string>"))
+    made = {out_col: F.when(F.col("new").isNull(), F.col("text")).otherwise(joined)}
     if kinds_col:
-        d = d.withColumn(kinds_col, kinds)
-    return d.withColumn(out_col, F.when(F.col("_new").isNull(), text).otherwise(joined)).drop("_found", "_new")
+        made[kinds_col] = kinds
+    kept = [made.pop(c, F.col("row").getField(c)).alias(c) for c in docs.columns]
+    return d.select(*kept, *[v.alias(c) for c, v in made.items()])
 
 
 def count_kind(kinds: Column, kind: str) -> Column:
