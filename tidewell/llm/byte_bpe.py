@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 MAX_VOCABULARY = 1_000_000
-CACHED_UNITS = 250_000
+CACHED_UNITS = 300_000
 
 
 def byte_characters() -> list[str]:
@@ -79,8 +79,15 @@ def sentencepiece_model(tokens: list[bytes]) -> bytes:
     return b"".join(_field(_PIECES, p) for p in pieces) + _field(_TRAINER, trainer) + _field(_NORMALIZER, normalizer)
 
 
+_MARK = "\ue000"       # stands before each space while a text is cut; texts that hold it are matched as a whole
+
+
 class Codec:
-    """Encoder of one process, built from the broadcast tokens and model."""
+    """Encoder of one process, built from the broadcast tokens and model.
+
+    ``recent`` and ``older`` hold the ids of pre-tokens and of space-led units; when the first is
+    full it becomes the second, and what is still in use moves back.
+    """
 
     def __init__(self, tokens: list[bytes], model: bytes, pattern: str):
         import regex
@@ -88,34 +95,57 @@ class Codec:
         self.whole = {t: (i,) for i, t in enumerate(tokens)}
         self.pieces = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.find = regex.compile(pattern).findall
-        # a space before white space or at the end: such texts are not cut at their spaces
-        self.odd_space = regex.compile(r" (?=\s|$)").search
         self.letters = str.maketrans({chr(b): c for b, c in enumerate(byte_characters())})
-        self.units: dict[str, tuple[int, ...]] = {}
-
-    def encode_pre_tokens(self, pre_tokens: list[str]) -> list[tuple[int, ...]]:
-        """A pre-token that is itself in the vocabulary is one id; others go through the merges."""
-        raw = [p.encode() for p in pre_tokens]
-        out = [self.whole.get(b) for b in raw]
-        rest = [i for i, ids in enumerate(out) if ids is None]
+        self.recent: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
+
+    def _merge(self, pre_tokens: list[str]) -> None:
+        """Encode new pre-tokens: one that is itself in the vocabulary is one id, others go through the merges."""
+        rest, mapped = [], []
+        for p in pre_tokens:
+            raw = p.encode()
+            ids = self.whole.get(raw)
+            if ids is None:
+                rest.append(p)
+                mapped.append(raw.decode("latin-1").translate(self.letters))
+            else:
+                self.recent[p] = ids
         if rest:
-            found = self.pieces.encode([raw[i].decode("latin-1").translate(self.letters) for i in rest], num_threads=1)
-            for i, ids in zip(rest, found):
-                out[i] = tuple(ids)
-        return out
+            self.recent.update(zip(rest, map(tuple, self.pieces.encode(mapped, num_threads=1))))
+
+    def _known(self, key: str) -> tuple[int, ...] | None:
+        ids = self.recent.get(key)
+        if ids is None:
+            ids = self.older.get(key)
+            if ids is not None:
+                self.recent[key] = ids
+        return ids
+
+    def _pre_tokens(self, unit: str) -> list[str]:
+        """The pattern's matches in a unit; plain words, also before one mark, need no pattern."""
+        if unit[1:].isalpha() and unit[0] == " ":
+            return [unit]
+        if unit[-1] in ".,;:!?" and unit[0] == " " and unit[1:-1].isalpha():
+            return [unit[:-1], unit[-1]]
+        return self.find(unit)
 
     def _learn(self, units: set[str]) -> None:
-        """Encode units that are not in the table; a pre-token never spans two units."""
-        units = list(units)
-        cut = [self.find(u) for u in units]
-        flat = self.encode_pre_tokens(list(chain.from_iterable(cut)))
-        if len(self.units) + len(units) > CACHED_UNITS:
-            self.units = {}
-        at = 0
-        for u, pre in zip(units, cut):
-            ids = flat[at:at + len(pre)]
-            at += len(pre)
-            self.units[u] = ids[0] if len(ids) == 1 else tuple(chain.from_iterable(ids))
+        if len(self.recent) + len(units) > CACHED_UNITS:
+            self.older, self.recent = self.recent, {}
+        cut = {u: self._pre_tokens(u) for u in units if self._known(u) is None}
+        self._merge([p for p in set(chain.from_iterable(cut.values())) if self._known(p) is None])
+        for u, pre in cut.items():
+            if len(pre) > 1:
+                self.recent[u] = tuple(chain.from_iterable(map(self.recent.__getitem__, pre)))
+
+    def _look_up(self, units: list[str]) -> list[tuple[int, ...]]:
+        out = list(map(self.recent.get, units))
+        if None in out:
+            missing = {u for u, ids in zip(units, out) if ids is None}
+            self._learn(missing)
+            get = self.recent.get
+            out = [get(u) if ids is None else ids for u, ids in zip(units, out)]
+        return out
 
     def encode(self, text: str) -> list[int]:
         """Ids of a text.
@@ -126,21 +156,18 @@ class Codec:
         """
         if not text:
             return []
-        if self.odd_space(text):
-            return list(chain.from_iterable(self.encode_pre_tokens(self.find(text))))
-        units = text.split(" ")
-        first, units = units[0], [" " + u for u in units[1:]]
-        if first:
-            units.insert(0, first)
-        get = self.units.get
-        out = list(map(get, units))
+        units = text.replace(" ", _MARK + " ").split(_MARK)
+        if not units[0]:
+            del units[0]
+        out = list(map(self.recent.get, units))
         if None in out:
-            self._learn({u for u, ids in zip(units, out) if ids is None})
-            known, get = self.units, self.units.get
-            missing = {u for u, ids in zip(units, out) if ids is None and u not in known}
-            if missing:  # cannot happen: _learn keeps all it was given
-                raise AssertionError("units lost")
-            out = [get(u) if ids is None else ids for u, ids in zip(units, out)]
+            missing = {u for u, ids in zip(units, out) if ids is None}
+            if _MARK in text or any(u[0] == " " and (len(u) == 1 or u[1].isspace()) for u in missing):
+                out = self._look_up(self.find(text))
+            else:
+                self._learn(missing)
+                get = self.recent.get
+                out = [get(u) if ids is None else ids for u, ids in zip(units, out)]
         return list(chain.from_iterable(out))
 
 
