@@ -45,6 +45,57 @@ def test_duplicate_source_without_match_clause_is_fine(spark):
     assert len(merge_insert_only(t, s, ["id"]).state.collect()) == 3
 
 
+def test_target_rows_are_kept_once_whatever_they_match(spark):
+    t = spark.createDataFrame([(1, "a", None, 1), (2, "b", None, 2), (None, "n", None, 0)], T_DDL)
+    s = spark.createDataFrame([(1, "x", None, 0), (1, "y", None, 0), (3, "z", None, 9), (None, "m", None, 9)], T_DDL)
+    for matched in ([], [Update("s.v > t.v")], [Delete("s.v > t.v")]):
+        r = merge_into(t, s, ["id"], matched=matched, not_matched=[Insert()])
+        assert sorted(x["name"] for x in r.state.collect()) == ["a", "b", "m", "n", "z"], matched
+
+
+def test_cardinality_is_judged_per_target_row_with_every_condition(spark):
+    t = spark.createDataFrame([(1, "a", None, 1), (1, "b", None, 2), (1, "b", None, 2)], T_DDL)
+    s = spark.createDataFrame([(1, "x", None, 1), (1, "y", None, 2)], T_DDL)
+    r = merge_into(t, s, ["id"], matched=[Update(None, {"name": "s.name"})], extra_condition="t.v = s.v")
+    assert rows(r.state, "id", "name", "v") == [(1, "x", 1), (1, "y", 2), (1, "y", 2)]
+    twice = merge_into(t, s, ["id"], matched=[Update("s.v <= t.v")])
+    with pytest.raises(PySparkException):
+        twice.state.collect()
+
+
+@given(st.lists(st.tuples(st.sampled_from([None, 1, 2, 3]), st.integers(0, 3)), max_size=6),
+       st.lists(st.tuples(st.sampled_from([None, 1, 2, 3, 4]), st.integers(0, 3)), max_size=6))
+@settings(max_examples=12, deadline=None)
+def test_merge_with_duplicate_and_null_keys_equals_a_plain_loop(spark, target, source):
+    """Update where s.v > t.v and the extra condition s.v <> 2 holds; insert the unmatched."""
+    want, failed = [], False
+    for k, v in target:
+        new = [sv for sk, sv in source if k is not None and sk == k and sv != 2 and sv > v]
+        failed |= len(new) > 1
+        want.append((k, new[0] if new else v))
+    want += [(k, v) for k, v in source if k is None or v == 2 or not any(k == tk for tk, _ in target)]
+    ddl = "id INT, v INT"
+    r = merge_into(spark.createDataFrame(target, ddl), spark.createDataFrame(source, ddl), ["id"],
+                   matched=[Update("s.v > t.v")], not_matched=[Insert()], extra_condition="s.v <> 2")
+    if failed:
+        with pytest.raises(PySparkException):
+            r.state.collect()
+    else:
+        key = lambda x: (x[0] is None, x)
+        assert sorted(((x["id"], x["v"]) for x in r.state.collect()), key=str) == sorted(want, key=str), key
+
+
+def test_old_delete_and_null_keys(spark):
+    ddl = "k INT, v STRING, ts INT, row_status STRING"
+    t = spark.createDataFrame([(1, "new", 100, "insert"), (2, "b", 10, "insert")], ddl)
+    s = spark.createDataFrame([(1, "x", 50, "delete"), (2, "x", 50, "delete")], ddl)
+    assert rows(cdc_apply(t, s, ["k"], "ts").state, "k") == [(1,)]
+    assert rows(cdc_apply(t, s, ["k"], "ts", guard_deletes=False).state, "k") == []
+    from tidewell.operators.changes import snapshot_diff
+    n = spark.createDataFrame([(None, "a"), (1, "b")], "k INT, v STRING")
+    assert snapshot_diff(n, n, ["k"]).collect() == []
+
+
 def test_insert_only_idempotent(spark):
     t = spark.createDataFrame([(1, "a", None, 10)], T_DDL)
     s = spark.createDataFrame([(1, "a", None, 10), (2, "b", None, 20)], T_DDL)

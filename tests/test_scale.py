@@ -30,22 +30,37 @@ def test_distinct_elements_matches_flatten_distinct_with_hot_key(spark):
     assert "partial_count" not in text and text.count("HashAggregate") >= 2
 
 
-def test_broadcast_lookup_checks_the_size(spark):
+def test_broadcast_lookup_follows_the_size_in_bytes(spark):
     fact = spark.range(100).withColumnRenamed("id", "k")
     dim = spark.range(50).withColumnRenamed("id", "k").withColumn("v", F.col("k") * 2)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        small = broadcast_lookup(fact, dim, "k", max_rows=50)
+        small = broadcast_lookup(fact, dim, "k")
         assert "BroadcastHashJoin" in _plan(small)
-        big = broadcast_lookup(fact, dim, "k", max_rows=49)  # over the bound: no hint
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64")
+        big = broadcast_lookup(fact, dim, "k")  # above the threshold: shuffled
         assert "BroadcastHashJoin" not in _plan(big)
         assert rows(big) == rows(small)
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+def test_latest_per_key_does_not_sort_before_the_shuffle(spark):
+    from tidewell.operators.window import latest_per_key
+    df = spark.range(1000).select((F.col("id") % 7).alias("k"), F.col("id").alias("t"), F.col("id").cast("string").alias("v"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = _plan(latest_per_key(df, ["k"], "t"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # children come after their parents: below the last exchange there is no sort
+    tree = text.split("\n\n")[0]
+    assert "HashAggregate" in tree and "Sort" not in tree[tree.rindex("Exchange"):]
+    assert sorted(r["t"] for r in latest_per_key(df, ["k"], "t").collect()) == list(range(993, 1000))
+
+
 def test_silver_write_is_rebalanced_not_one_task_per_country(spark):
     from tidewell.plans.gold import customers_orders
     df = customers_orders(spark, SF_SMALL).drop("books").hint("rebalance", "country")

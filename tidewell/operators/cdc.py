@@ -42,12 +42,18 @@ def scd1_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], seque
 
 
 def cdc_apply(target: DataFrame, source: DataFrame, keys: Sequence[str], sequence_by: str,
-              status_col: str = "row_status", delete_value: str = "delete") -> MergeResult:
+              status_col: str = "row_status", delete_value: str = "delete",
+              guard_deletes: bool = True) -> MergeResult:
     """CDC with deletes: a matched delete removes the row, a newer row replaces it,
-    an unmatched non-delete row is inserted."""
+    an unmatched non-delete row is inserted.
+
+    A delete older than the row is ignored, as an older update is; ``guard_deletes=False``
+    lets every delete act.  A deleted row leaves no trace, so a late insert brings it
+    back: use the tombstoned form (``streaming.cdc``) where that must not happen."""
     src = latest_per_key(source, keys, sequence_by)
     is_del = F.col(f"s.{status_col}") == delete_value
     return merge_into(target, src, list(keys),
-                      matched=[Delete(is_del),
-                               Update(F.col(f"t.{sequence_by}") < F.col(f"s.{sequence_by}"))],
+                      matched=[Delete(is_del & (F.col(f"t.{sequence_by}") <= F.col(f"s.{sequence_by}"))
+                                      if guard_deletes else is_del),
+                               Update(~is_del & (F.col(f"t.{sequence_by}") < F.col(f"s.{sequence_by}")))],
                       not_matched=[Insert(~is_del)], check_cardinality=False)  # unique by construction

@@ -53,7 +53,8 @@ def cdc_change_feed(feed: DataFrame, keys: Sequence[str], seq: str, status: str,
 
 
 def changes_between(feed: DataFrame, start: int, end: int | None = None) -> DataFrame:
-    """``table_changes(t, start[, end])``: a partition filter on the version."""
+    """``table_changes(t, start[, end])``: a filter on the version, which prunes partitions when
+    the feed is stored by version (``store_feed``)."""
     c = F.col(CV) >= start
     if end is not None:
         c = c & (F.col(CV) <= end)
@@ -82,9 +83,14 @@ def snapshot_diff(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> D
     keys = list(keys)
     cols = [c for c in after.columns]
     data = [c for c in cols if c not in keys]
-    b = before.select(*keys, F.struct(*data).alias("_b"), F.xxhash64(*data).alias("_hb"))
-    a = after.select(*keys, F.struct(*data).alias("_a"), F.xxhash64(*data).alias("_ha"))
-    j = b.join(a, keys, "full_outer")
+    b = before.select(*[F.col(k).alias(f"_kb{i}") for i, k in enumerate(keys)],
+                      F.struct(*data).alias("_b"), F.xxhash64(*data).alias("_hb"))
+    a = after.select(*[F.col(k).alias(f"_ka{i}") for i, k in enumerate(keys)],
+                     F.struct(*data).alias("_a"), F.xxhash64(*data).alias("_ha"))
+    same = [F.col(f"_kb{i}").eqNullSafe(F.col(f"_ka{i}")) for i in range(len(keys))]
+    j = b.join(a, same, "full_outer").select(
+        *[F.when(F.col("_b").isNull(), F.col(f"_ka{i}")).otherwise(F.col(f"_kb{i}")).alias(k)
+          for i, k in enumerate(keys)], "_b", "_hb", "_a", "_ha")
     row = lambda s, kind: F.struct(*[F.col(k) for k in keys],
                                    *[F.col(f"{s}.{c}").alias(c) for c in data], F.lit(kind).alias(CT))
     ev = (F.when(F.col("_b").isNull(), F.array(row("_a", "insert")))

@@ -1,30 +1,21 @@
-"""Joins.  Broadcast only behind a checked bound on the small side."""
+"""Joins."""
 
 from __future__ import annotations
 
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-# a lookup side is broadcast only when it has at most this many rows
-BROADCAST_MAX_ROWS = 200_000
-
-
-def bounded_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most ``max_rows + 1``."""
-    return df.limit(max_rows + 1).count() <= max_rows
 
 
 def broadcast_lookup(fact: DataFrame, dim: DataFrame, on: Column | str | Sequence[str],
-                     how: str = "inner", max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join a fact to a lookup; broadcast the lookup only if its row count is bounded.
+                     how: str = "inner") -> DataFrame:
+    """Join a fact to a lookup without a forced hint.
 
-    Beyond the bound the join is left to Spark (shuffle join, or a broadcast
-    that adaptive execution picks after measuring the real size).
+    Spark broadcasts the lookup when its size in bytes is below
+    ``spark.sql.autoBroadcastJoinThreshold``, by its statistics or, with adaptive
+    execution, by what it measured; a larger one is shuffled.
     """
-    side = F.broadcast(dim) if bounded_rows(dim, max_rows) else dim
-    return fact.join(side, on, how)
+    return fact.join(dim, on, how)
 
 
 def semi_join(left: DataFrame, right: DataFrame, on) -> DataFrame:

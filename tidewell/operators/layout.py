@@ -4,27 +4,46 @@ partition expiry."""
 from __future__ import annotations
 
 from typing import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
-Z_BITS = 16  # bits kept per column in the interleaved key
+KEY_BITS = 63              # the interleaved key is a non-negative long
+FILE_BYTES = 256 << 20     # wanted size of an output file
 
 
-def zorder_key(df: DataFrame, cols: Sequence[str], bits: int = Z_BITS) -> Column:
-    """Bit-interleaved key of numeric columns scaled to ``bits`` bits each.
+def _as_number(c: str, dtype: T.DataType) -> Column:
+    """An order-preserving double: times as seconds, strings by their first six bytes."""
+    col = F.col(c)
+    if isinstance(dtype, (T.StringType, T.BinaryType)):
+        first = F.rpad(F.substring(F.hex(col), 1, 12), 12, "0")
+        return F.conv(first, 16, 10).cast("double")
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(col).cast("double")
+    if isinstance(dtype, T.TimestampNTZType):
+        return col.cast("timestamp").cast("double")
+    if isinstance(dtype, T.BooleanType):
+        return col.cast("int").cast("double")
+    return col.cast("double")
+
+
+def zorder_key(df: DataFrame, cols: Sequence[str], bits: int | None = None) -> Column:
+    """Bit-interleaved key of columns scaled to ``bits`` bits each (as many as fit in a long).
 
     One aggregate computes each column's min and max (two scalars per column);
     the interleaving itself is a plain Column expression, so it is code-generated.
     """
-    bounds = df.agg(*[F.min(c).alias(f"lo_{i}") for i, c in enumerate(cols)],
-                    *[F.max(c).alias(f"hi_{i}") for i, c in enumerate(cols)]).first()
+    bits = min(bits or 16, KEY_BITS // len(cols), 31)
+    numbers = [_as_number(c, df.schema[c].dataType) for c in cols]
+    bounds = df.agg(*[F.min(v).alias(f"lo_{i}") for i, v in enumerate(numbers)],
+                    *[F.max(v).alias(f"hi_{i}") for i, v in enumerate(numbers)]).first()
     top = (1 << bits) - 1
     scaled = []
-    for i, c in enumerate(cols):
+    for i, v in enumerate(numbers):
         lo, hi = bounds[f"lo_{i}"], bounds[f"hi_{i}"]
-        span = float(hi - lo) if (hi is not None and lo is not None and hi != lo) else 1.0
-        v = F.coalesce(((F.col(c).cast("double") - F.lit(float(lo or 0))) / F.lit(span) * top), F.lit(0.0))
+        span = hi - lo if lo is not None and hi != lo else 1.0
+        v = F.coalesce((v - F.lit(lo or 0.0)) / F.lit(span) * top, F.lit(0.0))
         scaled.append(F.least(F.greatest(v, F.lit(0.0)), F.lit(float(top))).cast("long"))
     k = len(cols)
     key = F.lit(0).cast("long")
@@ -38,12 +57,12 @@ def layout_rewrite(df: DataFrame, path: str, cols: Sequence[str], files: int | N
     """``OPTIMIZE … ZORDER BY`` re-aimed: range-partition and sort so each file
     covers a narrow band of the clustering columns.
 
-    ``files`` is the number of output files (size it to the wanted file size; it
-    defaults to the session's shuffle partition count).  The range key carries a
+    ``files`` is the number of output files; by default it follows the estimated size
+    of ``df``, which is exact for stored tables.  The range key carries a
     hash of the whole row after the clustering key, so a single key value holding
     a large share of all rows spans several contiguous files instead of one task.
     """
-    files = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    files = files or max(1, -(-input_bytes(df) // FILE_BYTES))
     tiebreak = F.xxhash64(*[F.col(c) for c in df.columns]).alias("_tb")
     if len(cols) == 1:
         key = F.col(cols[0])
@@ -55,20 +74,40 @@ def layout_rewrite(df: DataFrame, path: str, cols: Sequence[str], files: int | N
     out.write.mode("overwrite").parquet(path)
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Size in bytes that the optimizer assumes for a DataFrame: for a scan, that of its files
+    (``explain("cost")`` shows the same figure)."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+
+
+def _partition_spec(text: str) -> dict[str, str]:
+    """``a=1/b=2`` as a dict; values are unescaped as the catalog escaped them."""
+    return {k: unquote(v) for k, v in (p.split("=", 1) for p in text.split("/"))}
+
+
 def expire_partitions(spark: SparkSession, table: str, part_col: str, keep_from: str,
                       archive_path: str | None = None) -> list[str]:
-    """Archive then drop partitions whose value is below ``keep_from``.
+    """Archive then drop partitions whose ``part_col`` is below ``keep_from``; return the expired values.
 
-    The partition list comes from the catalog (metadata, one entry per
-    partition); the archive copy is a partition-pruned read.
+    The table may be partitioned by further columns.  The partition list comes from the
+    catalog (metadata, one entry per partition) and all expired partitions go in one
+    statement.  The archive is a partition-pruned copy that replaces the partitions it
+    holds already, so a run repeated after a failure archives nothing twice.
     """
-    parts = [r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
-    expired = sorted(p for p in parts if p < keep_from)
+    specs = [_partition_spec(r[0]) for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    if specs and part_col not in specs[0]:
+        raise ValueError(f"{table} is not partitioned by {part_col}")
+    gone = [s for s in specs if s[part_col] < keep_from]
+    expired = sorted({s[part_col] for s in gone})
     if not expired:
         return []
     if archive_path:
         (spark.table(table).filter(F.col(part_col).isin(expired))
-         .write.mode("append").partitionBy(part_col).parquet(archive_path))
-    for p in expired:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({part_col} = '{p}')")
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*specs[0]).parquet(archive_path))
+
+    def quoted(s: dict[str, str]) -> str:
+        values = {k: v.replace("\\", "\\\\").replace("'", "\\'") for k, v in s.items()}
+        return "PARTITION (" + ", ".join(f"`{k}` = '{v}'" for k, v in values.items()) + ")"
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(quoted(s) for s in gone))
     return expired

@@ -4,10 +4,10 @@
 commit.  The plan is three joins on the merge keys that share one shuffle of
 each side (Spark reuses the exchange):
 
-* ``target ⋈ source`` (inner) – matched pairs, where the ordered WHEN MATCHED
-  clauses pick update / delete / keep;
-* ``target ▷ source`` (left anti) – untouched target rows;
-* ``source ▷ target`` (left anti) – candidates for the WHEN NOT MATCHED clauses.
+* ``target ▷ source`` (left anti, on the keys and on "some clause fires") – target rows
+  that nothing modifies, each once, however many source rows they match;
+* ``target ⋈ source`` (inner, same condition) – the pairs that update or delete;
+* ``source ▷ target`` (left anti, on the keys) – candidates for the WHEN NOT MATCHED clauses.
 
 Inner and anti joins let adaptive execution split a skewed key's partition,
 which a full outer join would not.  Conditions are SQL strings or Columns that
@@ -16,11 +16,11 @@ name the sides ``t`` (target) and ``s`` (source).
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
 from typing import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CHANGE_TYPE = "_change_type"
@@ -50,7 +50,6 @@ class Insert:
 class MergeResult:
     state: DataFrame
     changes: DataFrame
-    metrics: dict = field(default_factory=dict)
 
 
 def _col(e: str | Column) -> Column:
@@ -77,22 +76,25 @@ def merge_into(target: DataFrame, source: DataFrame, on: Sequence[str] | Mapping
     condition is true wins; a matched row no clause accepts is kept; a source
     row no NOT MATCHED clause accepts is dropped; ``SET *``/``INSERT *`` take
     target columns from the source by name (extra source columns are ignored).
-    A target row matched by more than one source row that a clause would modify
-    raises an error.
+    A target row that more than one source row would modify raises an error; source
+    rows that match it without a clause firing do not count.
     """
     tcols = target.columns
     ttypes = {f.name: f.dataType for f in target.schema.fields}
     skeys = list(on.values()) if isinstance(on, Mapping) else list(on)
+    tkeys = list(on)
 
+    check = check_cardinality and bool(matched)
     src = source
-    if check_cardinality and matched:
+    if check:
         # keys with several source rows: a partial aggregate (hot keys combine map-side),
         # joined back; usually tiny, so adaptive execution broadcasts it
         dups = (source.groupBy(*skeys).agg(F.count(F.lit(1)).alias("_s_n"))
                 .filter(F.col("_s_n") > 1)
                 .select(*[F.col(k).alias(f"_dk{i}") for i, k in enumerate(skeys)], "_s_n"))
-        src = (src.join(dups, [F.col(k).eqNullSafe(F.col(f"_dk{i}")) for i, k in enumerate(skeys)], "left")
-               .select(*source.columns, F.coalesce(F.col("_s_n"), F.lit(1)).alias("_s_n")))
+        src = (src.join(dups, [F.col(k) == F.col(f"_dk{i}") for i, k in enumerate(skeys)], "left")
+               .select(*source.columns, F.col("_s_n").isNotNull().alias("_s_dup"),
+                       F.monotonically_increasing_id().alias("_s_id")))
     t = target.alias("t")
     s = src.alias("s")
     cond = _on(on, extra_condition)
@@ -102,10 +104,7 @@ def merge_into(target: DataFrame, source: DataFrame, on: Sequence[str] | Mapping
     for i, clause in reversed(list(enumerate(matched))):
         tag = f"u{i}" if isinstance(clause, Update) else "del"
         action = F.when(_cond(clause.condition), F.lit(tag)).otherwise(action)
-    if check_cardinality and matched:
-        action = F.when((F.col("s._s_n") > 1) & (action != "keep"),
-                        F.raise_error(F.lit("MERGE: a target row matched more than one source row"))
-                        ).otherwise(action)
+    fires = reduce(lambda a, b: a | b, [_cond(c.condition) for c in matched], F.lit(False))
 
     def updated_value(c: str) -> Column:
         v = F.col(f"t.{c}")
@@ -121,16 +120,22 @@ def merge_into(target: DataFrame, source: DataFrame, on: Sequence[str] | Mapping
             v = F.when(F.col("_action") == f"u{i}", new.cast(ttypes[c])).otherwise(v)
         return v.alias(c)
 
-    pairs = t.join(s, cond, "inner").withColumn("_action", action)
-    pre = F.struct(*[F.col(f"t.{c}").alias(c) for c in tcols])
-    post = F.struct(*[updated_value(c) for c in tcols])
-    pairs = pairs.select(F.col("_action"), pre.alias("_pre"), post.alias("_post"))
-
-    kept_pairs = pairs.filter(F.col("_action") != "del").select("_post.*")
-    untouched = t.join(s, cond, "left_anti").select(*[F.col(f"t.{c}").alias(c) for c in tcols])
+    if matched:
+        kept = t.join(s, cond & fires, "left_anti").select(*[F.col(f"t.{c}").alias(c) for c in tcols])
+        pairs = t.join(s, cond & fires, "inner").withColumn("_action", action)
+        pre = F.struct(*[F.col(f"t.{c}").alias(c) for c in tcols])
+        post = F.struct(*[updated_value(c) for c in tcols])
+        extra = [F.col("s._s_dup"), F.col("s._s_id")] if check else []
+        pairs = pairs.select(F.col("_action"), pre.alias("_pre"), post.alias("_post"), *extra)
+        if check:
+            pairs = _one_modifier(pairs, tkeys).select("_action", "_pre", "_post")
+    else:
+        kept, pairs = target, None
 
     # ---- not matched: inserts ---------------------------------------------------
-    parts = [untouched, kept_pairs]
+    parts = [kept]
+    if pairs is not None:
+        parts.append(pairs.filter(F.col("_action") != "del").select("_post.*"))
     inserted = None
     if not_matched:
         cand = s.join(t, cond, "left_anti")
@@ -159,17 +164,34 @@ def merge_into(target: DataFrame, source: DataFrame, on: Sequence[str] | Mapping
     # ---- change rows of this commit ----------------------------------------------
     typed = lambda st, kind: F.struct(*[F.col(f"{st}.{c}") for c in tcols],
                                       F.lit(kind).alias(CHANGE_TYPE))
-    upd = pairs.filter(F.col("_action").startswith("u")).select(
-        F.explode(F.array(typed("_pre", "update_preimage"), typed("_post", "update_postimage"))).alias("r")
-    ).select("r.*")
-    dele = pairs.filter(F.col("_action") == "del").select(typed("_pre", "delete").alias("r")).select("r.*")
-    change_parts = [upd, dele]
+    change_parts = []
+    if pairs is not None:
+        change_parts += [
+            pairs.filter(F.col("_action").startswith("u")).select(F.explode(F.array(
+                typed("_pre", "update_preimage"), typed("_post", "update_postimage"))).alias("r")).select("r.*"),
+            pairs.filter(F.col("_action") == "del").select(typed("_pre", "delete").alias("r")).select("r.*")]
     if inserted is not None:
         change_parts.append(inserted.withColumn(CHANGE_TYPE, F.lit("insert")))
+    if not change_parts:
+        change_parts = [target.limit(0).withColumn(CHANGE_TYPE, F.lit("insert"))]
     changes = reduce(DataFrame.unionByName, change_parts)
     return MergeResult(state, changes)
 
 
+def _one_modifier(pairs: DataFrame, tkeys: Sequence[str]) -> DataFrame:
+    """Raise where a target row is modified by several source rows.
+
+    Only pairs whose source key occurs more than once are looked at: among the pairs of
+    one target row (its keys and a hash of all its columns) there must be one source row.
+    """
+    row = Window.partitionBy(*[F.col(f"_pre.{k}") for k in tkeys], F.xxhash64("_pre"))
+    several = F.min("_s_id").over(row) != F.max("_s_id").over(row)
+    failed = F.raise_error(F.lit("MERGE: a target row matched more than one source row"))
+    judged = (pairs.filter("_s_dup").withColumn("_several", several)
+              .withColumn("_action", F.when(F.col("_several"), failed).otherwise(F.col("_action"))))
+    return pairs.filter("NOT _s_dup").unionByName(judged.drop("_several"))
+
+
 # ---- special cases ---------------------------------------------------------------
 
 

@@ -37,7 +37,9 @@ def check_constraint(df: DataFrame, rules: Rules, strict: bool = False) -> DataF
     return df.filter(guard)
 
 
-expect_fail = check_constraint
+def expect_fail(df: DataFrame, rules: Rules) -> DataFrame:
+    """``ON VIOLATION FAIL UPDATE``: like ``check_constraint``, but a NULL result fails too."""
+    return check_constraint(df, rules, strict=True)
 
 
 def count_violations(df: DataFrame, rules: Rules, strict: bool = False) -> DataFrame:

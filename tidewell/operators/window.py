@@ -1,38 +1,39 @@
 """Latest row per key.
 
-Two plans for the same question:
-
-* ``method="max_by"`` (default): ``max_by(struct(*), order)`` is an ordinary
-  aggregate, so each map task combines its rows before the shuffle and a hot key
-  costs one row per task, not a sort of all its rows.  Ties in the order columns
-  are broken by the remaining columns (deterministic).
+* ``method="max_by"`` (default): one row per key.  With a single order column the largest
+  value per key is a hash aggregate (each map task combines its rows before the shuffle),
+  semi-joined back; ties are then broken by the remaining columns among the survivors.
+  With several order columns the whole row is aggregated by ``max_by``.
 * ``method="rank"``: the rows ``rank() = 1`` would keep (ties all kept, as
-  the reference does, so downstream MERGE may see duplicates).  Planned as a
-  per-key maximum (partial aggregate) semi-joined back, so a hot key is split
-  by adaptive skew handling instead of being sorted in one window task.
+  the reference does, so downstream MERGE may see duplicates): the same without the
+  tie-break.
+
+A hot key costs one row per map task in the aggregate, and adaptive skew handling splits
+it in the join; it is never sorted in one window task.
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | str,
                    method: str = "max_by") -> DataFrame:
     order = [order_by] if isinstance(order_by, str) else list(order_by)
-    if method == "rank":
-        top = df.groupBy(*keys).agg(F.max(F.struct(*[F.col(c) for c in order])).alias("_top"))
-        top = top.select(*keys, *[F.col(f"_top.{c}").alias(f"_top_{c}") for c in order])
-        cond = [df[k].eqNullSafe(top[k]) for k in keys] + [df[c].eqNullSafe(top[f"_top_{c}"]) for c in order]
-        return df.join(top, cond, "left_semi")
-    if method == "window_rank":
-        w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
-        return df.withColumn("_rank", F.rank().over(w)).filter("_rank = 1").drop("_rank")
-    if method != "max_by":
+    if method not in ("rank", "max_by"):
         raise ValueError(f"unknown method {method!r}")
+    if method == "rank" or len(order) == 1:
+        # plain maximum for one column: a struct buffer would force a sort aggregate
+        top = F.max(order[0]) if len(order) == 1 else F.max(F.struct(*[F.col(c) for c in order]))
+        tops = df.groupBy(*[F.col(k).alias(f"_top_k{i}") for i, k in enumerate(keys)]).agg(top.alias("_top"))
+        mine = F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(c) for c in order])
+        cond = [F.col(k).eqNullSafe(F.col(f"_top_k{i}")) for i, k in enumerate(keys)] + [mine.eqNullSafe(F.col("_top"))]
+        df = df.join(tops, cond, "left_semi")
+    if method == "rank":
+        return df
     rest = [c for c in df.columns if c not in keys]
     # order columns first so the struct comparison is by time, then by row content
     ordering = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in rest if c not in order])

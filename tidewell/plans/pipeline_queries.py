@@ -65,16 +65,6 @@ def q_country_sales(spark, d):
     return P.country_sales(spark, d)
 
 
-_FULL: dict = {}
-
-
-def _full(spark, d):
-    key = (id(spark), d)
-    if key not in _FULL:
-        _FULL[key] = P.full_pipeline(spark, d)
-    return _FULL[key]
-
-
 @query("full_pipeline", f"""
 WITH {ITEMS}, cust AS (SELECT DISTINCT user_id FROM events WHERE event_type <> 'error')
 SELECT n_name AS country, date_trunc('day', CAST(o_orderdate AS TIMESTAMP)) AS order_date,
@@ -84,7 +74,7 @@ LEFT JOIN items ON l_orderkey = o_orderkey
 GROUP BY 1, 2
 """)
 def q_full_pipeline(spark, d):
-    return _full(spark, d)["countries_stats"]
+    return P.full_pipeline(spark, d)["countries_stats"]
 
 
 @query("authors_stats", """
@@ -98,4 +88,4 @@ FROM s GROUP BY 1, 2, 3
 HAVING time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE <= (SELECT max(ts) FROM s) - INTERVAL 10 MINUTE
 """)
 def q_authors_stats(spark, d):
-    return _full(spark, d)["authors_stats"]
+    return P.full_pipeline(spark, d)["authors_stats"]

@@ -25,7 +25,7 @@ def q_check_constraint(spark, d):
 
 @query("expect_fail", "SELECT * FROM orders")
 def q_expect_fail(spark, d):
-    return Q.expect_fail(read_table(spark, d, "orders"), ORDER_RULES, strict=True)
+    return Q.expect_fail(read_table(spark, d, "orders"), ORDER_RULES)
 
 
 @query("validate_existing", """

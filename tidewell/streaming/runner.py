@@ -42,8 +42,7 @@ def land_files(df: DataFrame, fmt: str, name: str, chunks: Sequence[Column] | No
 def run_available_now(sdf: DataFrame, name: str, *, path: str | None = None, fmt: str = "parquet",
                       output_mode: str = "append", partition_by: Sequence[str] | None = None,
                       foreach_batch: Callable[[DataFrame, int], None] | None = None,
-                      checkpoint: str | None = None, timeout_s: int = 600,
-                      trigger: str | None = "available_now") -> str:
+                      checkpoint: str | None = None, trigger: str | None = "available_now") -> str:
     """Run a streaming DataFrame to the end of the available input; return the output path.
 
     ``trigger``: ``"available_now"`` (default), ``"once"``, a processing-time
@@ -67,10 +66,7 @@ def run_available_now(sdf: DataFrame, name: str, *, path: str | None = None, fmt
             w = w.partitionBy(*partition_by)
         q = w.format(fmt).start(path)
     if finite:
-        q.awaitTermination(timeout_s)
-        if q.isActive:
-            q.stop()
-            raise TimeoutError(f"stream {name} did not finish in {timeout_s}s")
+        q.awaitTermination()  # however long the input takes
     else:
         try:
             q.processAllAvailable()  # every file present has been committed to the sink
