@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidewell.llm.textops import ALNUM_WORDS, Batch
+from tidewell.llm.textops import ALNUM_WORDS, Batch, slices
 
 WINDOW = 10
 BLOCK_BYTES = 1 << 20        # item text in one automaton
@@ -196,7 +196,7 @@ def _pass(shared, schema: pa.Schema):
     """Adds one block's hits and items to the rows."""
     def run(batches):
         block = shared.value
-        for batch in batches:
+        for batch in slices(batches, "_text"):
             b = Batch(batch.column("_text"), ALNUM_WORDS, lower=True)
             hit, items = block.match(b, b.hashes())
             if items:
@@ -216,7 +216,7 @@ def _pass(shared, schema: pa.Schema):
 def _finish(schema: pa.Schema, min_span: int, max_coverage: float):
     """Counts, and the texts without their hit runs."""
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, "_text"):
             b = Batch(batch.column("_text"), ALNUM_WORDS, lower=True)
             hit = _hits(batch, b.first)
             n_words = b.n_words

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidewell.llm.textops import Batch, LOWER, U64
+from tidewell.llm.textops import Batch, LOWER, U64, slices
 
 BUCKETS = 1 << 14
 SIZES = (1, 2, 3, 4)
@@ -116,7 +116,7 @@ def _sample(docs: DataFrame, id_col: Column, text: Column, lang: Column, rows: i
         keep = keep | ((F.col("lang") == name) & (F.col("h") <= most))
 
     def counts(batches):
-        for batch in batches:
+        for batch in slices(batches, "text"):
             bucket, bound = subwords(batch.column("text"))
             owner = np.repeat(np.arange(batch.num_rows), np.diff(bound))
             key, n = np.unique(owner * BUCKETS + bucket, return_counts=True)
@@ -203,7 +203,7 @@ def identify_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc
     def predict(batches):
         m = shared.value
         names = np.array([*m.languages, UNKNOWN], object)
-        for batch in batches:
+        for batch in slices(batches, "_text"):
             letter = batch.column("_letter").to_numpy(zero_copy_only=False)
             if m.languages:
                 p, n = m.probabilities(batch.column("_text"))

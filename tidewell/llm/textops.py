@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 U64 = np.uint64
@@ -156,6 +157,21 @@ def chunk_texts(docs: DataFrame, id_col: str, text_col: str, chunk_bytes: int, m
     return out, total
 
 
+SLICE_BYTES = 1 << 20
+
+
+def slices(batches, column: str, limit: int = SLICE_BYTES):
+    """The batches in pieces of about ``limit`` bytes of text (a longer text is one piece), so that the
+    arrays made from a piece stay small whatever the number of rows in a batch."""
+    for batch in batches:
+        size = pc.fill_null(pc.binary_length(batch.column(column).cast(pa.large_binary())), 0).to_numpy(zero_copy_only=False)
+        piece = (np.cumsum(size) - size) // limit
+        cut = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
+        for a, z in zip(cut, cut[1:]):
+            if z > a:
+                yield batch.slice(a, z - a)
+
+
 def binary(payloads: list[bytes]) -> pa.Array:
     return pa.array(payloads, pa.binary())
 

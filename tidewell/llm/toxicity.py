@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidewell.llm.language_id import WORD_BYTES
-from tidewell.llm.textops import Batch, U64
+from tidewell.llm.textops import Batch, U64, slices
 
 PARTS = (3, 4, 5, 6, 7)         # bytes of beginnings and endings
 TOXIC_ROWS, CLEAN_ROWS = 3000, 9000   # bound of the training sample
@@ -95,7 +95,7 @@ def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, toxi
 def _feature_counts(keep: np.ndarray | None):
     """Documents with a feature, and which of 64 hash bins the words before it fall into."""
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, "text"):
             b = Batch(batch.column("text"), WORD_BYTES, lower=True)
             kinds = 1 + 2 * len(PARTS)
             words = b.hashes()
@@ -240,7 +240,7 @@ def train_toxicity_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_
     def events(batches):
         f = shared.value
         table = ToxicityModel(f, f, 0.0, f, 0.0, 0.0).table()
-        for batch in batches:
+        for batch in slices(batches, "text"):
             b = Batch(batch.column("text"), WORD_BYTES, lower=True)
             token, index = find_features(b, f, table)
             at = np.searchsorted(token, b.first)
@@ -339,7 +339,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, *keep: Column, id_col:
         m = shared.value
         chain, table = Chain(m), m.table()
         nothing = chain.score(0.0)
-        for batch in batches:
+        for batch in slices(batches, "_text"):
             b = Batch(batch.column("_text"), WORD_BYTES, lower=True)
             score, spans = np.full(b.n, nothing), [[]] * b.n
             token, index = find_features(b, m.features, table)
