@@ -77,7 +77,7 @@ def layout_rewrite(df: DataFrame, path: str, cols: Sequence[str], files: int | N
 def input_bytes(df: DataFrame) -> int:
     """Size in bytes that the optimizer assumes for a DataFrame: for a scan, that of its files
     (``explain("cost")`` shows the same figure)."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def _partition_spec(text: str) -> dict[str, str]:

@@ -1,9 +1,11 @@
 """Multi-hop pipelines assembled from the library's functions.
 
-Each step is a Structured Streaming query run available-now (incremental:
-re-running processes only new files) or a batch aggregate over the step
-before.  Tables and checkpoints live under one pipeline folder in the shared
-checkpoint root; steps hand over only through those tables.
+Each step is a Structured Streaming query run available-now or a batch aggregate
+over the step before.  Tables and checkpoints live under one pipeline folder
+(``root``; a new one in the shared checkpoint folder if none is given), and steps hand
+over only through those tables.  Run again with the same ``root``, a pipeline lands
+the rows it is given, and every step processes only what is new: tables are made
+where there are none, and the checkpoints say how far each step has come.
 """
 
 from __future__ import annotations
@@ -17,18 +19,20 @@ from tidewell.functions.scalar import day_bucket, json_path, unix_seconds_to_ts
 from tidewell.operators import quality as Q
 from tidewell.operators.cdc import scd1_upsert
 from tidewell.operators.joins import broadcast_lookup
+from tidewell.operators.layout import input_bytes
 from tidewell.operators.merge import MergeResult, merge_insert_only
 from tidewell.operators.scd2 import scd2_apply, scd2_current
 from tidewell.plans.gold import country_day_stats_of
 from tidewell.session import scratch_path
 from tidewell.sources import shapes
 from tidewell.streaming.cdc import DELETED, apply_changes_batch, live_rows
-from tidewell.streaming.joins import newest_version_join
+from tidewell.streaming.joins import fresh_static_join, newest_version_join
 from tidewell.streaming.runner import land_files, run_available_now
 from tidewell.streaming.stateful import stream_dedup, tumbling_stats
 from tidewell.streaming.store import EpochTable, VersionedTable
 
 JSON_TS = {"timestampFormat": shapes.JSON_TS_FORMAT}
+MONTH_BUCKET = "year(order_timestamp) * 12 + month(order_timestamp)"
 RAW_ORDER_DDL = (f"order_id BIGINT, order_timestamp BIGINT, customer_id BIGINT, quantity BIGINT, total BIGINT, "
                  f"books ARRAY<{shapes.ITEM_DDL}>")
 
@@ -39,8 +43,13 @@ class Workspace:
     root: str
 
     @classmethod
-    def new(cls, spark: SparkSession, name: str) -> "Workspace":
-        return cls(spark, scratch_path(spark, f"pipeline-{name}"))
+    def new(cls, spark: SparkSession, name: str, root: str | None = None) -> "Workspace":
+        return cls(spark, root or scratch_path(spark, f"pipeline-{name}"))
+
+    def table(self, name: str, keys: list[str], ddl_or_schema, source: DataFrame, **kw) -> VersionedTable:
+        """A keyed table, made empty on the first run; its buckets follow the size of ``source``."""
+        empty = self.spark.createDataFrame([], ddl_or_schema)
+        return VersionedTable(self.spark, self.path(name), keys, **kw).ensure(empty, input_bytes(source))
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -59,17 +68,35 @@ class Workspace:
         return run_available_now(sdf, name, path=self.path(name), checkpoint=self.checkpoint(name), **kw)
 
 
-def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as the raw feed carries them: ``order_timestamp`` in unix seconds."""
+def raw_orders(spark: SparkSession, sf_dir: str, where: str | None = None) -> DataFrame:
+    """Orders as the raw feed carries them: ``order_timestamp`` in unix seconds.  ``where``
+    (over the order columns) chooses what a delivery holds."""
     o = shapes.book_orders(spark, sf_dir)
-    return o.withColumn("order_timestamp", F.unix_timestamp("order_timestamp"))
+    return (o.filter(where) if where else o).withColumn("order_timestamp", F.unix_timestamp("order_timestamp"))
+
+
+# The column names of silver and gold (f_name, l_name, books_counts, order_date, …) are fixed
+# values: users of the reference select them by name.
+
+def enriched_orders(orders: DataFrame, customers: DataFrame, how: str, *more) -> DataFrame:
+    """Raw orders with their customer's name and a parsed time."""
+    return orders.join(customers, "customer_id", how).select(
+        "order_id", "quantity", "customer_id", json_path("profile", "first_name").alias("f_name"),
+        json_path("profile", "last_name").alias("l_name"), unix_seconds_to_ts("order_timestamp").alias("order_timestamp"),
+        "books", *more)
+
+
+def daily_books(orders: DataFrame, *more: str) -> DataFrame:
+    """Books per customer and day."""
+    return (orders.groupBy("customer_id", "f_name", "l_name", day_bucket("order_timestamp").alias("order_date"), *more)
+            .agg(F.sum("quantity").alias("books_counts")))
 
 
 # ---------------------------------------------------------------- bookstore medallion (bronze/silver/gold)
 
-def medallion_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ws = Workspace.new(spark, "medallion")
-    landing = land_files(raw_orders(spark, sf_dir), "json", "orders-raw", path=ws.path("landing"))
+def medallion_daily(spark: SparkSession, sf_dir: str, root: str | None = None, where: str | None = None) -> DataFrame:
+    ws = Workspace.new(spark, "medallion", root)
+    landing = land_files(raw_orders(spark, sf_dir, where), "json", "orders-raw", path=ws.path("landing"))
     customers = shapes.customer_profiles(spark, sf_dir)  # static lookup
     # bronze: raw rows + arrival time + source file
     bronze = (spark.readStream.schema(RAW_ORDER_DDL).json(landing)
@@ -77,17 +104,10 @@ def medallion_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
               .withColumn("source_file", F.col("_metadata.file_path")))
     ws.run(bronze, "orders_bronze")
     # silver: enrich with the customer's name, parse time, keep orders with books
-    silver = (ws.stream("orders_bronze").join(customers, "customer_id", "inner")
-              .select("order_id", "quantity", "customer_id",
-                      json_path("profile", "first_name").alias("f_name"),
-                      json_path("profile", "last_name").alias("l_name"),
-                      unix_seconds_to_ts("order_timestamp").alias("order_timestamp"), "books")
-              .filter(F.col("quantity") > 0))
+    silver = enriched_orders(ws.stream("orders_bronze"), customers, "inner").filter(F.col("quantity") > 0)
     ws.run(silver, "orders_silver")
     # gold: books per customer and day, complete mode
-    gold = (ws.stream("orders_silver")
-            .groupBy("customer_id", "f_name", "l_name", day_bucket("order_timestamp").alias("order_date"))
-            .agg(F.sum("quantity").alias("books_counts")))
+    gold = daily_books(ws.stream("orders_silver"))
     table = EpochTable(spark, ws.path("daily_customer_books"))
     run_available_now(gold, "gold", output_mode="complete", foreach_batch=table.write,
                       checkpoint=ws.checkpoint("gold"))
@@ -101,31 +121,16 @@ def orders_cleaned(spark: SparkSession, sf_dir: str, ws: Workspace) -> DataFrame
     customers = shapes.customer_profiles(spark, sf_dir)
     raw = spark.readStream.schema(RAW_ORDER_DDL).json(landing)
     cleaned = Q.expect_drop(raw, {"valid_order_number": "order_id IS NOT NULL"})
-    cleaned = (cleaned.join(customers, "customer_id", "left")
-               .select("customer_id", "order_id", "quantity",
-                       json_path("profile", "first_name").alias("f_name"),
-                       json_path("profile", "last_name").alias("l_name"),
-                       unix_seconds_to_ts("order_timestamp").alias("order_timestamp"), "books",
-                       json_path("profile", "address", "country").alias("country")))
-    ws.run(cleaned, "orders_cleaned")
+    cleaned = enriched_orders(cleaned, customers, "left", json_path("profile", "address", "country").alias("country"))
+    ws.run(cleaned, "orders_cleaned", partition_by=["country"])
     return spark.read.parquet(ws.path("orders_cleaned"))
 
 
-def country_daily_books(cleaned: DataFrame, country: str) -> DataFrame:
-    return (cleaned.filter(F.col("country") == country)
-            .groupBy("customer_id", "f_name", "l_name", day_bucket("order_timestamp").alias("order_date"))
-            .agg(F.sum("quantity").alias("books_counts"))
-            .withColumn("country", F.lit(country)))
-
-
 def country_daily(spark: SparkSession, sf_dir: str, countries=("NATION_1", "NATION_6")) -> DataFrame:
+    """Daily books of chosen countries, from their partitions of the cleaned orders in one scan."""
     ws = Workspace.new(spark, "country-daily")
     cleaned = orders_cleaned(spark, sf_dir, ws)
-    out = None
-    for c in countries:
-        g = country_daily_books(cleaned, c)
-        out = g if out is None else out.unionByName(g)
-    return out
+    return daily_books(cleaned.filter(F.col("country").isin(*countries)), "country")
 
 
 # ---------------------------------------------------------------- CDC books pipeline
@@ -136,10 +141,8 @@ def books_silver(spark: SparkSession, sf_dir: str, ws: Workspace) -> DataFrame:
     landing = land_files(shapes.books_cdc(spark, sf_dir), "json", "books-cdc", path=ws.path("books_landing"), **JSON_TS)
     bronze = spark.readStream.schema(shapes.BOOK_CDC_DDL).options(**JSON_TS).json(landing)
     cols = ["book_id", "title", "author", "price", "row_time"]
-    table = VersionedTable(spark, ws.path("books_silver"), ["book_id"], buckets=16)
-    empty = spark.createDataFrame([], shapes.books_cdc(spark, sf_dir).select(*cols).schema).withColumn(
-        DELETED, F.lit(False))
-    table.create(empty)
+    schema = shapes.books_cdc(spark, sf_dir).select(*cols).withColumn(DELETED, F.lit(False)).schema
+    table = ws.table("books_silver", ["book_id"], schema, spark.read.schema(shapes.BOOK_CDC_DDL).json(landing))
 
     def upsert(batch, epoch):
         src = batch.select(*cols, (F.col("row_status") == "DELETE").alias(DELETED))
@@ -185,21 +188,26 @@ def country_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- nine-task pipeline
 
-def full_pipeline(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def full_pipeline(spark: SparkSession, sf_dir: str, root: str | None = None,
+                  where: str | None = None) -> dict[str, DataFrame]:
     """land → bronze → customers / orders / books silver → customers_orders, books_sales
-    → countries_stats, authors_stats."""
+    → countries_stats, authors_stats.
+
+    ``where`` (over the envelope columns) chooses what this run lands; with the same ``root``
+    the next run goes on from there."""
     from tidewell.plans.stream_queries import ORDER_VALUE_DDL, bronze_stream, demux, land_envelope
-    ws = Workspace.new(spark, "full")
+    ws = Workspace.new(spark, "full", root)
     lookup = shapes.country_lookup(spark, sf_dir)
     # task 1-2: land and ingest the multiplex feed into bronze, partitioned by topic and month
-    ws.run(bronze_stream(spark, land_envelope(spark, sf_dir)), "bronze", partition_by=["topic", "year_month"])
+    landing = land_envelope(spark, sf_dir, ws.path("landing"), where)
+    ws.run(bronze_stream(spark, landing), "bronze", partition_by=["topic", "year_month"])
     bronze = lambda: ws.stream("bronze")
+    landed = spark.read.parquet(ws.path("bronze"))
 
     # task 3: customers silver, newest wins, with change rows
     cust_cols = ["customer_id", "email", "first_name", "city", "country", "balance", "row_time"]
-    customers = VersionedTable(spark, ws.path("customers_silver"), ["customer_id"], buckets=16)
-    customers.create(spark.createDataFrame([], "customer_id bigint, email string, first_name string, city string, "
-                                                "country string, balance double, row_time timestamp"))
+    customers = ws.table("customers_silver", ["customer_id"], "customer_id bigint, email string, first_name string, "
+                         "city string, country string, balance double, row_time timestamp", landed)
     cust_src = (broadcast_lookup(demux(bronze(), "customers", shapes.CUSTOMER_DDL), lookup,
                                  F.col("country_code") == F.col("code"), "inner")
                 .select(*cust_cols, "row_status"))
@@ -215,10 +223,10 @@ def full_pipeline(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
     # task 4: orders silver, deduplicated within the watermark, insert-only
     order_cols = ["order_id", "order_timestamp", "customer_id", "quantity", "total", "books"]
-    orders = VersionedTable(spark, ws.path("orders_silver"), ["order_id"], buckets=16)
-    orders.create(spark.createDataFrame([], ", ".join(
+    # buckets are months of the order time, part of the merge key: a batch rewrites its own months only
+    orders = ws.table("orders_silver", ["order_id", "order_timestamp"], ", ".join(
         ["order_id bigint", "order_timestamp timestamp", "customer_id bigint", "quantity bigint", "total bigint",
-         f"books array<{shapes.ITEM_DDL}>"])))
+         f"books array<{shapes.ITEM_DDL}>"]), landed, bucket_by=MONTH_BUCKET)
     ord_src = stream_dedup(demux(bronze(), "orders", ORDER_VALUE_DDL).select(*order_cols),
                            ["order_id", "order_timestamp"], "order_timestamp", "30 seconds")
 
@@ -231,9 +239,8 @@ def full_pipeline(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
                       checkpoint=ws.checkpoint("orders_silver"))
 
     # task 5: books silver, type 2 on price
-    books = VersionedTable(spark, ws.path("books_silver"), ["book_id"], buckets=16)
-    books.create(spark.createDataFrame([], "book_id bigint, title string, author string, price double, "
-                                           "current boolean, effective_date timestamp, end_date timestamp"))
+    books = ws.table("books_silver", ["book_id"], "book_id bigint, title string, author string, price double, "
+                     "current boolean, effective_date timestamp, end_date timestamp", landed)
     book_src = demux(bronze(), "books", shapes.BOOK_DDL)
 
     def upsert_books(batch, epoch):
@@ -242,7 +249,7 @@ def full_pipeline(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             commit_ts=F.lit(None).cast("timestamp"))
 
     run_available_now(book_src, "books_silver", foreach_batch=upsert_books, checkpoint=ws.checkpoint("books_silver"))
-    current_books = scd2_current(books.read(), "book_id", "price", ["title", "author"])
+    current_books = lambda: scd2_current(books.read(), "book_id", "price", ["title", "author"])
 
     # task 6: customers_orders = each order with its customer's newest version from the
     # customer change feed (insert / update_postimage rows), newest-wins per (order, customer).
@@ -266,8 +273,7 @@ def full_pipeline(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             .unionByName(cust_changes.withColumn("_side", F.lit("customer")), allowMissingColumns=True))
     co_cols = ["order_id", "order_timestamp", "customer_id", "quantity", "total", "email", "first_name",
                "city", "country", "balance", "row_time", "processed_timestamp"]
-    co = VersionedTable(spark, ws.path("customers_orders"), ["order_id", "customer_id"], buckets=16)
-    co.create(spark.createDataFrame([], both.select(*co_cols).schema))
+    co = ws.table("customers_orders", ["order_id", "customer_id"], both.select(*co_cols).schema, landed)
 
     def upsert_co(batch, epoch):
         src = newest_version_join(
@@ -282,23 +288,31 @@ def full_pipeline(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     run_available_now(both, "customers_orders", foreach_batch=upsert_co,
                       checkpoint=ws.checkpoint("customers_orders"))
 
-    # task 7: books_sales = order items ⋈ current books (static side re-read per batch)
+    # task 7: books_sales = order items ⋈ current books; every micro-batch reads the current books anew
     items = (spark.readStream.schema(o_schema).parquet(orders.path + "/changes")
              .filter(F.col("_change_type") == "insert")
              .select("order_id", "order_timestamp", "customer_id", F.explode("books").alias("book")))
-    sales = (items.join(current_books, F.col("book.book_id") == current_books.book_id, "inner")
-             .select("order_id", "order_timestamp", "customer_id", current_books.book_id, "title", "author",
-                     "price", F.col("book.quantity").alias("quantity")))
-    ws.run(sales, "books_sales")
+    sale = "order_id bigint, order_timestamp timestamp, customer_id bigint, book_id bigint, title string, " \
+           "author string, price double, quantity bigint"
+
+    def write_sales(joined, epoch):
+        # one folder an epoch: a replayed micro-batch overwrites its own rows
+        (joined.select("order_id", "order_timestamp", "customer_id", "book_id", "title", "author", "price",
+                       F.col("book.quantity").alias("quantity"))
+         .write.mode("overwrite").parquet(f"{ws.path('books_sales')}/epoch={epoch}"))
+
+    run_available_now(items.withColumn("book_id", F.col("book.book_id")), "books_sales",
+                      foreach_batch=fresh_static_join(current_books, "book_id", "inner", write_sales),
+                      checkpoint=ws.checkpoint("books_sales"))
 
     # tasks 8-9: gold
     countries_stats = country_day_stats_of(co.read())
-    authors = tumbling_stats(ws.stream("books_sales"), "order_timestamp", ["author"], "order_id", "quantity",
+    authors = tumbling_stats(ws.stream("books_sales", sale), "order_timestamp", ["author"], "order_id", "quantity",
                              watermark="10 minutes")
     ws.run(authors, "authors_stats")
     return {"countries_stats": countries_stats,
             "authors_stats": spark.read.parquet(ws.path("authors_stats")),
-            "customers_orders": co.read(), "current_books": current_books}
+            "customers_orders": co.read(), "current_books": current_books()}
 
 
 def _no_changes(cur: DataFrame) -> DataFrame:

@@ -263,8 +263,9 @@ def q_stream_stream_join(spark, d):
 # ---------------------------------------------------------------------------- multiplex bronze
 
 
-def land_envelope(spark, d) -> str:
-    return land_files(shapes.bronze_envelope(spark, d), "json", "landing-kafka")
+def land_envelope(spark, d, path: str | None = None, where: str | None = None) -> str:
+    feed = shapes.bronze_envelope(spark, d)
+    return land_files(feed.filter(where) if where else feed, "json", "landing-kafka", path=path)
 
 
 def bronze_stream(spark, landing: str):
@@ -333,9 +334,11 @@ def q_upsert_stream(spark, d):
     drops = [o.filter(ts < y(1997)), o.filter((ts >= y(1997)) & (ts < y(1999))), o.filter(ts >= y(1999))]
     landing = scratch_path(spark, "landing-orders-drops")
     ckpt = scratch_path(spark, "checkpoint-upsert_stream")
-    table = VersionedTable(spark, scratch_path(spark, "orders_silver"), ["order_id"], buckets=16)
-    table.create(spark.createDataFrame([], o.schema))
     keys = ["order_id", "order_timestamp"]
+    # months as buckets: a drop is local in time, so a batch rewrites its own months only
+    table = VersionedTable(spark, scratch_path(spark, "orders_silver"), keys,
+                           bucket_by="year(order_timestamp) * 12 + month(order_timestamp)")
+    table.create(spark.createDataFrame([], o.schema))
 
     def upsert(batch, epoch):
         table.commit(epoch + 1, batch, lambda cur, src: merge_insert_only(cur, src, keys),
@@ -359,21 +362,18 @@ def q_delete_requests(spark, d):
     return _read(spark, run_available_now(delete_requests(src), "delete_requests"))
 
 
-@query("propagate_deletes", FEED_SQL + """
-SELECT o_orderkey AS order_id, o_custkey AS customer_id FROM orders
-WHERE o_custkey NOT IN (SELECT customer_id FROM feed WHERE _change_type = 'delete')
-""")
-def q_propagate_deletes(spark, d):
+def _propagate_deletes(spark, d):
     """Delete rows from the change feed of customers remove that customer's orders
-    downstream and mark the delete requests done, one micro-batch at a time."""
+    downstream and mark the delete requests done, one micro-batch at a time.  Returns
+    both tables."""
     feed = customer_change_feed(spark, d)
     feed_path = scratch_path(spark, "customers-changes")
     feed.hint("rebalance", "_commit_version").write.partitionBy("_commit_version").parquet(feed_path)
     orders = read_table(spark, d, "orders").select(F.col("o_orderkey").alias("order_id"),
                                                    F.col("o_custkey").alias("customer_id"))
-    down = VersionedTable(spark, scratch_path(spark, "customers_orders"), ["customer_id"], buckets=16)
+    down = VersionedTable(spark, scratch_path(spark, "customers_orders"), ["customer_id"])
     down.create(orders)
-    reqs = VersionedTable(spark, scratch_path(spark, "delete_requests"), ["customer_id"], buckets=16)
+    reqs = VersionedTable(spark, scratch_path(spark, "delete_requests"), ["customer_id"])
     reqs.create(delete_requests(shapes.customer_feed(spark, d)))
     schema = spark.read.parquet(feed_path).schema
     deletes = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 8).parquet(feed_path)
@@ -386,7 +386,25 @@ def q_propagate_deletes(spark, d):
         reqs.commit(epoch + 1, keys, lambda cur, k: mark_deleted(k, cur, ["customer_id"]), commit_ts=ts)
 
     run_available_now(deletes, "propagate_deletes", foreach_batch=propagate)
-    return down.read()
+    return down.read(), reqs.read()
+
+
+@query("propagate_deletes", FEED_SQL + """
+SELECT o_orderkey AS order_id, o_custkey AS customer_id FROM orders
+WHERE o_custkey NOT IN (SELECT customer_id FROM feed WHERE _change_type = 'delete')
+""")
+def q_propagate_deletes(spark, d):
+    return _propagate_deletes(spark, d)[0]
+
+
+@query("propagate_deletes_requests", FEED_SQL + """
+SELECT customer_id, row_time AS request_timestamp, CAST(row_time AS DATE) + 30 AS deadline,
+       CASE WHEN customer_id IN (SELECT customer_id FROM feed WHERE _change_type = 'delete')
+            THEN 'deleted' ELSE 'requested' END AS status
+FROM cf WHERE row_status = 'delete'
+""")
+def q_propagate_deletes_requests(spark, d):
+    return _propagate_deletes(spark, d)[1]
 
 
 @query("stream_changes", FEED_SQL + f"SELECT * FROM feed WHERE _commit_version >= {V15}")

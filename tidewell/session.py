@@ -98,3 +98,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(conf).exists(p)
+
+
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder on its file system, making the parent of the target."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    a, b = (jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
+    fs = a.getFileSystem(conf)
+    fs.mkdirs(b.getParent())
+    if not fs.rename(a, b):
+        raise OSError(f"could not move {source} to {target}")

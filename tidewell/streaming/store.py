@@ -1,19 +1,23 @@
 """Table state for streaming upserts on plain Parquet (no table-format jar).
 
-``VersionedTable`` keeps a keyed table as versions of hash buckets:
+``VersionedTable`` keeps a keyed table as versions of buckets:
 
     <path>/state/_tw_version=<n>/_tw_bucket=<b>/part-*.parquet   rows of bucket b as of version n
-    <path>/changes/_commit_version=<n>/…                         change rows of that commit
     <path>/manifest/_tw_version=<n>/…                            (bucket, version) rows: the commit marker
+    <path>/changes/_commit_version=<n>/…                         change rows of that commit
 
-A commit reads only the buckets its source rows hash to, applies a pure
-function ``(current_rows, source) -> MergeResult`` and writes those buckets
-under a new version directory, then the change rows, then the manifest.  A
-crash before the manifest leaves the version invisible; re-running the same
-version overwrites the same directories, so ``foreachBatch`` replays are
-idempotent.  A read picks, per bucket, the newest version ≤ the one asked for;
-the (bucket, version) list is bounded by the bucket count and broadcast, so
-partition pruning keeps the scan to the live files.
+A commit reads only the buckets its source rows fall into, applies a pure function
+``(current_rows, source) -> MergeResult``, writes those buckets under a new version
+directory and the change rows into a folder nobody reads, then the manifest, and
+last moves the change rows to their place.  A version whose manifest exists is
+never written again: a replayed ``foreachBatch`` epoch only finishes a move that
+was cut off, so a stream over ``changes`` sees every change row once.  (The move is
+one rename, atomic on file systems that have renames.)
+
+Buckets are hashes of the keys unless ``bucket_by`` names an expression of the key
+columns: with one that follows the arrival order (a day, a month) a batch rewrites
+only the buckets it is local in.  A read picks, per bucket, the newest version ≤
+the one asked for by a join with the (bucket, version) list.
 
 ``EpochTable`` is the complete-mode sink: each epoch's full result goes to its
 own directory and readers take the newest.
@@ -29,22 +33,38 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from tidewell.operators.changes import CT, CTS, CV
+from tidewell.operators.changes import CTS, CV
+from tidewell.operators.layout import input_bytes
 from tidewell.operators.merge import MergeResult
-from tidewell.session import path_exists
+from tidewell.session import move_path, path_exists
 
 # partition columns of the layout (named so they cannot clash with table columns)
 V, B = "_tw_version", "_tw_bucket"
 KIND = "_tw_is_state"
 
 
+BUCKET_BYTES = 128 << 20
+
+
 class VersionedTable:
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = 64):
-        self.spark, self.path, self.keys, self.buckets = spark, path.rstrip("/"), list(keys), buckets
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int | None = None,
+                 bucket_by: str | None = None):
+        """``buckets``: number of hash buckets; by default it follows the size given to
+        ``create``.  ``bucket_by``: SQL over key columns giving the bucket number instead."""
+        self.spark, self.path, self.keys, self.bucket_by = spark, path.rstrip("/"), list(keys), bucket_by
+        self._buckets = buckets
         self._schema: StructType | None = None
 
     # ---- layout ------------------------------------------------------------------
+    @property
+    def buckets(self) -> int:
+        if self._buckets is None:
+            self.schema()
+        return self._buckets
+
     def bucket_of(self) -> "F.Column":
+        if self.bucket_by is not None:
+            return F.coalesce(F.expr(self.bucket_by).cast("int"), F.lit(-1))
         return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
 
     def _manifest(self) -> DataFrame | None:
@@ -76,19 +96,33 @@ class VersionedTable:
         if version is not None:
             # static partition filter: a replayed commit never reads the directory it rewrites
             st = st.filter(F.col(V) <= version)
-        # (bucket, version) pairs: at most ``buckets`` rows → broadcast; prunes partitions
-        return st.join(F.broadcast(live), [V, B], "left_semi").drop(V, B)
+        # (bucket, version) pairs: one row per bucket, which prunes the partitions
+        return st.join(live, [V, B], "left_semi").drop(V, B)
 
     # ---- API ------------------------------------------------------------------------
-    def create(self, df: DataFrame) -> None:
+    def exists(self) -> bool:
+        return path_exists(self.spark, f"{self.path}/schema")
+
+    def create(self, df: DataFrame, expected_bytes: int | None = None) -> None:
         """Version 0: every bucket of ``df`` (overwrites an earlier create).
 
-        The schema is stored next to the data, so an empty table has one too.
+        ``expected_bytes`` is the size the table will have (by default that of ``df``); the
+        bucket count follows it.  The schema is stored next to the data, so an empty
+        table has one too.
         """
+        if self._buckets is None:
+            self._buckets = max(8, -(-(expected_bytes or input_bytes(df)) // BUCKET_BYTES))
         self._schema = df.schema
-        (self.spark.createDataFrame([(df.schema.json(),)], "value string").coalesce(1)
+        meta = json.dumps({"schema": df.schema.jsonValue(), "buckets": self._buckets})
+        (self.spark.createDataFrame([(meta,)], "value string").coalesce(1)
          .write.mode("overwrite").text(f"{self.path}/schema"))
-        self._write(0, df, None, all_buckets=True)
+        self._write(0, df, None, touched=None)
+
+    def ensure(self, df: DataFrame, expected_bytes: int | None = None) -> "VersionedTable":
+        """``create`` unless the table is there already."""
+        if not self.exists():
+            self.create(df, expected_bytes)
+        return self
 
     def read(self, version: int | None = None, schema=None) -> DataFrame:
         if schema is None:
@@ -97,25 +131,34 @@ class VersionedTable:
 
     def schema(self) -> StructType:
         if self._schema is None:
-            text = self.spark.read.text(f"{self.path}/schema").first()[0]
-            self._schema = StructType.fromJson(json.loads(text))
+            meta = json.loads(self.spark.read.text(f"{self.path}/schema").first()[0])
+            self._schema, self._buckets = StructType.fromJson(meta["schema"]), meta["buckets"]
         return self._schema
 
     def changes(self, start: int | None = None, end: int | None = None) -> DataFrame:
+        """Change rows of committed versions."""
         ch = self.spark.read.parquet(f"{self.path}/changes")
         if start is not None:
             ch = ch.filter(F.col(CV) >= start)
         if end is not None:
             ch = ch.filter(F.col(CV) <= end)
-        return ch
+        committed = self._manifest().select(F.col(V).alias(CV)).distinct()
+        return ch.join(committed, CV, "left_semi").select(*ch.columns)
+
+    def committed(self, version: int) -> bool:
+        m = self._manifest()
+        return m is not None and bool(m.filter(F.col(V) == version).limit(1).collect())
 
     def commit(self, version: int, source: DataFrame,
                apply: Callable[[DataFrame, DataFrame], MergeResult],
                commit_ts: "F.Column | None" = None) -> None:
-        """Apply ``apply(current_rows_of_touched_buckets, source)`` as ``version``."""
+        """Apply ``apply(current_rows_of_touched_buckets, source)`` as ``version``, once."""
         schema = self.schema()
+        if self.committed(version):
+            self._publish(version)
+            return
         touched_rows = source.select(self.bucket_of().alias(B)).distinct()
-        touched = [r[0] for r in touched_rows.collect()]  # at most ``buckets`` ints
+        touched = [r[0] for r in touched_rows.collect()]  # one integer per bucket
         if not touched:
             return
         tb = self.spark.createDataFrame([(b,) for b in touched], f"{B} int")
@@ -123,9 +166,15 @@ class VersionedTable:
         result = apply(current, source)
         self._write(version, result.state, result.changes, touched=touched, commit_ts=commit_ts)
 
+    def _publish(self, version: int) -> None:
+        """Move the change rows of a committed version to where they are read."""
+        pending, final = (f"{self.path}/{d}/{CV}={version}" for d in ("pending", "changes"))
+        if path_exists(self.spark, pending) and not path_exists(self.spark, final):
+            move_path(self.spark, pending, final)
+
     def _write(self, version: int, state: DataFrame, changes: DataFrame | None,
-               touched: Sequence[int] | None = None, all_buckets: bool = False,
-               commit_ts: "F.Column | None" = None) -> None:
+               touched: Sequence[int] | None, commit_ts: "F.Column | None" = None) -> None:
+        """``touched``: the buckets that this version replaces (None: all that there are)."""
         st = state.withColumn(B, self.bucket_of())
         both = None
         if changes is not None:
@@ -145,11 +194,17 @@ class VersionedTable:
         (st.hint("rebalance", B).write.mode("overwrite").partitionBy(B)
          .parquet(f"{self.path}/state/{V}={version}"))
         if both is not None:
-            ch.write.mode("overwrite").parquet(f"{self.path}/changes/{CV}={version}")
+            ch.write.mode("overwrite").parquet(f"{self.path}/pending/{CV}={version}")
             both.unpersist()
-        buckets = list(range(self.buckets)) if all_buckets else list(touched or [])
-        (self.spark.createDataFrame([(b,) for b in buckets], f"{B} int").coalesce(1)
-         .write.mode("overwrite").parquet(f"{self.path}/manifest/{V}={version}"))
+        if touched is not None:
+            live = self.spark.createDataFrame([(b,) for b in touched], f"{B} int")
+        elif self.bucket_by is None:
+            live = self.spark.range(self.buckets).select(F.col("id").cast("int").alias(B))
+        else:
+            live = state.select(self.bucket_of().alias(B)).distinct()
+        live.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/manifest/{V}={version}")
+        if both is not None:
+            self._publish(version)
 
 
 class EpochTable:
