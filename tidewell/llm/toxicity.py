@@ -29,7 +29,8 @@ PARTS = (3, 4, 5, 6, 7)         # bytes of beginnings and endings
 TOXIC_ROWS, CLEAN_ROWS = 3000, 9000   # bound of the training sample
 MIN_DOCS, MIN_EVIDENCE = 4, 11.0      # documents with a feature, and its log-likelihood ratio
 CONTEXT = 8                     # tokens around a featured one in a training sequence
-STEPS, RATE, RIDGE = 150, 0.2, 0.01
+MOST_FEATURED, GROUP = 8, 1024  # featured tokens in one training sequence, sequences handled at once
+STEPS, RATE, RIDGE = 120, 0.2, 0.01
 POWERS = 512                    # longer runs have converged to the leading direction
 
 
@@ -143,74 +144,99 @@ def _select_features(sample: DataFrame) -> np.ndarray:
     return np.sort(np.array(out, np.int64).astype(U64))
 
 
-def _sequences(rows: list, rng) -> tuple[np.ndarray, np.ndarray, list]:
-    """(labels [sequence, position] with -1 as padding, feature rows as (sequence, position, feature))."""
-    found, labels = [], []
+@dataclass
+class Sequences:
+    """Distinct training sequences of similar length and how often each occurs."""
+    labels: np.ndarray      # [sequence, position], -1 as padding
+    found: np.ndarray       # (sequence, position, feature) of all features
+    times: np.ndarray
+
+
+def _sequences(rows: list) -> list[Sequences]:
+    """Featured tokens with their context, equal ones counted once, in groups of similar length."""
+    seen: dict[tuple, int] = {}
     for r in rows:
         token, index = np.frombuffer(r["token"], np.int64), np.frombuffer(r["index"], np.int64)
         if not len(token):
-            labels.append(np.zeros(min(r["n_words"], CONTEXT), np.int8))
+            key = (0, min(r["n_words"], CONTEXT), (), ())
+            seen[key] = seen.get(key, 0) + 1
             continue
         at = np.unique(token)
         # featured tokens nearer than two contexts share a sequence
-        for part in np.split(at, np.flatnonzero(np.diff(at) > 2 * CONTEXT) + 1):
-            for part in np.split(part, range(32, len(part), 32)):
+        for near in np.split(at, np.flatnonzero(np.diff(at) > 2 * CONTEXT) + 1):
+            for part in np.split(near, range(MOST_FEATURED, len(near), MOST_FEATURED)):
                 lo, hi = max(0, part[0] - CONTEXT), min(r["n_words"], part[-1] + CONTEXT + 1)
-                y = np.zeros(hi - lo, np.int8)
-                y[part - lo] = r["toxic"]
-                some = (token >= part[0]) & (token <= part[-1])
-                found.append(np.stack([np.full(some.sum(), len(labels)), token[some] - lo, index[some]]))
-                labels.append(y)
-    labels_ = np.full((len(labels), max(map(len, labels), default=0)), -1, np.int8)
-    for i, y in enumerate(labels):
-        labels_[i, :len(y)] = y
-    return labels_, np.concatenate(found, axis=1) if found else np.zeros((3, 0), np.int64)
-
-
-def _lse(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.logaddexp(a, b)
-
-
-def _fit(labels: np.ndarray, found: np.ndarray, n_features: int) -> tuple[np.ndarray, float, np.ndarray]:
-    """Gradient ascent (Adam) on the likelihood of the label sequences, per sequence."""
-    n, size = labels.shape
-    real = labels >= 0
-    y = np.maximum(labels, 0).astype(np.int64)
+                a, z = np.searchsorted(token, (part[0], part[-1] + 1))
+                key = (r["toxic"], int(hi - lo), tuple((token[a:z] - lo).tolist()), tuple(index[a:z].tolist()))
+                seen[key] = seen.get(key, 0) + 1
+    ordered = sorted((k for k in seen if k[1]), key=lambda k: (k[1], k))
+    out = []
+    for start in range(0, len(ordered), GROUP):
+        group = ordered[start:start + GROUP]
+        labels = np.full((len(group), max(k[1] for k in group)), -1, np.int8)
+        found = []
+        for i, (toxic, size, token, index) in enumerate(group):
+            labels[i, :size] = 0
+            if token:
+                labels[i, list(token)] = toxic
+                found.append(np.stack([np.full(len(token), i), token, index]))
+        out.append(Sequences(labels, np.concatenate(found, axis=1) if found else np.zeros((3, 0), np.int64),
+                             np.array([seen[k] for k in group], float)))
+    return out
+
+
+def _counts_of(s: Sequences, n_features: int, one: np.ndarray, pairs) -> np.ndarray:
+    """Features, bias and transitions counted over the sequences: ``one`` is the weight of the toxic
+    state at each position, ``pairs(a, b)`` that of each step from a to b."""
+    out = np.zeros(n_features + 5)
+    times = s.times[:, None]
+    out[:n_features] = np.bincount(s.found[2], (one * times)[s.found[0], s.found[1]], n_features)
+    out[n_features] = (one * times).sum()
+    for a in (0, 1):
+        for b in (0, 1):
+            out[n_features + 1 + 2 * a + b] = (pairs(a, b) * times).sum()
+    return out
+
+
+def _expected(s: Sequences, weights: np.ndarray, n_features: int) -> np.ndarray:
+    """Expected counts by forward-backward over all sequences at once."""
+    real = s.labels >= 0
+    n, size = real.shape
+    emit = weights[n_features] + np.bincount(s.found[0] * size + s.found[1], weights[s.found[2]], n * size).reshape(n, size)
+    t = weights[n_features + 1:].reshape(2, 2)
+    alpha, beta = np.zeros((size, 2, n)), np.zeros((size, 2, n))
+    alpha[0, 1] = emit[:, 0]
+    for k in range(1, size):
+        for to in (0, 1):
+            alpha[k, to] = np.logaddexp(alpha[k - 1, 0] + t[0, to], alpha[k - 1, 1] + t[1, to]) + to * emit[:, k]
+        alpha[k] = np.where(real[:, k], alpha[k], alpha[k - 1])
+    for k in range(size - 2, -1, -1):
+        for at in (0, 1):
+            beta[k, at] = np.logaddexp(beta[k + 1, 0] + t[at, 0], beta[k + 1, 1] + t[at, 1] + emit[:, k + 1])
+        beta[k] = np.where(real[:, k + 1], beta[k], 0)
+    z = np.logaddexp(alpha[-1, 0], alpha[-1, 1])
+    one = np.exp(np.minimum(alpha[:, 1] + beta[:, 1] - z, 0)).T * real
+
+    def pairs(a, b):
+        p = (alpha[:-1, a] + beta[1:, b] - z).T + t[a, b] + b * emit[:, 1:]
+        return np.exp(np.minimum(p, 0)) * real[:, 1:]
+    return _counts_of(s, n_features, one, pairs)
+
+
+def _fit(groups: list[Sequences], n_features: int) -> tuple[np.ndarray, float, np.ndarray]:
+    """Gradient ascent (Adam) on the mean log likelihood of the sequences."""
     weights = np.zeros(n_features + 5)     # features, bias, transitions 00 01 10 11
     m, v = np.zeros_like(weights), np.zeros_like(weights)
     observed = np.zeros_like(weights)
-    np.add.at(observed, found[2], y[found[0], found[1]])
-    observed[n_features] = y[real].sum()
-    pair = real[:, 1:]
-    for a in (0, 1):
-        for b in (0, 1):
-            observed[n_features + 1 + 2 * a + b] = ((y[:, :-1] == a) & (y[:, 1:] == b) & pair).sum()
+    for s in groups:
+        y = s.labels
+
+        def pairs(a, b):
+            return ((y[:, :-1] == a) & (y[:, 1:] == b)).astype(float)
+        observed += _counts_of(s, n_features, (y == 1).astype(float), pairs)
+    total = sum(s.times.sum() for s in groups)
     for step in range(1, STEPS + 1):
-        emit = np.full((n, size), weights[n_features])
-        np.add.at(emit, (found[0], found[1]), weights[found[2]])
-        t = weights[n_features + 1:].reshape(2, 2)
-        alpha = np.zeros((size, n, 2))
-        beta = np.zeros((size, n, 2))
-        alpha[0, :, 1] = emit[:, 0]
-        for k in range(1, size):
-            for s in (0, 1):
-                alpha[k, :, s] = _lse(alpha[k - 1, :, 0] + t[0, s], alpha[k - 1, :, 1] + t[1, s]) + s * emit[:, k]
-            stop = ~real[:, k]
-            alpha[k, stop] = alpha[k - 1, stop]
-        for k in range(size - 2, -1, -1):
-            for s in (0, 1):
-                beta[k, :, s] = _lse(beta[k + 1, :, 0] + t[s, 0], beta[k + 1, :, 1] + t[s, 1] + emit[:, k + 1])
-            beta[k, ~real[:, k + 1]] = 0
-        z = _lse(alpha[-1, :, 0], alpha[-1, :, 1])
-        one = np.exp(np.minimum(alpha[:, :, 1] + beta[:, :, 1] - z, 0)).T * real
-        expected = np.zeros_like(weights)
-        np.add.at(expected, found[2], one[found[0], found[1]])
-        expected[n_features] = one.sum()
-        for a in (0, 1):
-            for b in (0, 1):
-                p = np.exp(np.minimum((alpha[:-1, :, a] + beta[1:, :, b] - z).T + t[a, b] + b * emit[:, 1:], 0))
-                expected[n_features + 1 + 2 * a + b] = (p * pair).sum()
-        grad = (observed - expected) / max(n, 1) - RIDGE / max(n, 1) * weights
+        grad = (observed - sum(_expected(s, weights, n_features) for s in groups)) / total - RIDGE / total * weights
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
         weights += RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
     return weights[:n_features], float(weights[n_features]), weights[n_features + 1:].reshape(2, 2)
@@ -229,7 +255,7 @@ def _calibrate(evidence: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
 
 
 def train_toxicity_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                         toxic_col: str = "toxic", seed: int = 5) -> ToxicityModel:
+                         toxic_col: str = "toxic") -> ToxicityModel:
     """Fit on at most TOXIC_ROWS toxic and CLEAN_ROWS clean documents (smallest id hashes, whole
     texts).  Without documents of both kinds the model scores every text by its offset."""
     sample = _sample(docs, labels, id_col, text_col, toxic_col)
@@ -257,7 +283,7 @@ def train_toxicity_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_
         toxic = np.array([r["toxic"] for r in rows])
         odds = (toxic.sum() + 0.5) / (len(toxic) - toxic.sum() + 0.5)
         return ToxicityModel(features, np.zeros(0), -5.0, np.zeros((2, 2)), 0.0, float(np.log(odds)))
-    weights, bias, transitions = _fit(*_sequences(rows, np.random.default_rng(seed)), len(features))
+    weights, bias, transitions = _fit(_sequences(rows), len(features))
     model = ToxicityModel(features, weights, bias, transitions, 1.0, 0.0)
     chain = Chain(model)
     evidence = np.array([chain.evidence(*chain.marginals(np.frombuffer(r["token"], np.int64),
