@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 MAX_VOCABULARY = 1_000_000
-CACHED_UNITS = 300_000
+CACHED_UNITS = 250_000
 
 
 def byte_characters() -> list[str]:
@@ -85,19 +85,19 @@ _MARK = "\ue000"       # stands before each space while a text is cut; texts tha
 class Codec:
     """Encoder of one process, built from the broadcast tokens and model.
 
-    ``recent`` and ``older`` hold the ids of pre-tokens and of space-led units; when the first is
-    full it becomes the second, and what is still in use moves back.
+    ``recent`` and ``older`` hold the ids (as four bytes each) of pre-tokens and of space-led units;
+    when the first is full it becomes the second, and what is still in use moves back.
     """
 
     def __init__(self, tokens: list[bytes], model: bytes, pattern: str):
         import regex
         import sentencepiece
-        self.whole = {t: (i,) for i, t in enumerate(tokens)}
+        self.whole = {t: struct.pack("=i", i) for i, t in enumerate(tokens)}
         self.pieces = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.find = regex.compile(pattern).findall
         self.letters = str.maketrans({chr(b): c for b, c in enumerate(byte_characters())})
-        self.recent: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _merge(self, pre_tokens: list[str]) -> None:
         """Encode new pre-tokens: one that is itself in the vocabulary is one id, others go through the merges."""
@@ -111,9 +111,13 @@ class Codec:
             else:
                 self.recent[p] = ids
         if rest:
-            self.recent.update(zip(rest, map(tuple, self.pieces.encode(mapped, num_threads=1))))
+            ids = self.pieces.encode(mapped, num_threads=1)
+            raw, end = np.fromiter(chain.from_iterable(ids), np.int32).tobytes(), 0
+            for p, own in zip(rest, ids):
+                start, end = end, end + 4 * len(own)
+                self.recent[p] = raw[start:end]
 
-    def _known(self, key: str) -> tuple[int, ...] | None:
+    def _known(self, key: str) -> bytes | None:
         ids = self.recent.get(key)
         if ids is None:
             ids = self.older.get(key)
@@ -136,9 +140,9 @@ class Codec:
         self._merge([p for p in set(chain.from_iterable(cut.values())) if self._known(p) is None])
         for u, pre in cut.items():
             if len(pre) > 1:
-                self.recent[u] = tuple(chain.from_iterable(map(self.recent.__getitem__, pre)))
+                self.recent[u] = b"".join(map(self.recent.__getitem__, pre))
 
-    def _look_up(self, units: list[str]) -> list[tuple[int, ...]]:
+    def _look_up(self, units: list[str]) -> list[bytes]:
         out = list(map(self.recent.get, units))
         if None in out:
             missing = {u for u, ids in zip(units, out) if ids is None}
@@ -147,7 +151,7 @@ class Codec:
             out = [get(u) if ids is None else ids for u, ids in zip(units, out)]
         return out
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> np.ndarray:
         """Ids of a text.
 
         A match of the pattern holds a space only as its first character or inside white
@@ -155,7 +159,7 @@ class Codec:
         space and the units are looked up.  Other texts are matched as a whole.
         """
         if not text:
-            return []
+            return np.zeros(0, np.int32)
         units = text.replace(" ", _MARK + " ").split(_MARK)
         if not units[0]:
             del units[0]
@@ -168,7 +172,7 @@ class Codec:
                 self._learn(missing)
                 get = self.recent.get
                 out = [get(u) if ids is None else ids for u, ids in zip(units, out)]
-        return list(chain.from_iterable(out))
+        return np.frombuffer(b"".join(out), np.int32)
 
 
 def decode_ids(tokens: list[bytes], ids) -> bytes:
@@ -212,7 +216,7 @@ class ByteBPE:
         @F.arrow_udf("array<int>")
         def encode(texts: pa.Array) -> pa.Array:
             codec = _codec(shared)
-            flat = [np.fromiter(codec.encode(t.as_py() or ""), np.int32) for t in texts]
+            flat = [codec.encode(t.as_py() or "") for t in texts]
             bounds = np.cumsum([0, *map(len, flat)]).astype(np.int32)
             return pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate([np.zeros(0, np.int32), *flat])))
 

@@ -26,7 +26,7 @@ from tidewell.llm.components import connected_components
 from tidewell.llm.textops import Batch, U64, binary, chunk_texts, joined, mix, rolling
 from tidewell.session import scratch_path
 
-CHUNK_BYTES, MAX_CHUNK_BYTES = 4 << 20, 32 << 20
+CHUNK_BYTES, MAX_CHUNK_BYTES = 2 << 20, 32 << 20
 BUCKET_BYTES = 16 << 20
 GROUP_TOKENS = 1 << 19      # token occurrences in one group before it is split
 QUERY_TOKENS = 1 << 21      # token occurrences of the outside queries of one task

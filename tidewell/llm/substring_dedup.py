@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidewell.llm.textops import Batch, U64, binary, chunk_texts, joined, rolling, window_starts
 
-CHUNK_BYTES, MAX_CHUNK_BYTES = 4 << 20, 32 << 20
+CHUNK_BYTES, MAX_CHUNK_BYTES = 2 << 20, 32 << 20
 BUCKET_BYTES = 16 << 20      # text bytes whose window hashes meet in one bucket
 
 _MESSAGE = "bucket long, chunk int, n int, payload binary"

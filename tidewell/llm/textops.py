@@ -35,20 +35,20 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_KEPT_POWERS = 1 << 19       # more are made anew each time, so that a reused Python worker stays small
 
 
 def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i < n (kept per process, grown by need)."""
+    """base**i and base**-i modulo 2**64 for i < n."""
     have = _POWERS.get(base)
     if have is None or len(have[0]) < n:
-        size = max(1 << 16, 1 << int(n - 1).bit_length())
-        inverse = pow(base, -1, 2**64)
-        both = []
-        for b in (base, inverse):
-            a = np.full(size, b, U64)
+        have = []
+        for b in (base, pow(base, -1, 2**64)):
+            a = np.full(max(n, _KEPT_POWERS), b, U64)
             a[0] = 1
-            both.append(np.multiply.accumulate(a))
-        have = _POWERS[base] = tuple(both)
+            have.append(np.multiply.accumulate(a))
+        if n <= _KEPT_POWERS:
+            _POWERS[base] = tuple(have)
     return have[0][:n], have[1][:n]
 
 
@@ -157,7 +157,7 @@ def chunk_texts(docs: DataFrame, id_col: str, text_col: str, chunk_bytes: int, m
     return out, total
 
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 
 def slices(batches, column: str, limit: int = SLICE_BYTES):
