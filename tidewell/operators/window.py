@@ -41,24 +41,3 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] |
     return (df.groupBy(*keys).agg(F.max_by(row, ordering).alias("_r"))
             .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
             .select(*df.columns))
-
-
-def sequence_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunks: int | None = None,
-                    name: str = "_chunk") -> DataFrame:
-    """Split each key's ordered rows into contiguous chunks.
-
-    Range partitioning on ``(keys…, order…)`` puts consecutive runs of the
-    sort order in one partition, so a key with many rows spans several
-    partitions; the partition id numbers the chunks in order.  Per-key
-    sequential computations then run per ``(key, chunk)`` and carry values
-    across chunk borders through a small per-chunk summary.
-
-    Range bounds come from sampling, so two evaluations could cut differently;
-    the assignment is therefore checkpointed (reliably, under the cluster's
-    checkpoint folder) and every consumer reads the same chunks.
-    """
-    from tidewell.session import checkpoint_root
-    checkpoint_root(df.sparkSession)  # makes sure a checkpoint folder is set
-    n = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (df.repartitionByRange(n, *keys, *order).withColumn(name, F.spark_partition_id())
-            .checkpoint(eager=True))
