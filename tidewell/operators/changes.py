@@ -117,3 +117,9 @@ def commit_summary(feed: DataFrame) -> DataFrame:
     """What each commit did: rows per change type (``DESCRIBE HISTORY`` metrics)."""
     return (feed.groupBy(CV, CTS).pivot(CT, CHANGE_TYPES).agg(F.count(F.lit(1)))
             .na.fill(0, CHANGE_TYPES))
+
+
+def store_feed(feed: DataFrame, path: str) -> str:
+    """Write a change feed partitioned by version, so that reads of some versions prune the rest."""
+    feed.hint("rebalance", CV).write.mode("overwrite").partitionBy(CV).parquet(path)
+    return path

@@ -28,8 +28,8 @@ def replace_table(df: DataFrame, name: str) -> DataFrame:
 def overwrite_rows(df: DataFrame, name: str) -> DataFrame:
     """``INSERT OVERWRITE``: the table must exist and the columns must match.
 
-    Spark refuses to overwrite a table the query reads from, so a query over
-    the target itself is staged to a scratch copy first.
+    Spark refuses to overwrite a table the query reads from: write a query over the
+    target itself to a scratch copy first.
     """
     spark = df.sparkSession
     target_cols = spark.table(name).columns
@@ -63,3 +63,9 @@ def append_evolving(df: DataFrame, path: str) -> None:
 
 def read_evolving(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", True).parquet(path)
+
+
+def create_view(spark: SparkSession, name: str, query: str) -> DataFrame:
+    """``CREATE OR REPLACE VIEW``: the query's text goes into the catalog; returns the view."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
+    return spark.table(name)

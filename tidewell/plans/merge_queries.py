@@ -192,6 +192,36 @@ def q_cdc_apply(spark, d):
     return cdc.cdc_apply(state, second, ["customer_id"], "row_time").state
 
 
+@query("cdc_apply_late", with_ctes(CUSTOMER_FEED_CTE) + f"""
+, now AS (SELECT {FEED_COLS} FROM (
+    SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY row_time DESC) AS rn FROM cf) x
+  WHERE rn = 1 AND row_status <> 'delete')
+, late AS (SELECT {FEED_COLS} FROM (
+    SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY row_time DESC) AS rn
+    FROM cf WHERE row_time < {SPLIT}) x WHERE rn = 1 AND row_status <> 'delete')
+SELECT * FROM now UNION ALL SELECT * FROM late WHERE customer_id NOT IN (SELECT customer_id FROM now)
+""")
+def q_cdc_apply_late(spark, d):
+    """The older half of the feed arrives after the whole: neither its updates nor its deletes touch newer
+    rows; keys that are gone come back by their old insert (the tombstoned form avoids that)."""
+    feed = shapes.customer_feed(spark, d)
+    first, _ = _feed_halves(spark, d)
+    state = commit(cdc.apply_changes(feed, ["customer_id"], "row_time", "row_status = 'delete'"))
+    return cdc.cdc_apply(state, first, ["customer_id"], "row_time").state
+
+
+@query("merge_duplicate_source", """
+SELECT c_custkey AS k, c_acctbal AS v FROM customer WHERE c_custkey % 2 = 0
+UNION ALL SELECT user_id, value FROM events WHERE user_id NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0)
+""")
+def q_merge_duplicate_source(spark, d):
+    """Many source rows match each target row and none of them fires: every target row stays, once."""
+    t = read_table(spark, d, "customer").filter("c_custkey % 2 = 0").select(
+        F.col("c_custkey").alias("k"), F.col("c_acctbal").alias("v"))
+    s = read_table(spark, d, "events").select(F.col("user_id").alias("k"), F.col("value").alias("v"))
+    return merge_into(t, s, ["k"], matched=[Update("s.v > 1e12"), Delete("s.v < -1e12")], not_matched=[Insert()]).state
+
+
 @query("apply_changes", APPLY_SQL)
 def q_apply_changes(spark, d):
     # arrival order is irrelevant: the later half is listed first

@@ -154,3 +154,50 @@ def q_inline_rows(spark, d):
     values = ", ".join(f"({k}, '{n}', {c}, {b})" for k, n, c, b in INLINE_VALUES)
     spark.sql(f"INSERT INTO {name} VALUES {values}")
     return spark.table(name)
+
+
+@query("expire_bronze_months", """
+SELECT 'orders' AS topic, strftime(CAST(o_orderdate AS TIMESTAMP), '%Y-%m') AS year_month, o_orderkey AS "offset"
+FROM orders WHERE strftime(CAST(o_orderdate AS TIMESTAMP), '%Y-%m') >= '1998-01'
+UNION ALL
+SELECT t.topic, strftime(CAST(ts AS TIMESTAMP), '%Y-%m'), epoch_us(CAST(ts AS TIMESTAMP))
+FROM events, (VALUES ('customers'), ('books')) t(topic)
+""")
+def q_expire_bronze_months(spark, d):
+    """Months expire on a table partitioned by topic and month; the archive run twice holds them once."""
+    name, archive = _name("bronze"), scratch_path(spark, "archive-bronze")
+    bronze = shapes.bronze_envelope(spark, d).select(
+        "offset", "topic", year_month(F.timestamp_millis("timestamp")).alias("year_month"))
+    W.ctas(bronze, name, partition_by=["topic", "year_month"])
+    L.expire_partitions(spark, name, "year_month", "1998-01", archive)
+    L.expire_partitions(spark, name, "year_month", "1998-01", archive)
+    return spark.table(name).select("topic", "year_month", "offset")
+
+
+@query("stored_view", """
+SELECT n_name AS country, count(*) AS customers, round(avg(c_acctbal), 2) AS balance
+FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal > 0 GROUP BY n_name
+""")
+def q_stored_view(spark, d):
+    """``CREATE VIEW`` over stored tables: the view is kept in the catalog and computed when read."""
+    customers, nations, view = _name("customers"), _name("nations"), _name("country_view")
+    W.ctas(read_table(spark, d, "customer"), customers)
+    W.ctas(read_table(spark, d, "nation"), nations)
+    return W.create_view(spark, view, f"""
+        SELECT n_name AS country, count(*) AS customers, round(avg(c_acctbal), 2) AS balance
+        FROM {customers} JOIN {nations} ON c_nationkey = n_nationkey WHERE c_acctbal > 0 GROUP BY n_name""")
+
+
+@query("check_rejects_write", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 1000")
+def q_check_rejects_write(spark, d):
+    """A write that breaks a CHECK rule fails as a whole: the table still holds the first, valid write."""
+    from pyspark.errors import PySparkException
+    from tidewell.operators.quality import check_constraint
+    path, rules = scratch_path(spark, "checked-orders"), {"price": "o_totalprice > 1000"}
+    o = read_table(spark, d, "orders").select("o_orderkey", "o_totalprice")
+    check_constraint(o.filter("o_totalprice > 1000"), rules).write.parquet(path)
+    try:
+        check_constraint(o.withColumn("o_totalprice", -F.col("o_totalprice")), rules).write.mode("append").parquet(path)
+    except PySparkException:
+        return spark.read.parquet(path)
+    raise AssertionError("a write with violating rows was accepted")

@@ -10,6 +10,7 @@ from tidewell.operators import changes as C
 from tidewell.operators.scd2 import scd2_apply, scd2_current, scd2_history
 from tidewell.plans.common import CUSTOMER_FEED_CTE, PRICE_FEED_CTE, with_ctes
 from tidewell.plans.registry import query
+from tidewell.session import scratch_path
 from tidewell.sources import shapes
 
 FEED_COLS = ["customer_id", "email", "first_name", "city", "country_code", "balance", "row_status", "row_time"]
@@ -165,3 +166,20 @@ def q_scd2_upsert(spark, d):
 def q_scd2_current(spark, d):
     h = scd2_history(shapes.price_feed(spark, d), "book_id", "price", "updated", ["title", "author"])
     return scd2_current(h, "book_id", "price", ["title", "author"])
+
+
+@query("scd2_out_of_order", SCD2_SQL + f"SELECT {SCD2_COLS} FROM hist")
+def q_scd2_out_of_order(spark, d):
+    """The later half of the feed arrives first, the earlier half twice after it."""
+    f = shapes.price_feed(spark, d)
+    from tidewell.plans.merge_queries import commit
+    first = commit(scd2_history(f.filter(f"updated >= {SPLIT}"), "book_id", "price", "updated", ["title", "author"]))
+    late = f.filter(f"updated < {SPLIT}")
+    return scd2_apply(first, late.unionByName(late), "book_id", "price", "updated", ["title", "author"])
+
+
+@query("changes_between_stored", FEED_SQL + f"SELECT * FROM feed WHERE _commit_version BETWEEN {V10} AND {V20}")
+def q_changes_between_stored(spark, d):
+    """The same window of changes, read from a feed stored by version: only its partitions are scanned."""
+    path = C.store_feed(customer_change_feed(spark, d), scratch_path(spark, "feed-by-version"))
+    return C.changes_between(spark.read.parquet(path), V10, V20)
