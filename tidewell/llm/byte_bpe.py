@@ -175,8 +175,20 @@ class Codec:
         return np.frombuffer(b"".join(out), np.int32)
 
 
-def decode_ids(tokens: list[bytes], ids) -> bytes:
-    return b"".join(map(tokens.__getitem__, ids))
+def decode_ids(tokens: list[bytes], ids: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """Bytes of each run ``ids[bounds[k]:bounds[k + 1]]``: the tokens' bytes gathered for all runs at once."""
+    table = np.frombuffer(b"".join(tokens), np.uint8)
+    length = np.array([len(t) for t in tokens])
+    start = np.r_[0, np.cumsum(length)]
+    if len(ids) and not (0 <= ids.min() and ids.max() < len(tokens)):
+        raise IndexError("a token id outside the vocabulary")
+    out = []
+    for a, z in zip(bounds.tolist(), bounds[1:].tolist()):
+        run = ids[a:z]
+        n = length[run]
+        end = np.cumsum(n)
+        out.append(table[np.arange(end[-1]) + np.repeat(start[run] - (end - n), n)].tobytes() if z > a else b"")
+    return out
 
 
 _CODECS: dict[int, Codec] = {}
@@ -225,7 +237,7 @@ class ByteBPE:
             tokens = shared.value[0]
             flat = ids.flatten().to_numpy(zero_copy_only=False)
             bounds = np.cumsum([0, *(n or 0 for n in ids.value_lengths().to_pylist())])
-            return pa.array([decode_ids(tokens, flat[a:b].tolist()) for a, b in zip(bounds, bounds[1:])], pa.binary())
+            return pa.array(decode_ids(tokens, flat, bounds), pa.binary())
 
         self.encode, self.decode = encode, decode
 

@@ -52,10 +52,51 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-@query("op9_quality_rules")
+_DISTANCE_SQL = """
+SELECT doc_id, lang, sqrt(greatest(sum(CASE WHEN p + q > 0 THEN -(p + q) / 2 * log2((p + q) / 2) ELSE 0 END)
+  + (sum(CASE WHEN p > 0 THEN p * log2(p) ELSE 0 END) + sum(CASE WHEN q > 0 THEN q * log2(q) ELSE 0 END)) / 2, 0)) AS js
+FROM {bins} GROUP BY doc_id, lang"""
+
+
+@query("op9_quality_rules", rf"""
+WITH {_WORDS_SQL.strip()},
+t AS (SELECT doc_id, lang, coalesce(text, '') AS text FROM documents),
+h AS (SELECT doc_id, unnest(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) AS v,
+             unnest(range(1, len(ws) - 3)) AS i FROM w WHERE len(ws) >= 5),
+r AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM h SEMI JOIN (SELECT doc_id, v FROM h GROUP BY ALL HAVING count(*) > 1) USING (doc_id, v),
+      range(0, 5) o(k) GROUP BY doc_id),
+l AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS ls FROM t),
+b AS (SELECT doc_id, lang, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+             CAST(length(regexp_replace(t.text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+             CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
+             length(t.text) AS chars, length(regexp_replace(t.text, '[^0-9A-Z]', '', 'g')) AS marked,
+             strlen(t.text) - length(t.text) AS wide
+      FROM w JOIN t USING (doc_id) JOIN l USING (doc_id) LEFT JOIN r USING (doc_id)),
+v AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM b),
+c AS (SELECT lang, x, count(*) AS n FROM (SELECT lang, lower(unnest(ws)) AS x FROM w JOIN t USING (doc_id))
+      WHERE lang IS NOT NULL AND length(x) <= 6 GROUP BY ALL),
+k AS (SELECT lang, x FROM c QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, x) <= 12),
+f AS (SELECT doc_id, d.x, count(*) AS n FROM (SELECT doc_id, unnest(ws) AS y FROM w) JOIN (SELECT DISTINCT x FROM k) d
+      ON y = d.x OR y = upper(d.x[1]) || d.x[2:] GROUP BY ALL),
+g AS (SELECT lang, sum(chars) AS chars, sum(n_words) AS n_words, sum(marked) AS marked, sum(chars - word_chars) AS spaces,
+             sum(n_symbols) AS n_symbols, sum(wide) AS wide FROM b WHERE lang IS NOT NULL GROUP BY lang),
+q AS (SELECT k.lang, k.x, coalesce(sum(f.n), 0) / any_value(g.n_words) AS q FROM k JOIN g USING (lang)
+      LEFT JOIN (f JOIN b USING (doc_id)) ON f.x = k.x AND b.lang = k.lang GROUP BY ALL),
+j AS (SELECT * FROM v WHERE NOT base_failed AND n_words >= 50),
+wb AS (SELECT doc_id, q.lang, coalesce(f.n, 0) / n_words AS p, q FROM j CROSS JOIN q LEFT JOIN f USING (doc_id, x)),
+cb AS (SELECT doc_id, g.lang, unnest([j.marked, j.chars - j.word_chars, j.n_symbols, j.wide]) / j.chars AS p,
+              unnest([g.marked, g.spaces, g.n_symbols, g.wide]) / g.chars AS q FROM j CROSS JOIN g),
+wr AS (FROM wb UNION ALL SELECT doc_id, lang, greatest(0, 1 - sum(p)), greatest(0, 1 - sum(q)) FROM wb GROUP BY ALL),
+cr AS (FROM cb UNION ALL SELECT doc_id, lang, greatest(0, 1 - sum(p)), greatest(0, 1 - sum(q)) FROM cb GROUP BY ALL),
+wd AS ({_DISTANCE_SQL.format(bins="wr").strip()}), cd AS ({_DISTANCE_SQL.format(bins="cr").strip()}),
+near AS (SELECT doc_id, min(greatest(cd.js / 0.3, wd.js / 0.45)) AS worst FROM wd JOIN cd USING (doc_id, lang) GROUP BY doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND coalesce(worst <= 1, true) AS kept
+FROM v LEFT JOIN near USING (doc_id)
+""")
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewell.llm.quality import quality_rules
-    return quality_rules(table(spark, sf_dir, "documents"))
+    return quality_rules(table(spark, sf_dir, "documents")).drop("char_js", "word_js")
 
 
 @query("op10_chat_format", r"""
