@@ -28,10 +28,12 @@ def test_entry_runs(spark):
 
 
 def test_registry_has_oracles_for_batch_queries():
+    from tidewell.plans import registry
     q, o = E.queries(), E.oracle_sql()
-    assert len(q) >= 120
     assert set(o) <= set(q)
-    missing = [k for k in q if k not in o]
+    registry.load_all()
+    assert len(registry.QUERIES) >= 140 and set(registry.QUERIES) <= set(q)
+    missing = [k for k in registry.QUERIES if k not in o]
     assert missing == [], missing
 
 
@@ -53,6 +55,10 @@ def test_lookup_is_broadcast(spark):
     assert "BroadcastHashJoin" in _plan(df)
 
 
+def test_stored_feed_prunes_versions(spark):
+    assert "PartitionFilters: [isnotnull(_commit_version" in _plan(E.queries()["changes_between_stored"](spark, SF_SMALL))
+
+
 def test_view_prunes_country_partitions(spark):
     from tidewell.plans.gold import countries_stats_vw, materialize_customers_orders
     path = materialize_customers_orders(spark, SF_SMALL)
@@ -63,7 +69,8 @@ def test_view_prunes_country_partitions(spark):
 BATCH_SAMPLE = ["country_day_stats", "merge_into", "merge_backfill", "cdc_apply", "change_feed",
                 "change_feed_history", "as_of_version", "restore_changes", "scd2_upsert", "pivot_sum",
                 "array_transform", "site_type", "letter_grade", "tumbling_stats", "validate_existing",
-                "masked_view_sql", "set_except_all", "collect_sets", "epoch_ms", "commit_summary"]
+                "masked_view_sql", "set_except_all", "collect_sets", "epoch_ms", "commit_summary",
+                "scd2_out_of_order", "merge_duplicate_source", "cdc_apply_late"]
 
 
 @pytest.mark.parametrize("name", BATCH_SAMPLE)
