@@ -22,13 +22,23 @@ from tidewell.session import scratch_path
 
 # near duplicates: five-word shingles, similarity of 80 in 100
 SHINGLE, SIMILAR = 5, 80
+# rows in one Arrow batch: whole rows with their texts travel through Python here, and long texts
+# make Spark's default of 10,000 rows too large for a small executor
+BATCH_ROWS = 1000
 # SQL cannot express language identification or byte-level BPE: tests compare with plain versions
 ORACLE_SQL = None
 
 
+def _small_batches(spark: SparkSession) -> None:
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without a letter and texts that the calibrated model rejects.  The model is fitted on
     the labelled rows of the stage's own documents that are not held out."""
+    _small_batches(spark)
     model = train_language_model(docs.where(~held_out()))
     out = identify_languages(docs, model, "doc_id", "text", _row(docs))
     return out.where(~F.col("rejected")).select("row.*")
@@ -45,6 +55,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts the passages of test items out of the texts; texts that are hardly anything else go."""
+    _small_batches(spark)
     out = find_contamination(docs, table(spark, sf_dir, "benchmark"), _row(docs))
     return _with_text(out.where(~F.col("exceeds")), docs, "clean_text")
 
@@ -56,6 +67,7 @@ def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, the token ids of the text, their number, and whether decoding them gives the text again."""
+    _small_batches(spark)
     bpe = byte_bpe(spark)
     out = bpe_encode(docs.select("doc_id", "text"), bpe)
     same = bpe.decode("ids") == F.encode(F.coalesce("text", F.lit("")), "UTF-8")
