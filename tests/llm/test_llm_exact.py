@@ -284,6 +284,26 @@ def test_pseudonyms(spark):
     assert pseudonymise(frame(spark, texts), "other").where("doc_id = 4").first()["text"] != other
 
 
+def test_addresses_before_punctuation_are_replaced(spark):
+    from tidewell.llm.pii import PATTERNS, pseudonymise
+    mail = "Jo.Doe+x7@mail7.example.com"
+    after = ["", ".", ". Next", "...", ",", ")", ")...", "!", "?", ";", ":", ">", ".\n", ".I went", ".2 left", ".x9", "..a@", "/x", "-", ".-"]
+    texts = [f"to ({mail}{x}" for x in after]
+    texts += ["foo@bar", "foo@bar.", "foo@bar.c.", "foo@1.2.3.", "@bar.com.", "a@" + "b1." * 50_000, "a@" + "b." * 50 + "com.",
+              "a@" + "co." * 50, "a.b@" * 20_000]
+    got = {r["doc_id"]: r for r in pseudonymise(frame(spark, texts), "k").collect()}
+    new = feistel_text_plain(mail[:-4], "k", "email") + ".com"
+    for i, x in enumerate(after):
+        assert got[i]["text"] == f"to ({new}{x}" and got[i]["pii_kinds"] == ["email"], x
+    n = len(after)
+    for i in (0, 1, 2, 3, 4, 5, 8):
+        assert got[n + i]["text"] == texts[n + i] and got[n + i]["pii_kinds"] == [], texts[n + i][:20]
+    assert got[n + 6]["text"] == feistel_text_plain(texts[n + 6][:-5], "k", "email") + ".com."
+    assert got[n + 7]["text"] == feistel_text_plain(texts[n + 7][:-4], "k", "email") + ".co."
+    long = frame(spark, ["a@" + "co." * 50_000, "a@" + "b." * 50_000 + "com."])
+    assert long.where(F.col("text").rlike(PATTERNS["email"])).count() == 2
+
+
 def test_pseudonyms_are_a_permutation(spark):
     """Small domains are hit completely and once: 146,097 days, and two-digit texts."""
     from tidewell.llm import pii

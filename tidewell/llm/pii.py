@@ -12,9 +12,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 ROUNDS = 8
+# the last label of an address; those before it are read up to the last one that it follows, so a
+# full stop after an address is no part of it
+_TOP = r"[A-Za-z]{2,24}(?![A-Za-z0-9])"
 # What is looked for.  No pattern can run back over more than it has just read.
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@(?:[A-Za-z0-9\-]++\.)++[A-Za-z]{2,24}(?![A-Za-z0-9])",
+    "email": (r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@"
+              rf"(?:(?:[A-Za-z0-9\-]++\.(?!{_TOP}))*+[A-Za-z0-9\-]++\.(?={_TOP}))++{_TOP}"),
     "secret": r"(?<![0-9A-Za-z])[0-9a-f]{32,64}(?![0-9A-Za-z])",
     "phone": r"(?<![\w+.\-])\+\d{1,3}[ .\-]?\(?\d{3}\)?[ .\-]?\d{3}[ .\-]?\d{4}(?!\d)|(?<![\w.\-])(?:\(\d{3}\) ?|\d{3}[\-.])\d{3}[\-.]\d{4}(?!\d)",
     "card": r"(?<![\w.\-])\d{13,19}(?![\w])|(?<![\w.\-])\d{4}([ \-])\d{4}\1\d{4}\1\d{4}(?![\w])",
