@@ -216,6 +216,25 @@ def test_bpe_equals_tiktoken_and_round_trips(spark):
         assert bytes(r["back"]) == t.encode() and r["s"] == ",".join(map(str, r["ids"]))
 
 
+def test_bpe_does_not_depend_on_the_units_seen_before():
+    import public_tokenizers
+    import tiktoken
+    from tidewell.llm.byte_bpe import Codec, read_ranks, ranks_file, sentencepiece_model
+    from tidewell.llm.queries import VOCABULARY
+    spaces = [bytes([b]) for b in range(256)] + [b"  ", b"    ", b" a", b"th", b"the", b" \n", b"\xee\x80", b"\xee\x80\x80"]
+    for tokens in (spaces, read_ranks(ranks_file(public_tokenizers.path(VOCABULARY)))):
+        plain = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, special_tokens={},
+                                  mergeable_ranks={t: i for i, t in enumerate(tokens)})
+        codec = Codec(tokens, sentencepiece_model(tokens), public_tokenizers.PATTERN)
+        first = ["a", "b", "the", " cat", " ", "\n", "\t", "a cat", "a ", "the cat the", "\ue000", " \ue000", " \n", " \t"]
+        texts = ["a\ue000b", "\ue000the cat", "the\ue000 cat", "\ue000", "\ue000\ue000a", "a \ue000", "a  cat", "a     cat",
+                 "    ", "the  ", " a", "a \n cat", "a \t", "\n  a", "\t \t cat", "a \xa0b", "a\n cat", "a cat", "the cat "]
+        for t in first + texts + texts[::-1]:
+            ids = codec.encode(t).tolist()
+            assert ids == plain.encode_ordinary(t), repr(t)
+            assert b"".join(tokens[i] for i in ids) == t.encode()
+
+
 def test_bpe_model_file_is_read_by_sentencepiece():
     import sentencepiece
     from tidewell.llm.byte_bpe import sentencepiece_model

@@ -13,6 +13,7 @@ broadcast; encoded units are kept in a bounded table, as words repeat.
 from __future__ import annotations
 
 import base64
+import re
 import struct
 from itertools import chain
 
@@ -80,6 +81,7 @@ def sentencepiece_model(tokens: list[bytes]) -> bytes:
 
 
 _MARK = "\ue000"       # stands before each space while a text is cut; texts that hold it are matched as a whole
+_lone_space = re.compile(r" (?!\S)").search     # a space at the end or before white space
 
 
 class Codec:
@@ -156,23 +158,18 @@ class Codec:
 
         A match of the pattern holds a space only as its first character or inside white
         space, so a text whose every space stands before a non-space is cut before each
-        space and the units are looked up.  Other texts are matched as a whole.
+        space and the units are looked up.  Other texts are matched as a whole, whatever is
+        known already: those that hold the mark, and those with a space at the end or before
+        white space.
         """
         if not text:
             return np.zeros(0, np.int32)
+        if _MARK in text or _lone_space(text):
+            return np.frombuffer(b"".join(self._look_up(self.find(text))), np.int32)
         units = text.replace(" ", _MARK + " ").split(_MARK)
         if not units[0]:
             del units[0]
-        out = list(map(self.recent.get, units))
-        if None in out:
-            missing = {u for u, ids in zip(units, out) if ids is None}
-            if _MARK in text or any(u[0] == " " and (len(u) == 1 or u[1].isspace()) for u in missing):
-                out = self._look_up(self.find(text))
-            else:
-                self._learn(missing)
-                get = self.recent.get
-                out = [get(u) if ids is None else ids for u, ids in zip(units, out)]
-        return np.frombuffer(b"".join(out), np.int32)
+        return np.frombuffer(b"".join(self._look_up(units)), np.int32)
 
 
 def decode_ids(tokens: list[bytes], ids: np.ndarray, bounds: np.ndarray) -> list[bytes]:
