@@ -106,6 +106,15 @@ def test_main_text(box):
     assert main_blocks(PAGE % (box % BODY)) == TEXT
 
 
+def test_empty_svg_hides_no_text():
+    from tidewell.llm.html_extract import main_blocks
+    for icon in ('<svg class="i"/>', '<SVG viewBox="0 0 1 1" />', "<svg/>"):
+        assert main_blocks(f"<p>one {icon}two</p><p>three</p>") == ["one two", "three"], icon
+        assert main_blocks(f"<p>one {icon}two <svg><text>no</text></svg>three</p>") == ["one two three"], icon
+    assert main_blocks("<p>one <svg class='i'><path d='M0'/>no</svg>two</p>") == ["one two"]
+    assert main_blocks("<p>one</p><script src='x'/>no</script><p>two</p>") == ["one", "two"]
+
+
 def test_pages_cases(spark):
     from tidewell.llm.html_extract import extract_main_text
     pages = [None, "", "plain", "<p", "<article><p>cut off &am", "<article></article>", "<" * 50_000, "<a " * 5_000,

@@ -132,7 +132,7 @@ def read_blocks(page: str) -> list[BlockText]:
                 if not block and tag not in ("span", "b", "i", "em", "strong"):
                     end_block()
             continue
-        if tag in RAW_TAGS:
+        if tag in RAW_TAGS and not (tag == "svg" and attributes.endswith("/")):
             end = re.compile(f"</{tag}(?=[\\s/>])[^>]*(?:>|\\Z)", re.I).search(page, at)
             at = end.end() if end else size
             continue
