@@ -323,6 +323,29 @@ def test_addresses_before_punctuation_are_replaced(spark):
     assert long.where(F.col("text").rlike(PATTERNS["email"])).count() == 2
 
 
+def test_phones_and_cards_in_other_groupings(spark):
+    from tidewell.llm.pii import pseudonymise
+
+    def phone(m):
+        d = re.sub(r"\D", "", m)
+        k = max(1, min(3, len(d) - 10)) if m[0] == "+" else 0
+        new = iter(d[:k] + feistel_text_plain(d[k:], "k", "phone"))
+        return "".join(next(new) if c.isdigit() else c for c in m)
+    phones = ["+33 1 23 45 67 89", "+49 30 1234567", "+44 20 7946 0958", "555 123 4567", "+44 (0)20 7946 0958", "+45 12 34 56 78",
+              "+3531234567", "+1234567 8", "+123 456 789 012 345", "+1 (017) 555-7713", "017-555-7713", "+33123456789"]
+    texts = [f"call {p}, or" for p in phones]
+    rest = ["+1 234 567", "+33 1 23 45 67 89 4485 2757 4230 8327", "+33 1 23 45 67 89 2024-02-29", "1 555 12 4567", "3782 822463 10006",
+            "3782 822463 10005 3782-822463-10005 378282246310005"]
+    got = [r["text"] for r in pseudonymise(frame(spark, texts + rest), "k").orderBy("doc_id").collect()]
+    assert got[:len(phones)] == [f"call {phone(p)}, or" for p in phones]
+    few, before_card, before_date, other, bad, amex = got[len(phones):]
+    assert (few, other, bad) == (rest[0], rest[3], rest[4])
+    assert before_card.startswith(phone(phones[0]) + " ") and luhn_ok(before_card[18:].replace(" ", "")) and "4485 2757" not in before_card
+    assert before_date.startswith(phone(phones[0]) + " ") and dt.date.fromisoformat(before_date[18:]) != dt.date(2024, 2, 29)
+    d = amex[-15:]
+    assert luhn_ok(d) and d != "378282246310005" and amex == f"{d[:4]} {d[4:10]} {d[10:]} {d[:4]}-{d[4:10]}-{d[10:]} {d}"
+
+
 def test_pseudonyms_are_a_permutation(spark):
     """Small domains are hit completely and once: 146,097 days, and two-digit texts."""
     from tidewell.llm import pii

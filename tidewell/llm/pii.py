@@ -15,13 +15,20 @@ ROUNDS = 8
 # the last label of an address; those before it are read up to the last one that it follows, so a
 # full stop after an address is no part of it
 _TOP = r"[A-Za-z]{2,24}(?![A-Za-z0-9])"
+# numbers of other kinds that may follow a phone number and a space
+_NEXT = (r"(?:\d{4}-\d{2}-\d{2}|\d{2}[./]\d{2}[./]\d{4}|\d{3}-\d{2}-\d{4}|\d{1,3}(?:\.\d{1,3}){3}|\d{13,19}"
+         r"|\d{4}(?: \d{4}){3}|\d{4}(?:-\d{4}){3}|\d{4}(?: \d{6} |-\d{6}-)\d{5}|\d{3}[.\-]\d{3}[.\-]\d{4})(?!\d)")
 # What is looked for.  No pattern can run back over more than it has just read.
 PATTERNS = {
     "email": (r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@"
               rf"(?:(?:[A-Za-z0-9\-]++\.(?!{_TOP}))*+[A-Za-z0-9\-]++\.(?={_TOP}))++{_TOP}"),
     "secret": r"(?<![0-9A-Za-z])[0-9a-f]{32,64}(?![0-9A-Za-z])",
-    "phone": r"(?<![\w+.\-])\+\d{1,3}[ .\-]?\(?\d{3}\)?[ .\-]?\d{3}[ .\-]?\d{4}(?!\d)|(?<![\w.\-])(?:\(\d{3}\) ?|\d{3}[\-.])\d{3}[\-.]\d{4}(?!\d)",
-    "card": r"(?<![\w.\-])\d{13,19}(?![\w])|(?<![\w.\-])\d{4}([ \-])\d{4}\1\d{4}\1\d{4}(?![\w])",
+    # the usual ten national digits; else 8 to 15 after '+', grouped anyhow, up to a value of another kind
+    "phone": (r"(?<![\w+.\-])\+\d{1,3}[ .\-]?\(?\d{3}\)?[ .\-]?\d{3}[ .\-]?\d{4}(?!\d)"
+              rf"|(?<![\w+.\-])\+\d(?:(?: (?!{_NEXT})|[.\-])?\(?\d\)?){{7,14}}(?!\d)"
+              r"|(?<![\w.\-])(?:\(\d{3}\) ?|\d{3}[\-.])\d{3}[\-.]\d{4}(?!\d)|(?<![\w.\-])\d{3} \d{3} \d{4}(?!\d)"),
+    "card": (r"(?<![\w.\-])\d{13,19}(?![\w])|(?<![\w.\-])\d{4}([ \-])\d{4}\1\d{4}\1\d{4}(?![\w])"
+             r"|(?<![\w.\-])\d{4}(?: \d{6} |-\d{6}-)\d{5}(?![\w])"),
     "ssn": r"(?<![\w.\-])\d{3}-\d{2}-\d{4}(?![\w\-])",
     "date": r"(?<![\w.\-])(?:\d{4}-\d{2}-\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?![\w\-])",
     "ip": r"(?<![\w.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\w|\.\d)",
@@ -115,8 +122,10 @@ def _pseudonym(key: str) -> str:
     email = _bind("substring(m, 1, length(m) - length(substring_index(m, '.', -1)) - 1)", "s",
                   f"concat({feistel_text('s', key, 'email')}, '.', substring_index(m, '.', -1))")
     secret = feistel_text("m", key, "secret", hexadecimal=True)
-    phone = _bind(digits, "d", _refill("m", "concat(substring(d, 1, length(d) - 10), "
-                                       + feistel_text("substring(d, length(d) - 9, 10)", key, "phone") + ")"))
+    # after '+', one to three digits stay as the country's, all but ten where that fits
+    country = "CASE WHEN m LIKE '+%' THEN greatest(1, least(3, length(d) - 10)) ELSE 0 END"
+    phone = _bind(digits, "d", _refill("m", f"concat(substring(d, 1, {country}), "
+                                       + feistel_text(f"substring(d, {country} + 1, length(d))", key, "phone") + ")"))
     card = _bind(feistel_text(f"substring({digits}, 1, length({digits}) - 1)", key, "card"), "d",
                  _refill("m", f"concat(d, cast((10 - {_luhn_sum('d', 1)} % 10) % 10 AS string))"))
     # area 001-899 without 666, group 01-99, serial 0001-9999
@@ -145,7 +154,7 @@ def _pseudonym(key: str) -> str:
                                  THEN {out('ssn', ssn)} ELSE named_struct('kind', cast(NULL AS string), 'text', m) END
       WHEN {kind_is('ip')} THEN CASE WHEN forall(split(m, '[.]'), o -> cast(o AS int) <= 255) THEN {out('ip', ip)}
                                 ELSE named_struct('kind', cast(NULL AS string), 'text', m) END
-      WHEN {kind_is('phone')} THEN {out('phone', phone)}
+      WHEN m LIKE '+%' OR {kind_is('phone')} THEN {out('phone', phone)}
       WHEN {_luhn_sum(digits, 0)} % 10 = 0 AND length({digits}) BETWEEN 13 AND 19 THEN {out('card', card)}
       ELSE named_struct('kind', cast(NULL AS string), 'text', m) END"""
 
@@ -155,7 +164,7 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", out_col: str
     """``docs`` with pseudonyms in ``out_col`` and, in ``kinds_col``, the kind of each replaced value.
 
     Replaced: e-mail addresses; hexadecimal secrets of 32 to 64 digits; phone numbers of ten
-    national digits; card numbers with a valid check digit; valid social security numbers;
+    national digits, or of 8 to 15 digits after a plus sign in any grouping; card numbers with a valid check digit; valid social security numbers;
     valid IPv4 addresses; valid dates of the years 1800 to 2199.  Numbers that fail their
     check stay.  Null stays null (with no kinds); empty texts stay empty; every row is treated
     alone, so ids, ties and repeated rows do not matter; existing columns of the output names
