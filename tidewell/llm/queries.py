@@ -65,7 +65,8 @@ h AS (SELECT doc_id, unnest(list_transform(range(1, len(ws) - 3), lambda i: arra
              unnest(range(1, len(ws) - 3)) AS i FROM w WHERE len(ws) >= 5),
 r AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM h SEMI JOIN (SELECT doc_id, v FROM h GROUP BY ALL HAVING count(*) > 1) USING (doc_id, v),
       range(0, 5) o(k) GROUP BY doc_id),
-l AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS ls FROM t),
+l AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ 	-
+]')) AS ls FROM t),
 b AS (SELECT doc_id, lang, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
              CAST(length(regexp_replace(t.text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
              CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
@@ -249,3 +250,7 @@ def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
+
+
+# the queries over whole datasets register themselves
+from tidewell.llm import dataset_queries  # noqa: E402,F401
