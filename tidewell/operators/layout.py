@@ -85,11 +85,15 @@ def _partition_spec(text: str) -> dict[str, str]:
     return {k: unquote(v) for k, v in (p.split("=", 1) for p in text.split("/"))}
 
 
+DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"    # the catalog's name for the partition of null
+
+
 def expire_partitions(spark: SparkSession, table: str, part_col: str, keep_from: str,
                       archive_path: str | None = None) -> list[str]:
     """Archive then drop partitions whose ``part_col`` is below ``keep_from``; return the expired values.
 
-    The table may be partitioned by further columns.  The partition list comes from the
+    Values are compared in the column's type (9 is below 20 in a number, above it in a string); the
+    partition of null never expires.  The table may be partitioned by further columns.  The partition list comes from the
     catalog (metadata, one entry per partition) and all expired partitions go in one
     statement.  The archive is a partition-pruned copy that replaces the partitions it
     holds already, so a run repeated after a failure archives nothing twice.
@@ -97,12 +101,17 @@ def expire_partitions(spark: SparkSession, table: str, part_col: str, keep_from:
     specs = [_partition_spec(r[0]) for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
     if specs and part_col not in specs[0]:
         raise ValueError(f"{table} is not partitioned by {part_col}")
-    gone = [s for s in specs if s[part_col] < keep_from]
-    expired = sorted({s[part_col] for s in gone})
+    kind = spark.table(table).schema[part_col].dataType
+    values = sorted({s[part_col] for s in specs if s[part_col] != DEFAULT_PARTITION})
+    typed = lambda c: F.col(c).cast(kind)
+    below = spark.createDataFrame([(v, keep_from) for v in values], "v string, keep_from string").filter(
+        typed("v") < typed("keep_from")).orderBy(typed("v"), "v")
+    expired = [r["v"] for r in below.collect()]
+    gone = [s for s in specs if s[part_col] in set(expired)]
     if not expired:
         return []
     if archive_path:
-        (spark.table(table).filter(F.col(part_col).isin(expired))
+        (spark.table(table).filter(F.col(part_col).isin([F.lit(v).cast(kind) for v in expired]))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*specs[0]).parquet(archive_path))
 

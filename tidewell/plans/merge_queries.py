@@ -11,7 +11,7 @@ from tidewell.operators.merge import (Delete, Insert, Update, delete_in, delete_
                                       merge_into, update_where)
 from tidewell.plans.common import CUSTOMER_FEED_CTE, CUSTOMERS_CTE, with_ctes
 from tidewell.plans.registry import query
-from tidewell.session import checkpoint_root
+from tidewell.session import scratch_path
 from tidewell.sources import shapes
 from tidewell.sources.tables import read_table
 
@@ -143,10 +143,12 @@ def q_dedup_upsert(spark, d):
 
 
 def commit(df):
-    """The state a first commit leaves behind, written (reliable checkpoint) before the next
-    commit reads it, as a table write would be; cuts the lineage between commits."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The state a first commit leaves behind, written and read again as a table would be.  (A state
+    handed on by ``checkpoint`` would carry the optimizer's size estimate of its plan along, and
+    every join of a state with itself multiplies that.)"""
+    path = scratch_path(df.sparkSession, "committed")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _empty_like(spark, df):
@@ -211,14 +213,14 @@ def q_cdc_apply_late(spark, d):
 
 
 @query("merge_duplicate_source", """
-SELECT c_custkey AS k, c_acctbal AS v FROM customer WHERE c_custkey % 2 = 0
-UNION ALL SELECT user_id, value FROM events WHERE user_id NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0)
+SELECT c_custkey AS k, c_acctbal AS v FROM customer
+UNION ALL SELECT user_id - 20, value FROM events WHERE user_id - 20 NOT IN (SELECT c_custkey FROM customer)
 """)
 def q_merge_duplicate_source(spark, d):
-    """Many source rows match each target row and none of them fires: every target row stays, once."""
-    t = read_table(spark, d, "customer").filter("c_custkey % 2 = 0").select(
-        F.col("c_custkey").alias("k"), F.col("c_acctbal").alias("v"))
-    s = read_table(spark, d, "events").select(F.col("user_id").alias("k"), F.col("value").alias("v"))
+    """Many source rows match each target row and none of them fires: every target row stays, once.
+    Source keys are shifted, so that the lowest find no customer and are inserted."""
+    t = read_table(spark, d, "customer").select(F.col("c_custkey").alias("k"), F.col("c_acctbal").alias("v"))
+    s = read_table(spark, d, "events").select((F.col("user_id") - 20).alias("k"), F.col("value").alias("v"))
     return merge_into(t, s, ["k"], matched=[Update("s.v > 1e12"), Delete("s.v < -1e12")], not_matched=[Insert()]).state
 
 

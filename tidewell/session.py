@@ -108,3 +108,11 @@ def move_path(spark: SparkSession, source: str, target: str) -> None:
     fs.mkdirs(b.getParent())
     if not fs.rename(a, b):
         raise OSError(f"could not move {source} to {target}")
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds on its file system; none where there is no such folder."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(conf)
+    return [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []

@@ -4,8 +4,9 @@
   join runs inside ``foreachBatch`` and the static side is re-read per
   micro-batch, so new static files are seen (a file DataFrame lists its files
   once, when it is created).  Only stream rows trigger output.
-* stream–stream: both sides buffered in state; give watermarks and a time
-  bound to let Spark drop old state.
+* stream–stream: both sides buffered in state; with ``bounded_stream_join``
+  watermarks and a range of times let Spark drop rows that can match no more, and
+  emit outer rows then.
 * newest-version join: facts joined with the newest version of their
   dimension row, maintained from both sides per micro-batch without pairing
   a fact with every version of its dimension key.
@@ -16,6 +17,7 @@ from __future__ import annotations
 from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from tidewell.operators.window import latest_per_key
 
@@ -33,22 +35,49 @@ def fresh_static_join(load_static: Callable[[], DataFrame], on, how: str,
 
 
 def stream_stream_join(left: DataFrame, right: DataFrame, on: Sequence[str] | Column, how: str = "inner",
-                       watermarks: dict[str, tuple[str, str]] | None = None,
-                       time_bound: Column | None = None) -> DataFrame:
-    """Join two streams.  ``watermarks = {"left": (col, delay), "right": (col, delay)}``."""
+                       watermarks: dict[str, tuple[str, str]] | None = None) -> DataFrame:
+    """Join two streams whose state is kept without bound; key columns listed in ``on`` come once.
+    ``watermarks = {"left": (col, delay), "right": (col, delay)}``."""
     if watermarks:
         if "left" in watermarks:
             left = left.withWatermark(*watermarks["left"])
         if "right" in watermarks:
             right = right.withWatermark(*watermarks["right"])
-    if time_bound is not None:
-        cond = time_bound
-        if isinstance(on, (list, tuple)):
-            for k in on:
-                cond = cond & (left[k] == right[k])
-            return left.join(right, cond, how).drop(right[on[0]]) if len(on) == 1 else left.join(right, cond, how)
-        return left.join(right, on & cond, how)
-    return left.join(right, on, how)
+    return left.join(right, list(on) if isinstance(on, tuple) else on, how)
+
+
+def bounded_stream_join(left: DataFrame, right: DataFrame, on: Sequence[str], times: tuple[str, str], delays: tuple[str, str],
+                        earliest: str = "0 seconds", latest: str = "1 hour", how: str = "inner") -> DataFrame:
+    """Rows of two streams with equal keys whose times are near: ``left time + earliest <= right time <= left time
+    + latest`` (intervals such as ``"6 hours"``, ``"-30 minutes"``).
+
+    Both sides carry a watermark (``delays``), so a buffered row goes once the other side's
+    watermark is past every time that it could match, and state follows the range, not
+    the stream.  ``how``: ``inner``, ``left_outer``, ``right_outer`` or ``full_outer``; a row without a match
+    comes when it leaves the buffer, in the batch after that (Spark holds back rows that may
+    still be matched when the input ends).  Input behind the watermark is dropped.
+
+    Columns: the keys once (of the side that has a row), then the left and the right columns;
+    other names must not occur on both sides.  A null key matches nothing; rows given
+    twice match each for itself.
+    """
+    keys, (lt, rt) = list(on), times
+    rest_l, rest_r = [c for c in left.columns if c not in keys], [c for c in right.columns if c not in keys]
+    both = set(rest_l) & set(rest_r)
+    if both:
+        raise ValueError(f"columns of both sides: {sorted(both)}; rename them on one side")
+    a = left.withWatermark(lt, delays[0]).alias("l")
+    b = right.withWatermark(rt, delays[1]).alias("r")
+    cond = F.expr(f"r.`{rt}` >= l.`{lt}` + INTERVAL '{earliest}' AND r.`{rt}` <= l.`{lt}` + INTERVAL '{latest}'")
+    for k in keys:
+        cond = cond & (F.col(f"l.`{k}`") == F.col(f"r.`{k}`"))
+
+    def key(k: str) -> Column:
+        if how.startswith("full"):
+            return F.coalesce(F.col(f"l.`{k}`"), F.col(f"r.`{k}`"))
+        return F.col(f"r.`{k}`" if how.startswith("right") else f"l.`{k}`")
+    return a.join(b, cond, how).select(*[key(k).alias(k) for k in keys], *[F.col(f"l.`{c}`") for c in rest_l],
+                                       *[F.col(f"r.`{c}`") for c in rest_r])
 
 
 def newest_version_join(new_facts: DataFrame, changed_dims: DataFrame, known_dims: DataFrame,

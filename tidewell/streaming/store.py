@@ -3,7 +3,8 @@
 ``VersionedTable`` keeps a keyed table as versions of buckets:
 
     <path>/state/_tw_version=<n>/_tw_bucket=<b>/part-*.parquet   rows of bucket b as of version n
-    <path>/manifest/_tw_version=<n>/…                            (bucket, version) rows: the commit marker
+    <path>/manifest/_tw_version=<n>/…                            (bucket, version directory) of every bucket
+                                                                 with rows as of version n: the commit marker
     <path>/changes/_commit_version=<n>/…                         change rows of that commit
 
 A commit reads only the buckets its source rows fall into, applies a pure function
@@ -14,10 +15,14 @@ never written again: a replayed ``foreachBatch`` epoch only finishes a move that
 was cut off, so a stream over ``changes`` sees every change row once.  (The move is
 one rename, atomic on file systems that have renames.)
 
+A read takes the newest manifest up to the version asked for and opens the directories
+that it names and no other, so its cost does not grow with the number of versions.  A
+restore is a manifest that names the directories of an earlier version, with the
+compensating change rows: it writes no state row.
+
 Buckets are hashes of the keys unless ``bucket_by`` names an expression of the key
 columns: with one that follows the arrival order (a day, a month) a batch rewrites
-only the buckets it is local in.  A read picks, per bucket, the newest version ≤
-the one asked for by a join with the (bucket, version) list.
+only the buckets it is local in.
 
 ``EpochTable`` is the complete-mode sink: each epoch's full result goes to its
 own directory and readers take the newest.
@@ -33,13 +38,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from tidewell.operators.changes import CTS, CV
+from tidewell.operators.changes import CTS, CV, snapshot_diff
 from tidewell.operators.layout import input_bytes
 from tidewell.operators.merge import MergeResult
-from tidewell.session import move_path, path_exists
+from tidewell.session import list_names, move_path, path_exists
 
 # partition columns of the layout (named so they cannot clash with table columns)
 V, B = "_tw_version", "_tw_bucket"
+AT = "_tw_at"       # in a manifest: the version directory that holds a bucket
 KIND = "_tw_is_state"
 
 
@@ -67,37 +73,34 @@ class VersionedTable:
             return F.coalesce(F.expr(self.bucket_by).cast("int"), F.lit(-1))
         return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
 
-    def _manifest(self) -> DataFrame | None:
-        path = f"{self.path}/manifest"
-        return self.spark.read.parquet(path) if path_exists(self.spark, path) else None
-
-    def latest_version(self) -> int | None:
-        m = self._manifest()
-        return None if m is None else m.agg(F.max(V)).first()[0]
-
-    def _live(self, version: int | None, buckets: DataFrame | None = None) -> DataFrame | None:
-        m = self._manifest()
-        if m is None:
-            return None
-        if version is not None:
-            m = m.filter(F.col(V) <= version)
-        if buckets is not None:
-            m = m.join(buckets, B, "left_semi")
-        return m.groupBy(B).agg(F.max(V).alias(V))
-
-    def _state_rows(self, schema, live: DataFrame | None, version: int | None = None) -> DataFrame:
-        if live is None:
-            return self.spark.createDataFrame([], schema)
-        if not path_exists(self.spark, f"{self.path}/state"):
-            return self.spark.createDataFrame([], schema)
-        full = StructType(list(schema.fields) + [StructField(V, IntegerType()),
-                                                 StructField(B, IntegerType())])
-        st = self.spark.read.schema(full).parquet(f"{self.path}/state")
-        if version is not None:
-            # static partition filter: a replayed commit never reads the directory it rewrites
-            st = st.filter(F.col(V) <= version)
-        # (bucket, version) pairs: one row per bucket, which prunes the partitions
-        return st.join(live, [V, B], "left_semi").drop(V, B)
+    def _committed_versions(self) -> list[int]:
+        """Versions that have a manifest folder, newest first."""
+        names = list_names(self.spark, f"{self.path}/manifest")
+        return sorted((int(n.split("=")[1]) for n in names if n.startswith(f"{V}=")), reverse=True)
+
+    def committed(self, version: int) -> bool:
+        """Whether the version's manifest, one file, is in its place."""
+        return any(n.startswith("part-") for n in list_names(self.spark, f"{self.path}/manifest/{V}={version}"))
+
+    def latest_version(self, up_to: int | None = None) -> int | None:
+        """The newest committed version (not above ``up_to``)."""
+        return next((v for v in self._committed_versions() if (up_to is None or v <= up_to) and self.committed(v)), None)
+
+    def _live(self, version: int | None) -> dict[int, int]:
+        """The version directory of every bucket with rows: two integers a bucket, as in Spark's own file index."""
+        v = self.latest_version(version)
+        if v is None:
+            return {}
+        return {r[B]: r[AT] for r in self.spark.read.parquet(f"{self.path}/manifest/{V}={v}").select(B, AT).collect()}
+
+    def _rows(self, live: dict[int, int]) -> DataFrame:
+        """Rows of the named buckets, from their own directories only."""
+        if not live:
+            return self.spark.createDataFrame([], self.schema())
+        full = StructType([*self.schema().fields, StructField(V, IntegerType()), StructField(B, IntegerType())])
+        state = f"{self.path}/state"
+        paths = [f"{state}/{V}={at}/{B}={b}" for b, at in sorted(live.items())]
+        return self.spark.read.schema(full).option("basePath", state).parquet(*paths).drop(V, B)
 
     # ---- API ------------------------------------------------------------------------
     def exists(self) -> bool:
@@ -116,7 +119,7 @@ class VersionedTable:
         meta = json.dumps({"schema": df.schema.jsonValue(), "buckets": self._buckets})
         (self.spark.createDataFrame([(meta,)], "value string").coalesce(1)
          .write.mode("overwrite").text(f"{self.path}/schema"))
-        self._write(0, df, None, touched=None)
+        self._write(0, df, None, {})
 
     def ensure(self, df: DataFrame, expected_bytes: int | None = None) -> "VersionedTable":
         """``create`` unless the table is there already."""
@@ -124,10 +127,17 @@ class VersionedTable:
             self.create(df, expected_bytes)
         return self
 
-    def read(self, version: int | None = None, schema=None) -> DataFrame:
-        if schema is None:
-            schema = self.schema()
-        return self._state_rows(schema, self._live(version), version)
+    def read(self, version: int | None = None) -> DataFrame:
+        """The table as of ``version`` (default: now)."""
+        return self._rows(self._live(version))
+
+    def read_buckets_of(self, keys: DataFrame, version: int | None = None) -> DataFrame:
+        """The buckets that the rows of ``keys`` (with the key columns) fall into, whole."""
+        wanted = self._buckets_of(keys)
+        return self._rows({b: at for b, at in self._live(version).items() if b in wanted})
+
+    def _buckets_of(self, source: DataFrame) -> set[int]:
+        return {r[0] for r in source.select(self.bucket_of().alias(B)).distinct().collect()}  # one integer per bucket
 
     def schema(self) -> StructType:
         if self._schema is None:
@@ -137,34 +147,47 @@ class VersionedTable:
 
     def changes(self, start: int | None = None, end: int | None = None) -> DataFrame:
         """Change rows of committed versions."""
-        ch = self.spark.read.parquet(f"{self.path}/changes")
+        ch = self.spark.read.parquet(f"{self.path}/changes")    # only committed versions are moved here
         if start is not None:
             ch = ch.filter(F.col(CV) >= start)
         if end is not None:
             ch = ch.filter(F.col(CV) <= end)
-        committed = self._manifest().select(F.col(V).alias(CV)).distinct()
-        return ch.join(committed, CV, "left_semi").select(*ch.columns)
-
-    def committed(self, version: int) -> bool:
-        m = self._manifest()
-        return m is not None and bool(m.filter(F.col(V) == version).limit(1).collect())
+        return ch
 
     def commit(self, version: int, source: DataFrame,
                apply: Callable[[DataFrame, DataFrame], MergeResult],
                commit_ts: "F.Column | None" = None) -> None:
         """Apply ``apply(current_rows_of_touched_buckets, source)`` as ``version``, once."""
-        schema = self.schema()
         if self.committed(version):
             self._publish(version)
             return
-        touched_rows = source.select(self.bucket_of().alias(B)).distinct()
-        touched = [r[0] for r in touched_rows.collect()]  # one integer per bucket
+        touched = self._buckets_of(source)
         if not touched:
             return
-        tb = self.spark.createDataFrame([(b,) for b in touched], f"{B} int")
-        current = self._state_rows(schema, self._live(version - 1, tb), version - 1)
-        result = apply(current, source)
-        self._write(version, result.state, result.changes, touched=touched, commit_ts=commit_ts)
+        live = self._live(version - 1)
+        result = apply(self._rows({b: at for b, at in live.items() if b in touched}), source)
+        self._write(version, result.state, result.changes, {b: at for b, at in live.items() if b not in touched}, commit_ts)
+
+    def restore(self, to_version: int, version: int, commit_ts: "F.Column | None" = None) -> None:
+        """Commit the state as of ``to_version`` as ``version``, once.
+
+        The new manifest names the old directories, so no state row is written.  Buckets that
+        the two versions share are not read; the others give the compensating change rows,
+        which a stream over ``changes`` sees like those of any commit.
+        """
+        if self.committed(version):
+            self._publish(version)
+            return
+        if self.latest_version(to_version) is None or to_version >= version:
+            raise ValueError(f"no version {to_version} before {version} to restore")
+        now, then = self._live(version - 1), self._live(to_version)
+        moved = {b for b in {*now, *then} if now.get(b) != then.get(b)}
+        before, after = (self._rows({b: at for b, at in live.items() if b in moved}) for live in (now, then))
+        ts = commit_ts if commit_ts is not None else F.current_timestamp()
+        (snapshot_diff(before, after, self.keys).withColumn(CTS, ts)
+         .write.mode("overwrite").parquet(f"{self.path}/pending/{CV}={version}"))
+        self._write_manifest(version, then)
+        self._publish(version)
 
     def _publish(self, version: int) -> None:
         """Move the change rows of a committed version to where they are read."""
@@ -172,9 +195,9 @@ class VersionedTable:
         if path_exists(self.spark, pending) and not path_exists(self.spark, final):
             move_path(self.spark, pending, final)
 
-    def _write(self, version: int, state: DataFrame, changes: DataFrame | None,
-               touched: Sequence[int] | None, commit_ts: "F.Column | None" = None) -> None:
-        """``touched``: the buckets that this version replaces (None: all that there are)."""
+    def _write(self, version: int, state: DataFrame, changes: DataFrame | None, kept: dict[int, int],
+               commit_ts: "F.Column | None" = None) -> None:
+        """``kept``: the buckets that stay as they are; ``state`` has the rows of all others."""
         st = state.withColumn(B, self.bucket_of())
         both = None
         if changes is not None:
@@ -191,21 +214,21 @@ class VersionedTable:
         # rows go to write tasks by bucket, so each task writes few bucket folders;
         # adaptive execution splits a bucket holding a hot key into advisory-size
         # partitions instead of writing it from one task
-        (st.hint("rebalance", B).write.mode("overwrite").partitionBy(B)
-         .parquet(f"{self.path}/state/{V}={version}"))
+        folder = f"{self.path}/state/{V}={version}"
+        st.hint("rebalance", B).write.mode("overwrite").partitionBy(B).parquet(folder)
         if both is not None:
             ch.write.mode("overwrite").parquet(f"{self.path}/pending/{CV}={version}")
             both.unpersist()
-        if touched is not None:
-            live = self.spark.createDataFrame([(b,) for b in touched], f"{B} int")
-        elif self.bucket_by is None:
-            live = self.spark.range(self.buckets).select(F.col("id").cast("int").alias(B))
-        else:
-            live = state.select(self.bucket_of().alias(B)).distinct()
-        live.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/manifest/{V}={version}")
+        # a bucket without rows has no folder and no entry
+        written = [int(n.split("=")[1]) for n in list_names(self.spark, folder) if n.startswith(f"{B}=")]
+        self._write_manifest(version, {**kept, **{b: version for b in written}})
         if both is not None:
             self._publish(version)
 
+    def _write_manifest(self, version: int, live: dict[int, int]) -> None:
+        pairs = self.spark.createDataFrame(sorted(live.items()), f"{B} int, {AT} int")
+        pairs.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/manifest/{V}={version}")
+
 
 class EpochTable:
     """Complete-mode sink: one directory per epoch, readers take the newest."""
