@@ -7,6 +7,7 @@ import hashlib
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -225,12 +226,19 @@ def test_bpe_does_not_depend_on_the_units_seen_before():
     for tokens in (spaces, read_ranks(ranks_file(public_tokenizers.path(VOCABULARY)))):
         plain = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, special_tokens={},
                                   mergeable_ranks={t: i for i, t in enumerate(tokens)})
-        codec = Codec(tokens, sentencepiece_model(tokens), public_tokenizers.PATTERN)
+        codec = Codec(tokens, sentencepiece_model(tokens), public_tokenizers.PATTERN, space_led=True)
+        by_text = Codec(tokens, sentencepiece_model(tokens), public_tokenizers.PATTERN)
         first = ["a", "b", "the", " cat", " ", "\n", "\t", "a cat", "a ", "the cat the", "\ue000", " \ue000", " \n", " \t"]
         texts = ["a\ue000b", "\ue000the cat", "the\ue000 cat", "\ue000", "\ue000\ue000a", "a \ue000", "a  cat", "a     cat",
-                 "    ", "the  ", " a", "a \n cat", "a \t", "\n  a", "\t \t cat", "a \xa0b", "a\n cat", "a cat", "the cat "]
+                 "    ", "the  ", " a", "a \n cat", "a \t", "\n  a", "\t \t cat", "a \xa0b", "a\n cat", "a cat", "the cat ",
+                 "a \u2003b", "a \u201cb", "a \u3000b", "a \u3042", "a \u1680", "a \xa3", "a \x85", "a \u205fb", "a  ", "b", "a \u2028 c"]
+        ids, bounds = codec.encode_all(pa.array([None, *texts, "", *first]))
+        for t, a, z in zip([None, *texts, "", *first], bounds, bounds[1:]):     # neighbours in one buffer
+            assert ids[a:z].tolist() == plain.encode_ordinary(t or "")
+        assert codec.decode_all(ids, bounds).to_pylist() == [(t or "").encode() for t in [None, *texts, "", *first]]
         for t in first + texts + texts[::-1]:
             ids = codec.encode(t).tolist()
+            assert by_text.encode(t).tolist() == ids
             assert ids == plain.encode_ordinary(t), repr(t)
             assert b"".join(tokens[i] for i in ids) == t.encode()
 

@@ -13,12 +13,12 @@ broadcast; encoded units are kept in a bounded table, as words repeat.
 from __future__ import annotations
 
 import base64
-import re
 import struct
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 MAX_VOCABULARY = 1_000_000
@@ -80,46 +80,144 @@ def sentencepiece_model(tokens: list[bytes]) -> bytes:
     return b"".join(_field(_PIECES, p) for p in pieces) + _field(_TRAINER, trainer) + _field(_NORMALIZER, normalizer)
 
 
-_MARK = "\ue000"       # stands before each space while a text is cut; texts that hold it are matched as a whole
-_lone_space = re.compile(r" (?!\S)").search     # a space at the end or before white space
+PIECE_BYTES = 4 << 20       # texts encoded at once
+
+# the bytes' letters in UTF-8, three bytes each
+_MAPPED = np.frombuffer("".join(byte_characters()).encode(), np.uint8).reshape(256, 3)
+
+
+def _bytes(*spans) -> np.ndarray:
+    out = np.zeros(256, bool)
+    for first, last in spans:
+        out[first:last + 1] = True
+    return out
+
+
+# kinds of bytes: ASCII letters; ASCII white space (with the controls that count as such); ASCII signs that are
+# neither, nor digits, nor the apostrophe that may begin a contraction; first bytes of other white space
+_LETTER, _WHITE = _bytes((0x41, 0x5A), (0x61, 0x7A)), _bytes((0x09, 0x0D), (0x1C, 0x20))
+_SIGN = ~_LETTER & ~_WHITE & ~_bytes((0x30, 0x39), (0x27, 0x27), (0x80, 0xFF))
+_MAYBE_WHITE = _bytes((0xC2, 0xC2), (0xE1, 0xE3))
+
+
+def _units(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(starts of the units that texts are cut into, whether a unit is letters, perhaps after one space).
+
+    Cuts are made only where a match of the pattern ends in any case and where neither side
+    matches differently for it: at each text's start; before a space that a non-space
+    follows; between an ASCII or Latin-1 letter and another ASCII sign on either side (not after an
+    apostrophe); before white space after an ASCII sign; after a line feed between two non-spaces.
+    """
+    size = len(data)
+    own = np.zeros(size + 1, bool)      # where texts start or end
+    own[off] = True
+    letter = _LETTER[data]
+    wide = np.flatnonzero(data[:-1] == 0xC3)
+    wide = wide[(data[wide + 1] != 0x97) & (data[wide + 1] != 0xB7)]
+    letter[wide] = letter[wide + 1] = True
+    before, here = data[:-1], data[1:]
+    ascii_, white = data < 0x80, _WHITE[data]
+    cut = np.zeros(size + 1, bool)
+    cut[1:size] = ((letter[:-1] & ascii_[1:] & ~letter[1:]) | (_SIGN[before] & letter[1:])
+                   | (white[1:] & ascii_[:-1] & ~white[:-1]))
+    at = np.flatnonzero(data == 0x20)
+    at = at[~own[at + 1]]               # the space at a text's end has nothing after it
+    cut[at[~_white_at(data, at + 1)]] = True
+    feed = np.flatnonzero(data == 0x0A)
+    feed = feed[~own[feed] & ~own[feed + 1]]
+    feed = feed[ascii_[feed - 1] & ~white[feed - 1]]
+    cut[feed[~_white_at(data, feed + 1)] + 1] = True
+    cut |= own
+    starts = np.flatnonzero(cut[:size])
+    other = np.append(0, np.cumsum(~letter))
+    ends = np.append(starts[1:], size)
+    led = data[starts] == 0x20
+    plain = (other[ends] - other[starts] == led) & (ends - starts > led)
+    return starts, plain
+
+
+def _objects(values: pa.Array) -> list:
+    return values.to_numpy(zero_copy_only=False).tolist()
+
+
+def _white_at(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the characters that begin at these bytes are white space."""
+    lead = data[at]
+    white = _WHITE[lead]
+    some = np.flatnonzero(_MAYBE_WHITE[lead])
+    if len(some):
+        a, b, c = lead[some], data[at[some] + 1], data[np.minimum(at[some] + 2, len(data) - 1)]
+        general = (b == 0x80) & ((c <= 0x8A) | (c == 0xA8) | (c == 0xA9) | (c == 0xAF)) | (b == 0x81) & (c == 0x9F)
+        white[some] = ((a == 0xC2) & ((b == 0x85) | (b == 0xA0)) | (a == 0xE1) & (b == 0x9A) & (c == 0x80)
+                       | (a == 0xE2) & general | (a == 0xE3) & (b == 0x80) & (c == 0x80))
+    return white
 
 
 class Codec:
     """Encoder of one process, built from the broadcast tokens and model.
 
-    ``recent`` and ``older`` hold the ids (as four bytes each) of pre-tokens and of space-led units;
-    when the first is full it becomes the second, and what is still in use moves back.
+    Texts are cut into units, the distinct units of a piece of a batch are looked up (or matched
+    and merged), and one gather writes the ids of all texts.  With ``space_led`` a text is cut
+    as ``_units`` says.  That is right for patterns like GPT-2's: matches are runs of letters, of
+    digits or of signs, each perhaps after one space, contractions, and white space that leaves its
+    last character to a non-space behind it; for others a text is one unit.
+
+    ``recent`` and ``older`` hold the ids (as four bytes each) of units and pre-tokens; when the
+    first is full it becomes the second, and what is still in use moves back.
     """
 
-    def __init__(self, tokens: list[bytes], model: bytes, pattern: str):
+    def __init__(self, tokens: list[bytes], model: bytes, pattern: str, space_led: bool = False):
         import regex
         import sentencepiece
         self.whole = {t: struct.pack("=i", i) for i, t in enumerate(tokens)}
+        self.tokens = pa.array(tokens, pa.large_binary())
         self.pieces = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.find = regex.compile(pattern).findall
+        self.space_led = space_led
         self.letters = str.maketrans({chr(b): c for b, c in enumerate(byte_characters())})
-        self.recent: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.recent: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
-    def _merge(self, pre_tokens: list[str]) -> None:
+    def _merge(self, pre_tokens: list[bytes]) -> None:
         """Encode new pre-tokens: one that is itself in the vocabulary is one id, others go through the merges."""
-        rest, mapped = [], []
+        rest = []
         for p in pre_tokens:
-            raw = p.encode()
-            ids = self.whole.get(raw)
+            ids = self.whole.get(p)
             if ids is None:
                 rest.append(p)
-                mapped.append(raw.decode("latin-1").translate(self.letters))
             else:
                 self.recent[p] = ids
         if rest:
-            ids = self.pieces.encode(mapped, num_threads=1)
-            raw, end = np.fromiter(chain.from_iterable(ids), np.int32).tobytes(), 0
-            for p, own in zip(rest, ids):
-                start, end = end, end + 4 * len(own)
-                self.recent[p] = raw[start:end]
-
-    def _known(self, key: str) -> bytes | None:
+            self._merge_mapped(rest, [p.decode("latin-1").translate(self.letters) for p in rest])
+
+    def _merge_mapped(self, pre_tokens: list[bytes], mapped: list[str]) -> None:
+        ids = self.pieces.encode(mapped, num_threads=1)
+        raw = np.fromiter(chain.from_iterable(ids), np.int32).tobytes()
+        ends = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))) * 4
+        self.recent.update(zip(pre_tokens, map(raw.__getitem__, map(slice, [0, *ends[:-1].tolist()], ends.tolist()))))
+
+    def _merge_plain(self, units: pa.Array) -> list[bytes]:
+        """Ids of distinct units that are one pre-token each; none of them is in the vocabulary."""
+        keys = _objects(units)
+        out = list(map(self.recent.get, keys))
+        older = self.older
+        missing = []
+        for i in [i for i, ids in enumerate(out) if ids is None]:
+            ids = older.get(keys[i])
+            if ids is None:
+                missing.append(i)
+            else:
+                self.recent[keys[i]] = ids
+        if missing:
+            new = units.take(pa.array(missing))
+            _, off, buf = new.buffers()
+            data = _MAPPED[np.frombuffer(buf, np.uint8)]        # three bytes for each
+            mapped = pa.LargeStringArray.from_buffers(len(new), pa.py_buffer(np.frombuffer(off, np.int64)[:len(new) + 1] * 3),
+                                                      pa.py_buffer(data))
+            self._merge_mapped([keys[i] for i in missing], _objects(mapped))
+        return list(map(self.recent.__getitem__, keys)) if None in out else out
+
+    def _known(self, key: bytes) -> bytes | None:
         ids = self.recent.get(key)
         if ids is None:
             ids = self.older.get(key)
@@ -127,65 +225,81 @@ class Codec:
                 self.recent[key] = ids
         return ids
 
-    def _pre_tokens(self, unit: str) -> list[str]:
-        """The pattern's matches in a unit; plain words, also before one mark, need no pattern."""
-        if unit[1:].isalpha() and unit[0] == " ":
-            return [unit]
-        if unit[-1] in ".,;:!?" and unit[0] == " " and unit[1:-1].isalpha():
-            return [unit[:-1], unit[-1]]
-        return self.find(unit)
-
-    def _learn(self, units: set[str]) -> None:
-        if len(self.recent) + len(units) > CACHED_UNITS:
-            self.older, self.recent = self.recent, {}
-        cut = {u: self._pre_tokens(u) for u in units if self._known(u) is None}
-        self._merge([p for p in set(chain.from_iterable(cut.values())) if self._known(p) is None])
-        for u, pre in cut.items():
-            if len(pre) > 1:
-                self.recent[u] = b"".join(map(self.recent.__getitem__, pre))
-
-    def _look_up(self, units: list[str]) -> list[bytes]:
+    def _look_up(self, units: list[bytes]) -> list[bytes]:
+        """Ids of distinct units, each cut by the pattern."""
         out = list(map(self.recent.get, units))
         if None in out:
-            missing = {u for u, ids in zip(units, out) if ids is None}
-            self._learn(missing)
-            get = self.recent.get
-            out = [get(u) if ids is None else ids for u, ids in zip(units, out)]
+            cut = {u: [p.encode() for p in self.find(u.decode())] for u, ids in zip(units, out) if ids is None and self._known(u) is None}
+            self._merge([p for p in set(chain.from_iterable(cut.values())) if self._known(p) is None])
+            for u, pre in cut.items():
+                if len(pre) != 1:
+                    self.recent[u] = b"".join(map(self.recent.__getitem__, pre))
+            out = list(map(self.recent.__getitem__, units))
         return out
 
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after another, bounds of each text's ids); null counts as empty."""
+        texts = texts.cast(pa.large_binary()).fill_null(b"")
+        n = len(texts)
+        _, off, buf = texts.buffers()
+        off = np.frombuffer(off, np.int64)[texts.offset:texts.offset + n + 1] if n else np.zeros(1, np.int64)
+        data = (np.frombuffer(buf, np.uint8) if buf is not None and buf.size else np.zeros(0, np.uint8))[off[0]:off[-1]]
+        off = off - off[0]
+        if not len(data):
+            return np.zeros(0, np.int32), np.zeros(n + 1, np.int64)
+        if self.space_led:
+            starts, plain = _units(data, off)
+        else:
+            starts = np.unique(off[:-1][np.diff(off) > 0])
+            plain = np.zeros(len(starts), bool)
+        units = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [
+            None, pa.py_buffer(np.append(starts, len(data)).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
+        coded = units.dictionary_encode()
+        index = coded.indices.to_numpy()
+        words = coded.dictionary
+        if len(self.recent) + len(words) > CACHED_UNITS:
+            self.older, self.recent = self.recent, {}
+        plain_word = np.zeros(len(words), bool)
+        plain_word[index] = plain           # equal units are of one kind
+        rank = pc.index_in(words, value_set=self.tokens)
+        unknown = rank.is_null().to_numpy(zero_copy_only=False)
+        length = np.ones(len(words), np.int64)
+        merge, match = np.flatnonzero(plain_word & unknown), np.flatnonzero(~plain_word)
+        merged = self._merge_plain(words.take(pa.array(merge))) if len(merge) else []
+        matched = self._look_up(_objects(words.take(pa.array(match)))) if len(match) else []
+        length[merge] = [len(x) // 4 for x in merged]
+        length[match] = [len(x) // 4 for x in matched]
+        bounds = np.append(0, np.cumsum(length))
+        flat = np.empty(bounds[-1], np.int32)
+        known = np.flatnonzero(plain_word & ~unknown)
+        flat[bounds[known]] = rank.fill_null(0).to_numpy()[known]
+        for which, found in ((merge, merged), (match, matched)):
+            n = length[which]
+            flat[np.repeat(bounds[which] - np.cumsum(n) + n, n) + np.arange(n.sum())] = np.frombuffer(b"".join(found), np.int32)
+        taken = pa.LargeListArray.from_arrays(pa.array(bounds), pa.array(flat)).take(coded.indices)
+        ends = np.frombuffer(taken.buffers()[1], np.int64)[taken.offset:taken.offset + len(starts) + 1]
+        return taken.flatten().to_numpy(), ends[np.searchsorted(starts, off)] - ends[0]
+
     def encode(self, text: str) -> np.ndarray:
-        """Ids of a text.
-
-        A match of the pattern holds a space only as its first character or inside white
-        space, so a text whose every space stands before a non-space is cut before each
-        space and the units are looked up.  Other texts are matched as a whole, whatever is
-        known already: those that hold the mark, and those with a space at the end or before
-        white space.
-        """
-        if not text:
-            return np.zeros(0, np.int32)
-        if _MARK in text or _lone_space(text):
-            return np.frombuffer(b"".join(self._look_up(self.find(text))), np.int32)
-        units = text.replace(" ", _MARK + " ").split(_MARK)
-        if not units[0]:
-            del units[0]
-        return np.frombuffer(b"".join(self._look_up(units)), np.int32)
-
-
-def decode_ids(tokens: list[bytes], ids: np.ndarray, bounds: np.ndarray) -> list[bytes]:
-    """Bytes of each run ``ids[bounds[k]:bounds[k + 1]]``: the tokens' bytes gathered for all runs at once."""
-    table = np.frombuffer(b"".join(tokens), np.uint8)
-    length = np.array([len(t) for t in tokens])
-    start = np.r_[0, np.cumsum(length)]
-    if len(ids) and not (0 <= ids.min() and ids.max() < len(tokens)):
-        raise IndexError("a token id outside the vocabulary")
-    out = []
-    for a, z in zip(bounds.tolist(), bounds[1:].tolist()):
-        run = ids[a:z]
-        n = length[run]
-        end = np.cumsum(n)
-        out.append(table[np.arange(end[-1]) + np.repeat(start[run] - (end - n), n)].tobytes() if z > a else b"")
-    return out
+        """Ids of one text."""
+        return self.encode_all(pa.array([text]))[0]
+
+    def decode_all(self, ids: np.ndarray, bounds: np.ndarray) -> pa.Array:
+        """Bytes of each run ``ids[bounds[k]:bounds[k + 1]]``."""
+        if len(ids) and not (0 <= ids.min() and ids.max() < len(self.tokens)):
+            raise IndexError("a token id outside the vocabulary")
+        taken = self.tokens.take(pa.array(ids))
+        _, off, data = taken.buffers()
+        off = np.frombuffer(off, np.int64)[taken.offset:taken.offset + len(ids) + 1] if len(ids) else np.zeros(1, np.int64)
+        off = off[bounds]
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(off.copy()), data]).cast(pa.binary())
+
+
+def _pieces(size: np.ndarray, limit: int):
+    """(first, last + 1) of runs of texts of about ``limit`` in sum; a larger text is one run."""
+    piece = (np.cumsum(size) - size) // limit
+    cut = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), len(size)]
+    return [(a, z) for a, z in zip(cut, cut[1:]) if z > a]
 
 
 _CODECS: dict[int, Codec] = {}
@@ -215,28 +329,36 @@ class ByteBPE:
     """Column functions over one vocabulary: ``encode`` (string to ids) and ``decode`` (ids to bytes).
 
     A null text is encoded as empty; an empty text has no ids; ids outside the vocabulary
-    fail the decoding task; texts of any length are encoded whole.
+    fail the decoding task; texts of any length are encoded whole; equal texts have equal
+    ids, whatever was encoded before; an empty table stays empty.  ``space_led``: see ``Codec``.
     """
 
-    def __init__(self, spark: SparkSession, ranks: bytes, pattern: str):
+    def __init__(self, spark: SparkSession, ranks: bytes, pattern: str, space_led: bool = False):
         tokens = read_ranks(ranks)
-        shared = _Shared(spark.sparkContext.broadcast((tokens, sentencepiece_model(tokens), pattern)))
+        shared = _Shared(spark.sparkContext.broadcast((tokens, sentencepiece_model(tokens), pattern, space_led)))
 
         @F.arrow_udf("array<int>")
         def encode(texts: pa.Array) -> pa.Array:
             codec = _codec(shared)
-            flat = [codec.encode(t.as_py() or "") for t in texts]
-            bounds = np.cumsum([0, *map(len, flat)]).astype(np.int32)
-            return pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate([np.zeros(0, np.int32), *flat])))
+            size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+            flat, ends = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
+            for a, z in _pieces(size, PIECE_BYTES):
+                ids, bounds = codec.encode_all(texts.slice(a, z - a))
+                flat.append(ids)
+                ends.append(bounds[1:] + ends[-1][-1])
+            return pa.ListArray.from_arrays(pa.array(np.concatenate(ends).astype(np.int32)), pa.array(np.concatenate(flat)))
 
         @F.arrow_udf("binary")
         def decode(ids: pa.Array) -> pa.Array:
-            tokens = shared.value[0]
+            codec = _codec(shared)
             flat = ids.flatten().to_numpy(zero_copy_only=False)
-            bounds = np.cumsum([0, *(n or 0 for n in ids.value_lengths().to_pylist())])
-            return pa.array(decode_ids(tokens, flat, bounds), pa.binary())
+            size = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+            bounds = np.append(0, np.cumsum(size))
+            out = [codec.decode_all(flat[bounds[a]:bounds[z]], bounds[a:z + 1] - bounds[a]) for a, z in _pieces(size, PIECE_BYTES // 4)]
+            return pa.concat_arrays(out) if out else pa.array([], pa.binary())
 
-        self.encode, self.decode = encode, decode
+        # two uses of one column of ids must not encode the texts twice
+        self.encode, self.decode = encode.asNondeterministic(), decode
 
 
 def ranks_file(path: str) -> bytes:
@@ -246,7 +368,8 @@ def ranks_file(path: str) -> bytes:
 
 
 def bpe_encode(docs: DataFrame, bpe: ByteBPE, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """``docs`` with a column of token ids (replacing one of the same name)."""
+    """``docs`` with a column of token ids (replacing one of the same name), one row per input row: repeated
+    rows stay, null and empty texts have no ids, an empty table stays empty (see ``ByteBPE``)."""
     return docs.withColumn(ids_col, bpe.encode(F.coalesce(F.col(text_col), F.lit(""))))
 
 

@@ -140,7 +140,7 @@ def byte_bpe(spark: SparkSession, path: str | None = None):
     """The production vocabulary and pattern; ``path`` names another rank file."""
     import public_tokenizers
     from tidewell.llm.byte_bpe import ByteBPE, ranks_file
-    return ByteBPE(spark, ranks_file(path or public_tokenizers.path(VOCABULARY)), public_tokenizers.PATTERN)
+    return ByteBPE(spark, ranks_file(path or public_tokenizers.path(VOCABULARY)), public_tokenizers.PATTERN, space_led=True)
 
 
 @query("op4_byte_bpe")
