@@ -36,12 +36,47 @@ def test_language_cases(spark):
     for t in (None, "", "123 ++"):
         assert (got[t]["lang_pred"], got[t]["score"], got[t]["rejected"]) == ("und", 0.0, True)
     assert got["der die das und"]["lang_pred"] == "de" and got["the " * 50_000]["lang_pred"] == "en"
+    assert not got["the " * 50_000]["rejected"] and not got["der die das und"]["rejected"]
     assert got["漢字"]["lang_pred"] in ("en", "de")
     # nothing learned: every text is unknown
     nothing = identify_languages(docs, train_language_model(docs)).collect()
     assert {r["lang_pred"] for r in nothing} == {"und"} and len(nothing) == len(odd)
 
 
+def test_other_scripts_are_rejected_and_clean_rows_stay(spark):
+    from tidewell.llm.language_id import identify_languages, train_language_model
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    mislabelled = docs.limit(20).withColumn("lang", F.lit("de")).withColumn("doc_id", F.col("doc_id") + 1_000_000)
+    model = train_language_model(docs.unionByName(mislabelled))
+    foreign = ["Это предложение написано на языке, которого модель не знает", "это", "これは学習していない言語の文章です", "漢字",
+               "Αυτό το κείμενο είναι σε άλλη γλώσσα " * 50, "هذا نص بلغة أخرى"]
+    other = spark.createDataFrame([(i, t) for i, t in enumerate(foreign)], "doc_id long, text string")
+    assert all(r["rejected"] for r in identify_languages(other, model).collect())
+    # texts in a language that was not learned are rejected, those in the others are not
+    for lang, least in (("fr", 0.9), ("en", 0.6)):
+        fewer = train_language_model(docs.where(F.col("lang") != lang))
+        rejected = {r["known"]: r["share"] for r in identify_languages(docs, fewer, "doc_id", "text", (F.col("lang") != lang).alias("known"))
+                    .groupBy("known").agg(F.avg(F.col("rejected").cast("int")).alias("share")).collect()}
+        assert rejected[False] > least and rejected[True] < 0.01
+    short = docs.select("doc_id", F.substring_index("text", " ", 6).alias("text")).where(F.col("text").rlike("[a-z]{4}"))
+    for frame_, most in ((docs.where(F.length("text") > 100), 0.005), (short, 0.05)):
+        out = identify_languages(frame_, model).collect()
+        assert sum(r["rejected"] for r in out) <= most * len(out)
+
+
+def test_kept_columns_may_have_any_name(spark):
+    from tidewell.llm.decontaminate import find_contamination
+    from tidewell.llm.language_id import identify_languages, train_language_model
+    docs = spark.createDataFrame([(1, "a b c d", "src", 5, "x"), (2, None, None, None, "y")], "doc_id long, text string, _src string, _hit int, _letter string")
+    items = spark.createDataFrame([(7, "b c")], "item_id long, text string")
+    names = ["_src", "_hit", "_letter"]
+    out = {r["doc_id"]: r for r in find_contamination(docs, items, *names).collect()}
+    assert [out[1][n] for n in names] == ["src", 5, "x"] and [out[2][n] for n in names] == [None, None, "y"] and out[1]["n_hit"] == 2
+    model = train_language_model(spark.createDataFrame([], DOC))
+    out = {r["doc_id"]: r for r in identify_languages(docs, model, "doc_id", "text", *names).collect()}
+    assert [out[1][n] for n in names] == ["src", 5, "x"] and out[2]["lang_pred"] == "und"
+
+
 def test_toxicity_held_out(spark):
     out = E.queries()["op8_toxicity"](spark, SF).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id", "left").collect()
     assert len(out) == 1000 and all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in out)
@@ -153,11 +188,9 @@ def test_pipeline_equals_plain_version(spark):
     assert first.columns == extra.columns and {100_001, 100_002}.isdisjoint(r["doc_id"] for r in kept)
     assert {r["doc_id"] for r in kept} >= {r["doc_id"] for r in docs.collect()}
     second = stage["ngram_jaccard"](spark, first, SF_SMALL).cache()
-    named = [r for r in kept if r["doc_id"] is not None]
-    named.sort(key=lambda r: r["doc_id"])
+    named = sorted(kept, key=lambda r: (r["doc_id"] is None, r["doc_id"]))
     want = [r["doc_id"] for i, (r, (_, c)) in enumerate(zip(named, brute_components([r["text"] for r in named], 5, 80, 100))) if c == i]
-    assert sorted(r["doc_id"] for r in second.collect() if r["doc_id"] is not None) == want
-    assert second.where("doc_id IS NULL").count() == 1
+    assert sorted((r["doc_id"] for r in second.collect()), key=lambda d: (d is None, d)) == want
     third = stage["decontamination"](spark, second, SF_SMALL).cache()
     items = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").select("item_id", "text").collect()]
     left = third.collect()
@@ -174,6 +207,18 @@ def test_pipeline_equals_plain_version(spark):
     assert len(last) == len(left) and all(r["round_trip"] and r["n_tokens"] == len(r["ids"]) for r in last)
 
 
+def test_pipeline_keeps_unrelated_rows_of_one_id(spark):
+    import corpus_pipeline as P
+    one, two, three = (" ".join(f"{w}{i}" for i in range(60)) for w in ("a", "b", "c"))
+    rows = [(7, one, "en", "s", 1), (7, two, "en", "s", 1), (7, two, "de", "s", 1), (None, three, "en", "s", 1), (None, three, "en", "s", 1),
+            (3, three + " more", "en", "s", 1), (None, None, "en", "s", 1), (9, one, "en", "s", 1), (11, "", None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    out = P.near_duplicates(spark, docs, SF_SMALL)
+    assert out.columns == docs.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str)
+    assert got == sorted([(7, one), (7, two), (3, three + " more"), (None, None), (11, "")], key=str)
+
+
 def test_pipeline_on_an_empty_table(spark):
     import corpus_pipeline as P
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(0)

@@ -161,13 +161,13 @@ def find_contamination(docs: DataFrame, items: DataFrame, *keep: Column, id_col:
     Defined cases: null and empty texts have no words, and their ``clean_text`` is the text;
     items without words match nothing; a null item id counts as the empty string, equal
     ids as one item; ids of documents may repeat or be null; empty tables give no hits or no
-    rows; other columns are read only when kept.
+    rows; other columns are read only when kept, whatever their names.
     """
     spark = docs.sparkSession
     items = items.select(F.coalesce(F.col(item_id_col).cast("string"), F.lit("")).alias("id"), F.col(item_text_col).alias("text"))
     size = items.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
     blocks = max(1, -(-size // BLOCK_BYTES))
-    d = docs.select(F.col(id_col).alias("doc_id"), *keep, F.col(text_col).alias("_text"),
+    d = docs.select(F.struct(F.col(id_col).alias("doc_id"), *keep).alias("kept"), F.col(text_col).alias("_text"),
                     F.lit(None).cast("binary").alias("_hit"), F.lit(None).cast("array<string>").alias("_items"))
     schema = to_arrow_schema(d.schema)
     for k in range(blocks):
@@ -180,7 +180,8 @@ def find_contamination(docs: DataFrame, items: DataFrame, *keep: Column, id_col:
         T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()),
         T.StructField("item_ids", T.ArrayType(T.StringType())), T.StructField("clean_text", T.StringType()),
         T.StructField("exceeds", T.BooleanType())])
-    return d.mapInArrow(_finish(to_arrow_schema(out_type), min_span, max_coverage), out_type)
+    out = d.mapInArrow(_finish(to_arrow_schema(out_type), min_span, max_coverage), out_type)
+    return out.select("kept.*", *out_type.names[1:])
 
 
 def _hits(batch: pa.RecordBatch, first: np.ndarray) -> np.ndarray:

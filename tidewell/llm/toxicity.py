@@ -85,10 +85,18 @@ def find_features(b: Batch, features: np.ndarray, table: np.ndarray) -> tuple[np
 def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, toxic_col: str) -> DataFrame:
     """toxic, text of at most TOXIC_ROWS and CLEAN_ROWS labelled documents, by id hash.  The
     chosen ids are a few thousand rows, so they are broadcast."""
-    chosen = (labels.where(F.col(toxic_col).isNotNull() & F.col(id_col).isNotNull())
-              .groupBy(F.col(id_col).alias("_id")).agg(F.max(F.col(toxic_col).cast("int")).alias("toxic"))
-              .withColumn("k", F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("_id"), "_id")))
-              .where(F.col("k") <= F.when(F.col("toxic") == 1, TOXIC_ROWS).otherwise(CLEAN_ROWS)).drop("k"))
+    known = (labels.where(F.col(toxic_col).isNotNull() & F.col(id_col).isNotNull())
+             .groupBy(F.col(id_col).alias("_id")).agg((F.max(F.col(toxic_col).cast("int")) == 1).alias("toxic"))
+             .withColumn("h", F.xxhash64("_id")))
+    size = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
+    # a cut of the hash that a little more than the wanted rows are below, so that only those are ranked
+    wanted = {True: TOXIC_ROWS, False: CLEAN_ROWS}
+    part = {t: min(1.0, (1.2 * wanted[t] + 100) / n) for t, n in size.items()}
+    at = F.col("h") / F.lit(float(1 << 64)) + 0.5
+    chosen = (known.where(at <= F.when(F.col("toxic"), part.get(True, 1.0)).otherwise(part.get(False, 1.0)))
+              .withColumn("k", F.row_number().over(Window.partitionBy("toxic").orderBy("h", "_id")))
+              .where(F.col("k") <= F.when(F.col("toxic"), TOXIC_ROWS).otherwise(CLEAN_ROWS))
+              .select("_id", F.col("toxic").cast("int").alias("toxic")))
     return (docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
             .join(F.broadcast(chosen), "_id").select("toxic", "text"))
 
