@@ -3,9 +3,10 @@
 Language ID, near duplicates, benchmark decontamination, pseudonyms, tokens.  Every stage works
 on all rows the one before kept; all but the last return the columns of ``documents``.
 
-Nulls and other cases: a null or empty text has no language and goes in the first stage; rows
-with a null id cannot be told apart by it and are never dropped as duplicates; an empty table
-passes through as an empty table; further columns are carried along.
+Nulls and other cases: a null or empty text has no language and goes in the first stage; a null
+or repeated id is no reason to go: rows count as duplicates by their texts alone, and rows that
+are equal in every column as one; an empty table passes through as an empty table; further
+columns are carried along.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from tidewell.session import scratch_path
 
 # near duplicates: five-word shingles, similarity of 80 in 100
 SHINGLE, SIMILAR = 5, 80
+ROW_KEY = "_row_key"
 # rows in one Arrow batch: whole rows with their texts travel through Python here, and long texts
 # make Spark's default of 10,000 rows too large for a small executor
 BATCH_ROWS = 1000
@@ -45,12 +47,21 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each component of near duplicates: the one with the smallest id (a repeated
-    id once)."""
-    comp = jaccard_components(docs, "doc_id", "text", SHINGLE, SIMILAR, 100)
-    kept = comp.where("doc_id = component_id").select("doc_id").distinct()
-    once = docs.where("doc_id IS NOT NULL").join(kept, "doc_id").dropDuplicates(["doc_id"])
-    return once.select([F.col(f"`{c}`") for c in docs.columns]).union(docs.where("doc_id IS NULL"))
+    """Keeps one row of each component of near duplicates: the one with the smallest id (a null id is after
+    all others; of a repeated id, the smallest digest of the row).  Rows are told apart by a key of id
+    and content, so rows of one id with different texts are different documents."""
+    keyed = docs.withColumn(ROW_KEY, _row_key(docs))
+    comp = jaccard_components(keyed, ROW_KEY, "text", SHINGLE, SIMILAR, 100)
+    kept = comp.where("doc_id = component_id").select(F.col("doc_id").alias(ROW_KEY))
+    # rows with one key are equal in every column
+    return keyed.join(kept, ROW_KEY, "left_semi").dropDuplicates([ROW_KEY]).drop(ROW_KEY)
+
+
+def _row_key(docs: DataFrame):
+    """Sorts by id, null last, and tells rows with different contents apart."""
+    content = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    id_ = F.coalesce(F.lpad(F.hex(F.col("doc_id").cast("long")), 16, "0"), F.lit("none"))
+    return F.concat(id_, F.lit("-"), F.hex(F.xxhash64(*content)), F.lit("-"), F.md5(F.coalesce("text", F.lit(""))))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
