@@ -160,6 +160,32 @@ def test_pages_cases(spark):
     assert got[6] == "<" * 50_000 and got[8] == "x" and got[9] == "a\na" and got[10] == ""
 
 
+def test_page_blocks_are_judged_by_their_words():
+    import time
+    from tidewell.llm.html_extract import classify, main_blocks, nearest_labels, read_blocks
+    prose = "This is a long paragraph of the text that was written for the readers and it has the words that are in all of them."
+    plain = "Lorem ipsum dolor amet consectetur adipiscing elit sed eiusmod tempor incididunt labore dolore magna aliqua"
+    links = "<a href=x>one two three four five six seven</a> <a href=y>eight nine ten eleven twelve thirteen fourteen fifteen</a>"
+    # no article: density decides, and the short blocks between go with their neighbours
+    page = f"<body><div>{links}</div><h2>Menu</h2><div>{links}</div><h1>Title</h1><p>{prose}</p><p>short</p><p>{plain}</p><p>{prose}</p><div>{links}</div></body>"
+    assert main_blocks(page) == ["Title", prose, "short", plain, prose]
+    kinds = [classify(b) for b in read_blocks(page)]
+    assert kinds == [False, None, False, None, True, None, None, True, False]
+    # names inside an article drop containers, not its own head or paragraphs
+    page = (f"<article><div class='entry-header'><h1>Title</h1></div><p class='tags-intro'>{prose}</p><div class='related-posts'>{prose}</div>"
+            f"<p class='advert'>{prose}</p><p>{prose} © 2020</p></article>")
+    assert main_blocks(page) == ["Title", prose, prose + " © 2020"]
+    # text beside the article, but not the short blocks there
+    assert main_blocks(f"<p>skip</p><article><p>x</p></article><div>{prose}</div><p>© me</p>") == ["x", prose]
+    assert main_blocks(f"<div><p>{prose} © 2020</p></div><p>© 2020</p>") == [prose + " © 2020"]
+    assert nearest_labels([None, True, None, None, False, None]) == [True, True, True, False, False, False]
+    assert nearest_labels([False, None, True]) == [False, True, True] and nearest_labels([None]) == [None]
+    began = time.time()
+    assert len(main_blocks("<body>" + "<li>item</li>" * 50_000 + "</body>")) == 50_000
+    assert main_blocks("<div>" * 20_000 + "x" + "</div>" * 20_000) == ["x"]
+    assert time.time() - began < 4
+
+
 def test_pages_equal_their_articles(spark):
     """Every fixture page: the blocks of its article, read off by pattern."""
     import html

@@ -2,15 +2,17 @@
 
 Markup is read once into blocks: runs of text between block-level tags, with the share of
 characters inside links and the containers they lie in.  Pass one classifies a block by
-itself: boilerplate containers and link-dense blocks are bad; long blocks with enough stop
-words are good, as are long blocks of an article element; the rest is ambiguous.  Pass
-two gives each ambiguous block the label of the nearest decided blocks around it.
+itself, inside an article element and outside: boilerplate containers are bad; link-dense blocks
+are bad, or ambiguous amid an article; long blocks with enough stop words are good; the rest is
+ambiguous.  Pass two gives each ambiguous block the label of the nearest decided blocks around it.
+Where a page marks an article, short blocks outside it are not taken for parts of it.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -60,7 +62,14 @@ class BlockText:
     tag: str           # of the innermost open element
 
 
+# elements that hold a text rather than parts of the page: only a whole class name tells them apart
+TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre figcaption caption td th dd dt".split())
+# inside an article these name its own head, not the page's
+OWN_NAMES = frozenset("header head masthead copyright tags".split())
+
+
 def _is_bad(tag: str, attributes: str, in_article: bool) -> bool:
+    """Whether an element is boilerplate by its kind or its names."""
     if tag in BAD_TAGS or (tag == "header" and not in_article):
         return True
     if not attributes or tag in ("body", "html", "article", "main"):
@@ -74,8 +83,15 @@ def _is_bad(tag: str, attributes: str, in_article: bool) -> bool:
         if name == "style" and _HIDDEN_STYLE.search(value):
             return True
         if name in ("class", "id"):
-            for parts in map(_NAME_PART.split, value.split()):
-                if parts[0] not in _ABOUT_OTHERS and not BAD_NAMES.isdisjoint(parts):
+            for word in value.split():
+                if tag in TEXT_TAGS and in_article:
+                    if word in BAD_NAMES and word not in OWN_NAMES:
+                        return True
+                    continue
+                parts = set(_NAME_PART.split(word))
+                if in_article:
+                    parts -= OWN_NAMES
+                if _NAME_PART.split(word)[0] not in _ABOUT_OTHERS and not BAD_NAMES.isdisjoint(parts):
                     return True
     return False
 
@@ -84,6 +100,13 @@ def read_blocks(page: str) -> list[BlockText]:
     """Blocks of a page in order, each with its decoded text in single spaces."""
     blocks: list[BlockText] = []
     stack: list[tuple[str, bool, int]] = []       # open elements: tag, bad, article
+    open_tags: Counter[str] = Counter()
+
+    def pop() -> str:
+        tag = stack.pop()[0]
+        open_tags[tag] -= 1
+        return tag
+
     parts: list[str] = []
     linked_parts: list[str] = []
     in_link, articles, at, size = False, 0, 0, len(page)
@@ -126,8 +149,8 @@ def read_blocks(page: str) -> list[BlockText]:
             end_block()
             in_link = False
         if closing:
-            if any(t == tag for t, _, _ in reversed(stack)):
-                while stack.pop()[0] != tag:
+            if open_tags[tag]:
+                while pop() != tag:
                     pass
                 if not block and tag not in ("span", "b", "i", "em", "strong"):
                     end_block()
@@ -138,14 +161,15 @@ def read_blocks(page: str) -> list[BlockText]:
             continue
         if tag in VOID_TAGS or attributes.endswith("/"):
             continue
-        if tag in ("body", "article", "main") and any(t == "head" for t, _, _ in stack):
+        if tag in ("body", "article", "main") and open_tags["head"]:
             stack.clear()       # the head was never closed
+            open_tags.clear()
         if block:
             # an open paragraph ends at the next block, items at the next item
             if stack and stack[-1][0] == "p":
-                stack.pop()
+                pop()
             if stack and stack[-1][0] in _ENDS_ITSELF.get(tag, ()):
-                stack.pop()
+                pop()
         _, bad, article = stack[-1] if stack else ("", False, 0)
         own_bad = _is_bad(tag, attributes, article > 0)
         if tag in ("article", "main") and not article:
@@ -155,60 +179,66 @@ def read_blocks(page: str) -> list[BlockText]:
             if own_bad and not block:
                 end_block()
             stack.append((tag, bad or own_bad, article))
+            open_tags[tag] += 1
     end_block()
     return blocks
 
 
-def classify(b: BlockText, has_article: bool) -> bool | None:
+def classify(b: BlockText) -> bool | None:
     """Pass one: good, bad, or None for ambiguous."""
-    if b.bad or (has_article and not b.article):
+    if b.bad:
         return False
     if b.linked > LINK_DENSITY * b.chars:
         return None if b.article and b.tag not in ("li", "td", "th", "dd", "dt") else False
-    if not b.article and "©" in b.text:
-        return False
     if b.chars < LONG_CHARS:
-        return None
-    if b.article:
-        return True
+        return False if "©" in b.text and not b.article else None
     words = b.text.lower().split()
     return True if sum(w in STOP_WORDS for w in words) >= STOP_DENSITY * len(words) else None
 
 
+def nearest_labels(labels: list[bool | None]) -> list[bool | None]:
+    """For each block the label of the nearest decided one, the good one when equally near; None if there is
+    none.  Two passes over the blocks, one from either side."""
+    n = len(labels)
+    before: list[int | None] = [None] * n
+    last = None
+    for i in range(n):
+        last = i if labels[i] is not None else last
+        before[i] = last
+    out: list[bool | None] = [None] * n
+    following = None
+    for i in reversed(range(n)):
+        following = i if labels[i] is not None else following
+        found = [(abs(j - i), not labels[j]) for j in (before[i], following) if j is not None]
+        out[i] = not min(found)[1] if found else None
+    return out
+
+
 def main_blocks(page: str) -> list[str]:
     """Pass two: ambiguous blocks take the label of the nearest decided ones.
 
-    Between two different labels the nearer one wins, the good one when equally near.
-    Boilerplate containers, which may stand amid the text, count only where no other block is
-    decided, and never inside an article, where only its own blocks count; a block without
-    any decided neighbour is good.
+    Inside an article only its own blocks count, boilerplate containers aside.  Elsewhere
+    containers, which may stand amid the text, count only where no other block is decided.  A
+    block without any decided neighbour is good; but on a page with an article, what is
+    ambiguous outside it is bad, as it has a place for the text and did not use it.
     """
     blocks = read_blocks(page)
+    labels = [classify(b) for b in blocks]
     # an article counts if it holds any text that is no boilerplate
     has_article = any(b.article and not b.bad for b in blocks)
-    labels = [classify(b, has_article) for b in blocks]
-
-    def nearest(i: int, counts) -> bool | None:
-        found = []
-        for step in (-1, 1):
-            j = i + step
-            while 0 <= j < len(blocks) and (labels[j] is None or not counts(blocks[j])):
-                j += step
-            if 0 <= j < len(blocks):
-                found.append((abs(j - i), not labels[j]))
-        return not min(found)[1] if found else None
-
-    kept = []
-    for i, (b, label) in enumerate(zip(blocks, labels)):
-        if label is None and b.article:
-            label = nearest(i, lambda o: o.article == b.article and not o.bad)
-        elif label is None:
-            label = nearest(i, lambda o: not o.bad)
-            if label is None:
-                label = nearest(i, lambda o: True)
-        if label is None or label:
-            kept.append(b.text)
-    return kept
+    scopes: dict[int, list[int]] = {}
+    for i, b in enumerate(blocks):
+        if not b.bad:
+            scopes.setdefault(b.article if has_article else 0, []).append(i)
+    final = list(labels)
+    for article, own in scopes.items():
+        near = nearest_labels([labels[i] for i in own])
+        for i, label in zip(own, near):
+            if labels[i] is None:
+                final[i] = False if has_article and not article else label
+    if not has_article and None in final:       # nothing but containers is decided
+        final = [a if a is not None else b for a, b in zip(final, nearest_labels(labels))]
+    return [b.text for b, label in zip(blocks, final) if label is None or label]
 
 
 def extract_main_text(pages: DataFrame, html_col: str = "html", out_col: str = "text") -> DataFrame:
