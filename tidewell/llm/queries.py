@@ -134,6 +134,14 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+BATCH_ROWS = 1000       # of whole texts and their ids in one Arrow batch: Spark's 10,000 are much for a small executor
+
+
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Arrow batches of at most ``rows`` rows, for the session."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
 
 
 def byte_bpe(spark: SparkSession, path: str | None = None):
@@ -146,6 +154,7 @@ def byte_bpe(spark: SparkSession, path: str | None = None):
 @query("op4_byte_bpe")
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewell.llm.byte_bpe import bpe_encode, ids_text
+    small_batches(spark)
     bpe = byte_bpe(spark)
     out = bpe_encode(table(spark, sf_dir, "documents").select("doc_id", "text"), bpe).select("doc_id", "ids")
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids_text(F.col("ids")), 256).alias("ids_sha256"),
