@@ -27,4 +27,5 @@ def query(name: str, oracle: str | None = None):
 def load_all() -> None:
     """Import every module that registers queries."""
     from tidewell.plans import (batch_queries, gold, merge_queries, quality_queries,  # noqa: F401
-                                stream_queries, version_queries, pipeline_queries, sink_queries, growth_queries)
+                                stream_queries, version_queries, pipeline_queries, sink_queries, growth_queries,
+                                retention_queries)

@@ -116,3 +116,10 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(conf)
     return [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the library's own on its file system."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(conf).delete(p, True)
