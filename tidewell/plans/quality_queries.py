@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tidewell.operators import quality as Q
+from tidewell.operators import tables as T
+from tidewell.operators.reader_views import as_reader, close_memberships, create_reader_view
 from tidewell.operators.security import masked_view, row_security
 from tidewell.plans.common import CUSTOMERS_CTE, with_ctes
 from tidewell.plans.registry import query
+from tidewell.session import scratch_path
 from tidewell.sources import shapes
 from tidewell.sources.tables import read_table
 
@@ -107,3 +112,36 @@ def q_masked_view_sql(spark, d):
         FROM customers_base
         WHERE CASE WHEN {member} THEN true ELSE {ALLOWED} END""")
     return spark.table("customers_vw")
+
+
+# ---------------------------------------------------------------------------- views bound to the reader
+
+GROUP_EDGES = [("segment BUILDING", "analysts"), ("analysts", "staff"), ("segment MACHINERY", "staff"), ("staff", "analysts of none")]
+READER_SEGMENTS = ["BUILDING", "MACHINERY", "HOUSEHOLD"]
+
+
+@query("reader_view", with_ctes(CUSTOMERS_CTE) + f"""
+, readers AS (SELECT segment AS of_segment, min(name) AS reader FROM cu
+              WHERE segment IN ('BUILDING', 'MACHINERY', 'HOUSEHOLD') GROUP BY segment)
+SELECT reader, customer_id, CASE WHEN of_segment = 'BUILDING' THEN email ELSE 'REDACTED' END AS email,
+       CASE WHEN of_segment <> 'HOUSEHOLD' THEN name ELSE 'REDACTED' END AS name, country_code, segment, balance
+FROM readers, cu
+WHERE of_segment = 'BUILDING' OR (of_segment = 'MACHINERY' AND country_code = 6) OR balance > 9000
+""")
+def q_reader_view(spark, d):
+    """One stored view, three readers.  Customers are members of their segment's group, and groups of groups."""
+    base = shapes.customers(spark, d)
+    tag = uuid.uuid4().hex[:10]
+    source, members, view = (f"{n}_{tag}" for n in ("customers_all", "memberships", "customers_for_reader"))
+    T.ctas(base, source)
+    edges = (base.select(F.col("name").alias("member"), F.concat(F.lit("segment "), "segment").alias("grp"))
+             .unionByName(spark.createDataFrame(GROUP_EDGES, "member string, grp string")))
+    T.ctas(close_memberships(edges), members)
+    create_reader_view(spark, view, source, members, masked={"email": "analysts", "name": "staff"},
+                       rows=[("analysts", "true"), ("staff", "country_code = 6")], everyone="balance > 9000")
+    readers = base.filter(F.col("segment").isin(READER_SEGMENTS)).groupBy("segment").agg(F.min("name").alias("reader"))
+    path = scratch_path(spark, "seen-by")
+    for r in readers.collect():                         # at most one row per named segment
+        with as_reader(spark, r["reader"]):
+            spark.table(view).withColumn("reader", F.lit(r["reader"])).write.mode("append").parquet(path)
+    return spark.read.parquet(path)
