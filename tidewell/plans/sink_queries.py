@@ -201,3 +201,12 @@ def q_check_rejects_write(spark, d):
     except PySparkException:
         return spark.read.parquet(path)
     raise AssertionError("a write with violating rows was accepted")
+
+
+@query("layout_rewrite_ranks", "SELECT * FROM events WHERE value <= 2 AND event_type = 'purchase'")
+def q_layout_rewrite_ranks(spark, d):
+    """Clustered by quantile ranks: most values are small and few are large, and types are strings."""
+    e = read_table(spark, d, "events")
+    path = scratch_path(spark, "events-clustered")
+    L.layout_rewrite(e, path, ["value", "event_type"], by="rank")
+    return spark.read.parquet(path).filter("value <= 2 AND event_type = 'purchase'")

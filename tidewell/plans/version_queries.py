@@ -12,6 +12,7 @@ from tidewell.plans.common import CUSTOMER_FEED_CTE, PRICE_FEED_CTE, with_ctes
 from tidewell.plans.registry import query
 from tidewell.session import scratch_path
 from tidewell.sources import shapes
+from tidewell.sources.tables import read_table
 
 FEED_COLS = ["customer_id", "email", "first_name", "city", "country_code", "balance", "row_status", "row_time"]
 FC = ", ".join(FEED_COLS)
@@ -183,3 +184,19 @@ def q_changes_between_stored(spark, d):
     """The same window of changes, read from a feed stored by version: only its partitions are scanned."""
     path = C.store_feed(customer_change_feed(spark, d), scratch_path(spark, "feed-by-version"))
     return C.changes_between(spark.read.parquet(path), V10, V20)
+
+
+@query("snapshot_diff_digest", """
+WITH b AS (SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderdate < TIMESTAMP '1998-06-01'),
+a AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 1000 < 10 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM orders)
+SELECT a.*, 'insert' AS _change_type FROM a WHERE o_orderkey NOT IN (SELECT o_orderkey FROM b)
+UNION ALL SELECT b.*, 'update_preimage' FROM b JOIN a USING (o_orderkey) WHERE a.o_totalprice <> b.o_totalprice
+UNION ALL SELECT a.*, 'update_postimage' FROM b JOIN a USING (o_orderkey) WHERE a.o_totalprice <> b.o_totalprice
+""")
+def q_snapshot_diff_digest(spark, d):
+    """Orders before and after a correction of some key ranges and new orders: only key ranges that differ are joined."""
+    o = read_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    before = o.filter("o_orderdate < TIMESTAMP '1998-06-01'").drop("o_orderdate")
+    after = o.drop("o_orderdate").withColumn("o_totalprice", F.when(F.expr("o_orderkey % 1000 < 10"), F.col("o_totalprice") + 1)
+                                             .otherwise(F.col("o_totalprice")))
+    return C.snapshot_diff_by_digest(before, after, ["o_orderkey"], bucket_by="o_orderkey DIV 10")
