@@ -19,6 +19,7 @@ from tidewell.sources import shapes
 from tidewell.sources.tables import read_table
 from tidewell.streaming import joins as SJ
 from tidewell.streaming.deletes import delete_downstream, delete_requests, mark_deleted
+from tidewell.streaming.expectations import ExpectationLog, observed
 from tidewell.streaming.runner import land_files, run_available_now
 from tidewell.streaming.stateful import stream_dedup, tumbling_stats
 from tidewell.streaming.store import EpochTable, VersionedTable
@@ -434,3 +435,33 @@ def q_clean_positive(spark, d):
          .withColumn("processed_time", F.current_timestamp()).select("event_id", "value", "processed_time"))
     out = _read(spark, run_available_now(s, "clean_positive"))
     return out.select("event_id", "value", F.col("processed_time").isNotNull().alias("stamped"))
+
+
+@query("stream_expectations", """
+WITH e AS (SELECT value, user_id, event_type FROM events)
+SELECT 'values' AS name, 'valid_value' AS rule, count(*) AS input_rows, count(*) FILTER (WHERE NOT coalesce(value >= 1, false)) AS failed_rows,
+       count(*) FILTER (WHERE NOT coalesce(value >= 1 AND user_id IS NOT NULL, false)) AS dropped_rows FROM e
+UNION ALL SELECT 'values', 'has_user', count(*), count(*) FILTER (WHERE user_id IS NULL),
+       count(*) FILTER (WHERE NOT coalesce(value >= 1 AND user_id IS NOT NULL, false)) FROM e
+UNION ALL SELECT 'types', 'no_error', count(*), count(*) FILTER (WHERE NOT coalesce(event_type <> 'error', false)), 0
+FROM e WHERE value >= 1 AND user_id IS NOT NULL
+UNION ALL SELECT 'passed', 'rows', count(*), 0, 0 FROM e WHERE value >= 1 AND user_id IS NOT NULL
+""")
+def q_stream_expectations(spark, d):
+    """Rules that drop and a rule that warns behind them, over several deliveries; counts summed over micro-batches."""
+    e = read_table(spark, d, "events").select("event_id", "user_id", "event_type", "value")
+    landing = land_files(e, "parquet", "landing-expect", [F.col("event_type") == "click", ~F.col("event_type").eqNullSafe("click")])
+    log = ExpectationLog(spark, scratch_path(spark, "expectations"))
+    spark.streams.addListener(log)
+    try:
+        feed = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 4).parquet(landing)
+        kept = observed(feed, "values", {"valid_value": "value >= 1", "has_user": "user_id IS NOT NULL"}, drop=True)
+        out = run_available_now(observed(kept, "types", {"no_error": "event_type <> 'error'"}), "expect")
+        log.wait()
+    finally:
+        spark.streams.removeListener(log)
+    counts = log.table().groupBy("name", "rule").agg(*[F.sum(c).alias(c) for c in ("input_rows", "failed_rows", "dropped_rows")])
+    passed = spark.read.schema(e.schema).parquet(out).agg(F.count(F.lit(1)).alias("input_rows")).select(
+        F.lit("passed").alias("name"), F.lit("rows").alias("rule"), "input_rows", F.lit(0).cast("long").alias("failed_rows"),
+        F.lit(0).cast("long").alias("dropped_rows"))
+    return counts.unionByName(passed)
