@@ -670,3 +670,15 @@ def q_tumbling_stats(spark, d):
     from tidewell.streaming.stateful import tumbling_stats
     e = read_table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     return tumbling_stats(e, "ts", ["event_type"], "event_id", "value")
+
+
+@query("collect_set_lists", with_ctes(BOOK_ORDERS_CTE) + """
+, lists AS (SELECT DISTINCT customer_id, array_to_string(list_transform(books, lambda b: b.book_id), ',') AS list FROM bo WHERE books IS NOT NULL)
+SELECT customer_id, CAST(count(*) AS INTEGER) AS n_lists, string_agg(list, ';' ORDER BY list) AS book_lists FROM lists GROUP BY customer_id
+""")
+def q_collect_set_lists(spark, d):
+    """The set of each customer's book lists themselves: distinct lists first, then one row each is gathered."""
+    lists = shapes.book_orders(spark, d).filter("books IS NOT NULL").select("customer_id", F.col("books.book_id").alias("ids")).distinct()
+    sets = lists.groupBy("customer_id").agg(F.collect_list("ids").alias("sets"))
+    texts = F.array_sort(F.transform("sets", lambda ids: F.array_join(ids.cast("array<string>"), ",")))
+    return sets.select("customer_id", F.size("sets").alias("n_lists"), F.array_join(texts, ";").alias("book_lists"))
