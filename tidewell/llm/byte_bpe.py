@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 MAX_VOCABULARY = 1_000_000
-CACHED_UNITS = 150_000
+CACHED_UNITS = 60_000
 
 
 def byte_characters() -> list[str]:
@@ -80,7 +80,7 @@ def sentencepiece_model(tokens: list[bytes]) -> bytes:
     return b"".join(_field(_PIECES, p) for p in pieces) + _field(_TRAINER, trainer) + _field(_NORMALIZER, normalizer)
 
 
-PIECE_BYTES = 2 << 20       # texts encoded at once
+PIECE_BYTES = 1 << 20       # texts encoded at once
 
 # the bytes' letters in UTF-8, three bytes each
 _MAPPED = np.frombuffer("".join(byte_characters()).encode(), np.uint8).reshape(256, 3)
