@@ -6,9 +6,11 @@ from __future__ import annotations
 from typing import Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F, types as T
 
+from tidewell.session import list_names, move_path, path_exists, remove_path
+
 KEY_BITS = 63              # the interleaved key is a non-negative long
 FILE_BYTES = 256 << 20     # wanted size of an output file
 
@@ -181,3 +183,120 @@ def expire_partitions(spark: SparkSession, table: str, part_col: str, keep_from:
         return "PARTITION (" + ", ".join(f"`{k}` = '{v}'" for k, v in values.items()) + ")"
     spark.sql(f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(quoted(s) for s in gone))
     return expired
+
+
+# ---------------------------------------------------------------------------- small files
+
+LIST_SLICES = 256          # a folder's file list is summed up in so many parts
+PACK, PACKING = "_tw_pack", "_tw_packing"      # hidden from Spark's readers by the underscore
+PACKED = r"^packed-(\d+)-"
+
+
+def _weight(size: Column, name: Column) -> Column:
+    """Bytes a file counts for: its size or, where it was packed, the bytes that went in if they were more."""
+    went_in = F.regexp_extract(name, PACKED, 1)
+    return F.greatest(size, F.when(went_in != "", went_in.cast("long")).otherwise(F.lit(0).cast("long")))
+
+
+def plan_packing(spark: SparkSession, path: str, file_bytes: int = FILE_BYTES) -> DataFrame:
+    """``(file, scanned, folder, group_weight, group)``: the files below half of ``file_bytes``, put together within their folder.
+
+    A folder's small files stand in a line by hash and name; a group is those that begin within the same stretch of
+    ``file_bytes``.  Each is below half a stretch, so every group but a folder's last weighs more than half a
+    stretch and is not small any more: the next plan finds at most one small file a folder, and groups of one file are
+    left out.  Positions are running sums within slices of a folder plus the sums of the slices before,
+    so a folder of many millions of files is not summed up in one task.  Only names and sizes are read.  A group's name
+    is a digest that depends on its files' names, so groups of two plans never share one.  ``scanned`` is the
+    file's path as ``_metadata`` gives it.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
+    name = F.substring_index("path", "/", -1)
+    small = (listed.select(F.col("path").alias("file"), F.col("_metadata.file_path").alias("scanned"),
+                           F.expr("left(path, length(path) - length(substring_index(path, '/', -1)) - 1)").alias("folder"),
+                           _weight(F.col("length"), name).alias("weight"))
+             .filter(F.col("weight") * 2 < file_bytes)
+             .withColumn("slice", F.pmod(F.xxhash64("file"), F.lit(LIST_SLICES))))
+    before = Window.partitionBy("folder").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = small.groupBy("folder", "slice").agg(F.sum("weight").alias("bytes")).select(
+        "folder", "slice", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("offset"))
+    inside = Window.partitionBy("folder", "slice").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("weight").over(inside), F.lit(0)) + F.col("offset")
+    placed = small.join(offsets, ["folder", "slice"]).withColumn("nr", F.floor(start / F.lit(file_bytes)).cast("long"))
+    several = placed.groupBy("folder", "nr").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("weight").alias("group_weight"), F.bit_xor(F.xxhash64("file")).alias("names"),
+        F.sum(F.pmod(F.xxhash64(F.lit(1), "file"), F.lit(1 << 40))).alias("names2")).filter("n > 1")
+    return placed.join(several, ["folder", "nr"]).select(
+        "file", "scanned", "folder", "group_weight", F.sha2(F.concat_ws("/", "folder", "nr", "names", "names2"), 256).alias("group"))
+
+
+def pack_small_files(spark: SparkSession, path: str, file_bytes: int = FILE_BYTES, schema: T.StructType | None = None) -> tuple[int, int]:
+    """Rewrite the small files of a Parquet folder, partitioned or not, into files of about ``file_bytes``; return
+    how many files went and how many came.  See ``plan_packing`` for which; no other file is opened.
+
+    The plan and the new files are written beside the data in a hidden folder first, then a marker; only then do new
+    files move in and old ones go, group by group.  A run that was cut off before the marker changed nothing,
+    one cut off after it is finished by the next call.  Between a group's two steps a reader can see its rows
+    twice, so pack while nobody reads.  Rows keep their values; a column that some files lack is null there,
+    as a reader that merges schemas sees it.  ``schema`` (of the files, without partition columns) saves
+    merging the schemas.  Files without a row count as files; a group of nothing else stays.
+    """
+    path = path.rstrip("/")
+    work = f"{path}/{PACKING}"
+    moved = _finish_packing(spark, path)
+    if path_exists(spark, work):
+        remove_path(spark, work)
+    if not _has_files(spark, path):
+        return moved
+    plan_packing(spark, path, file_bytes).write.parquet(f"{work}/plan")
+    plan = spark.read.parquet(f"{work}/plan")
+    groups = plan.agg(F.countDistinct("group").alias("n")).first()["n"]
+    if not groups:
+        remove_path(spark, work)
+        return moved
+    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    data = (reader.schema(schema) if schema else reader.option("mergeSchema", "true")).parquet(path)
+    # a condition on the file's own name and size: other files are dropped from the scan before it starts
+    small = data.filter(_weight(F.col("_metadata.file_size"), F.col("_metadata.file_name")) * 2 < file_bytes)
+    of = plan.select(F.col("scanned").alias(f"{PACK}_file"), F.col("group").alias(PACK))
+    rows = small.withColumn(f"{PACK}_file", F.col("_metadata.file_path")).join(of, f"{PACK}_file").drop(f"{PACK}_file")
+    # one folder and file a group, none of which weighs more than one and a half wanted files
+    (rows.repartition(groups, PACK).write.option("maxRecordsPerFile", 0).partitionBy(PACK).parquet(f"{work}/rows"))
+    spark.range(1).coalesce(1).write.parquet(f"{work}/done")
+    went, came = _finish_packing(spark, path)
+    return moved[0] + went, moved[1] + came
+
+
+def _has_files(spark: SparkSession, path: str) -> bool:
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    return path_exists(spark, path) and bool(listed.load(path).select("path").head(1))
+
+
+def _finish_packing(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Move the files of a packing that has its marker to their folders and delete those they replace.
+
+    A step done before is found done: a group's new file is in one of two places, and deleting twice does nothing.
+    """
+    work = f"{path}/{PACKING}"
+    if not any(n.startswith("part-") for n in list_names(spark, f"{work}/done")):
+        return 0, 0
+    went = came = 0
+    # names only, one partition of them at a time in the driver, as when Spark commits the files of a job
+    plan = spark.read.parquet(f"{work}/plan")
+    target, ready = None, False
+    for r in plan.orderBy("group", "file").toLocalIterator():
+        wanted = f"{r['folder']}/packed-{r['group_weight']}-{r['group']}.parquet"
+        if wanted != target:
+            target, source = wanted, f"{work}/rows/{PACK}={r['group']}"
+            new = [n for n in list_names(spark, source) if n.startswith("part-")]
+            if new and path_exists(spark, target):
+                raise FileExistsError(f"{target} is there already; {source} was not moved")
+            if new:
+                move_path(spark, f"{source}/{new[0]}", target)
+            ready = path_exists(spark, target)
+            came += ready
+        if ready:
+            remove_path(spark, r["file"])
+            went += 1
+    remove_path(spark, f"{work}/done")      # first: what is left without the marker counts as not begun
+    remove_path(spark, work)
+    return went, came

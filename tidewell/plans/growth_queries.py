@@ -12,9 +12,10 @@ from tidewell.operators.history import FeedHistory
 from tidewell.operators.maintain import GoldView, refresh
 from tidewell.plans.common import CUSTOMER_FEED_CTE, with_ctes
 from tidewell.plans.registry import query
-from tidewell.plans.version_queries import FC, V10, V12, V15, V20, customer_change_feed, state_sql
+from tidewell.plans.version_queries import FC, FEED_SQL, V10, V12, V15, V20, customer_change_feed, state_sql
 from tidewell.session import scratch_path
 from tidewell.sources import shapes
+from tidewell.sources.change_feed import NAME as CHANGE_FEED, register_change_feed
 from tidewell.sources.tables import read_table
 from tidewell.streaming.ingest import RESCUED, GrowingIngest
 from tidewell.streaming.joins import bounded_stream_join
@@ -213,3 +214,32 @@ SELECT user_id, region, click_id, click_ts, NULL, NULL, NULL FROM c WHERE click_
 def q_stream_left_join_bounded(spark, d):
     """Clicks that nothing can match any more come without a purchase; those still waiting are held back."""
     return _clicks_and_purchases(spark, d, "left_outer")
+
+
+# ---------------------------------------------------------------------------- change feed as a data source
+
+
+def _stored_feed(spark, d) -> FeedHistory:
+    register_change_feed(spark)
+    return FeedHistory(spark, scratch_path(spark, "feed-source"), ["customer_id"])
+
+
+@query("change_feed_source", FEED_SQL + f"SELECT * FROM feed WHERE _commit_version BETWEEN {V12} AND {V15}")
+def q_change_feed_source(spark, d):
+    """The stored feed read by format, between two versions."""
+    history = _stored_feed(spark, d)
+    history.append(customer_change_feed(spark, d))
+    return (spark.read.format(CHANGE_FEED).option("startingVersion", V12).option("endingVersion", V15)
+            .load(f"{history.path}/feed"))
+
+
+@query("stream_change_feed_source", FEED_SQL + f"SELECT * FROM feed WHERE _commit_version >= {V12}")
+def q_stream_change_feed_source(spark, d):
+    """A stream by format from a starting version: one run, later versions arrive, a second run goes on from there."""
+    history, feed = _stored_feed(spark, d), customer_change_feed(spark, d)
+    out, ckpt = scratch_path(spark, "feed-streamed"), scratch_path(spark, "checkpoint-feed-streamed")
+    for part in (f"_commit_version <= {V15}", f"_commit_version > {V15}"):
+        history.append(feed.filter(part))
+        stream = spark.readStream.format(CHANGE_FEED).option("startingVersion", V12).load(f"{history.path}/feed")
+        run_available_now(stream, "feed-streamed", path=out, checkpoint=ckpt)
+    return spark.read.parquet(out)

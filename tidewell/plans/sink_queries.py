@@ -113,6 +113,19 @@ def q_layout_rewrite_one(spark, d):
     return spark.read.parquet(path).filter("l_orderkey BETWEEN 1000 AND 2000")
 
 
+@query("pack_small_files", """
+SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus, 0 AS went_again, 0 AS came_again FROM orders
+""")
+def q_pack_small_files(spark, d):
+    """Orders by status in many small files, packed; packing again finds nothing to do."""
+    path = scratch_path(spark, "orders-small")
+    o = read_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+    o.repartition(24).write.partitionBy("o_orderstatus").parquet(path)
+    L.pack_small_files(spark, path)
+    went, came = L.pack_small_files(spark, path)
+    return spark.read.parquet(path).withColumns({"went_again": F.lit(went), "came_again": F.lit(came)})
+
+
 @query("expire_partitions", """
 SELECT o_orderkey, o_custkey, strftime(o_orderdate, '%Y-%m') AS year_month FROM orders
 WHERE strftime(o_orderdate, '%Y-%m') >= '1998-01'
