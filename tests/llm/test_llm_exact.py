@@ -210,7 +210,14 @@ def test_bpe_equals_tiktoken_and_round_trips(spark):
     texts = [None, "", " ", "  ", " a", "a ", "it's  we'll\n\nx 1234", "<|endoftext|>", "a" * 5000, "word " * 5000]
     texts += ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 60))) for _ in range(400)]
     bpe = byte_bpe(spark)
-    out = bpe_encode(frame(spark, texts), bpe).select("doc_id", "ids", ids_text(F.col("ids")).alias("s"), bpe.decode("ids").alias("back"))
+    docs = frame(spark, texts)
+    out = bpe_encode(docs, bpe).select("doc_id", "ids", ids_text(F.col("ids")).alias("s"), bpe.decode("ids").alias("back"))
+    # both at once, beside a column that has the name of the operator's own
+    once = bpe_encode(docs.withColumn("_both", F.lit(1)), bpe, decoded_col="back")
+    assert once.columns == [*docs.columns, "_both", "ids", "back"]
+    key = lambda r: str((r["doc_id"], r["ids"], r["back"]))
+    assert sorted(map(key, once.collect())) == sorted(map(key, out.collect()))
+    assert bpe_encode(docs.limit(0), bpe, decoded_col="back").collect() == []
     for r in out.collect():
         t = texts[r["doc_id"]] or ""
         assert r["ids"] == plain.encode_ordinary(t), repr(t)

@@ -326,7 +326,9 @@ class _Shared:
 
 
 class ByteBPE:
-    """Column functions over one vocabulary: ``encode`` (string to ids) and ``decode`` (ids to bytes).
+    """Column functions over one vocabulary: ``encode`` (string to ids), ``decode`` (ids to bytes) and
+    ``encode_decode`` (string to both: the ids, and the bytes that they decode to, by one Python worker where the
+    other two, one after the other, keep two workers with a vocabulary each).
 
     A null text is encoded as empty; an empty text has no ids; ids outside the vocabulary
     fail the decoding task; texts of any length are encoded whole; equal texts have equal
@@ -337,8 +339,7 @@ class ByteBPE:
         tokens = read_ranks(ranks)
         shared = _Shared(spark.sparkContext.broadcast((tokens, sentencepiece_model(tokens), pattern, space_led)))
 
-        @F.arrow_udf("array<int>")
-        def encode(texts: pa.Array) -> pa.Array:
+        def ids_of(texts: pa.Array) -> pa.ListArray:
             codec = _codec(shared)
             size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
             flat, ends = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
@@ -348,8 +349,7 @@ class ByteBPE:
                 ends.append(bounds[1:] + ends[-1][-1])
             return pa.ListArray.from_arrays(pa.array(np.concatenate(ends).astype(np.int32)), pa.array(np.concatenate(flat)))
 
-        @F.arrow_udf("binary")
-        def decode(ids: pa.Array) -> pa.Array:
+        def bytes_of(ids: pa.Array) -> pa.Array:
             codec = _codec(shared)
             flat = ids.flatten().to_numpy(zero_copy_only=False)
             size = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
@@ -357,8 +357,21 @@ class ByteBPE:
             out = [codec.decode_all(flat[bounds[a]:bounds[z]], bounds[a:z + 1] - bounds[a]) for a, z in _pieces(size, PIECE_BYTES // 4)]
             return pa.concat_arrays(out) if out else pa.array([], pa.binary())
 
+        @F.arrow_udf("array<int>")
+        def encode(texts: pa.Array) -> pa.Array:
+            return ids_of(texts)
+
+        @F.arrow_udf("binary")
+        def decode(ids: pa.Array) -> pa.Array:
+            return bytes_of(ids)
+
+        @F.arrow_udf("struct<ids: array<int>, decoded: binary>")
+        def encode_decode(texts: pa.Array) -> pa.Array:
+            ids = ids_of(texts)
+            return pa.StructArray.from_arrays([ids, bytes_of(ids)], ["ids", "decoded"])
+
         # two uses of one column of ids must not encode the texts twice
-        self.encode, self.decode = encode.asNondeterministic(), decode
+        self.encode, self.decode, self.encode_decode = encode.asNondeterministic(), decode, encode_decode.asNondeterministic()
 
 
 def ranks_file(path: str) -> bytes:
@@ -367,10 +380,19 @@ def ranks_file(path: str) -> bytes:
         return f.read()
 
 
-def bpe_encode(docs: DataFrame, bpe: ByteBPE, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """``docs`` with a column of token ids (replacing one of the same name), one row per input row: repeated
-    rows stay, null and empty texts have no ids, an empty table stays empty (see ``ByteBPE``)."""
-    return docs.withColumn(ids_col, bpe.encode(F.coalesce(F.col(text_col), F.lit(""))))
+def bpe_encode(docs: DataFrame, bpe: ByteBPE, text_col: str = "text", ids_col: str = "ids",
+               decoded_col: str | None = None) -> DataFrame:
+    """``docs`` with a column of token ids and, where ``decoded_col`` names one, the bytes that these ids decode to
+    (each replacing one of the same name), one row per input row: repeated rows stay, null and empty
+    texts have no ids, an empty table stays empty (see ``ByteBPE``)."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    if decoded_col is None:
+        return docs.withColumn(ids_col, bpe.encode(text))
+    both = "_both"
+    while both in (c.lower() for c in (*docs.columns, ids_col, decoded_col)):
+        both += "_"
+    return docs.withColumn(both, bpe.encode_decode(text)).withColumns(
+        {ids_col: F.col(f"{both}.ids"), decoded_col: F.col(f"{both}.decoded")}).drop(both)
 
 
 def ids_text(ids: Column) -> Column:

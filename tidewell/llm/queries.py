@@ -156,9 +156,9 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewell.llm.byte_bpe import bpe_encode, ids_text
     small_batches(spark)
     bpe = byte_bpe(spark)
-    out = bpe_encode(table(spark, sf_dir, "documents").select("doc_id", "text"), bpe).select("doc_id", "ids")
+    out = bpe_encode(table(spark, sf_dir, "documents").select("doc_id", "text"), bpe, decoded_col="decoded")
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids_text(F.col("ids")), 256).alias("ids_sha256"),
-                      F.sha2(bpe.decode("ids"), 256).alias("decoded_sha256"))
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 @query("op2_ngram_jaccard", r"""
