@@ -80,8 +80,8 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, the token ids of the text, their number, and whether decoding them gives the text again."""
     _small_batches(spark)
     bpe = byte_bpe(spark)
-    out = bpe_encode(docs.select("doc_id", "text"), bpe)
-    same = bpe.decode("ids") == F.encode(F.coalesce("text", F.lit("")), "UTF-8")
+    out = bpe_encode(docs.select("doc_id", "text"), bpe, decoded_col="decoded")
+    same = F.col("decoded") == F.encode(F.coalesce("text", F.lit("")), "UTF-8")
     return out.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), same.alias("round_trip"))
 
 
