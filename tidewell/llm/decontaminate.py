@@ -167,59 +167,40 @@ def find_contamination(docs: DataFrame, items: DataFrame, *keep: Column, id_col:
     items = items.select(F.coalesce(F.col(item_id_col).cast("string"), F.lit("")).alias("id"), F.col(item_text_col).alias("text"))
     size = items.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
     blocks = max(1, -(-size // BLOCK_BYTES))
-    d = docs.select(F.struct(F.col(id_col).alias("doc_id"), *keep).alias("kept"), F.col(text_col).alias("_text"),
-                    F.lit(None).cast("binary").alias("_hit"), F.lit(None).cast("array<string>").alias("_items"))
-    schema = to_arrow_schema(d.schema)
+    d = docs.select(F.struct(F.col(id_col).alias("doc_id"), *keep).alias("kept"), F.col(text_col).alias("_text"))
+    shared = []
     for k in range(blocks):
         part = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == k) if blocks > 1 else items
         rows = part.dropDuplicates().collect()
         if rows:
-            block = Block([r["id"] for r in rows], [r["text"] for r in rows], window)
-            d = d.mapInArrow(_pass(spark.sparkContext.broadcast(block), schema), d.schema)
-    out_type = T.StructType([f for f in d.schema.fields if not f.name.startswith("_")] + [
-        T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()),
+            shared.append(spark.sparkContext.broadcast(Block([r["id"] for r in rows], [r["text"] for r in rows], window)))
+    out_type = T.StructType([
+        d.schema["kept"], T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()),
         T.StructField("item_ids", T.ArrayType(T.StringType())), T.StructField("clean_text", T.StringType()),
         T.StructField("exceeds", T.BooleanType())])
-    out = d.mapInArrow(_finish(to_arrow_schema(out_type), min_span, max_coverage), out_type)
+    out = d.mapInArrow(_cut(shared, to_arrow_schema(out_type), min_span, max_coverage), out_type)
     return out.select("kept.*", *out_type.names[1:])
 
 
-def _hits(batch: pa.RecordBatch, first: np.ndarray) -> np.ndarray:
-    """Hit words of all texts from their bit strings (null: none)."""
-    hit = np.zeros(int(first[-1]), bool)
-    for i, bits in enumerate(batch.column("_hit").to_pylist()):
-        if bits:
-            hit[first[i]:first[i + 1]] = np.unpackbits(np.frombuffer(bits, np.uint8), count=first[i + 1] - first[i])
-    return hit
+def _match(shared: list, b: Batch) -> tuple[np.ndarray, dict[int, set[str]]]:
+    """(whether each word is hit in any block, ids of the items of each text that has any)."""
+    hit, ids = np.zeros(len(b.starts), bool), {}
+    h = b.hashes() if shared else None
+    for one in shared:
+        block = one.value
+        more, items = block.match(b, h)
+        hit |= more
+        for i, found in items.items():
+            ids.setdefault(i, set()).update(block.automaton.ids[x] for x in found)
+    return hit, ids
 
 
-def _pass(shared, schema: pa.Schema):
-    """Adds one block's hits and items to the rows."""
+def _cut(shared: list, schema: pa.Schema, min_span: int, max_coverage: float):
+    """Counts, items and the texts without their hit runs: one pass, one Python worker a task, for all blocks."""
     def run(batches):
-        block = shared.value
         for batch in slices(batches, "_text"):
             b = Batch(batch.column("_text"), ALNUM_WORDS, lower=True)
-            hit, items = block.match(b, b.hashes())
-            if items:
-                hit |= _hits(batch, b.first)
-                ids = block.automaton.ids
-                bits, named = batch.column("_hit").to_pylist(), batch.column("_items").to_pylist()
-                for i, found in items.items():
-                    bits[i] = np.packbits(hit[b.first[i]:b.first[i + 1]]).tobytes()
-                    named[i] = sorted({*(named[i] or ()), *(ids[x] for x in found)})
-                columns = [{"_hit": pa.array(bits, pa.binary()), "_items": pa.array(named, pa.list_(pa.string()))}.get(f.name)
-                           or batch.column(k) for k, f in enumerate(batch.schema)]
-                batch = pa.RecordBatch.from_arrays(columns, schema=schema)
-            yield batch
-    return run
-
-
-def _finish(schema: pa.Schema, min_span: int, max_coverage: float):
-    """Counts, and the texts without their hit runs."""
-    def run(batches):
-        for batch in slices(batches, "_text"):
-            b = Batch(batch.column("_text"), ALNUM_WORDS, lower=True)
-            hit = _hits(batch, b.first)
+            hit, ids = _match(shared, b)
             n_words = b.n_words
             n_hit = np.diff(np.r_[0, np.cumsum(hit)][b.first])
             text = batch.column("_text")
@@ -235,11 +216,8 @@ def _finish(schema: pa.Schema, min_span: int, max_coverage: float):
                             at = b.ends[e - 1] - b.off[i]
                     text[i] = b"".join([*out, raw[at:]]).decode()
                 text = pa.array(text, pa.string())
-            items = batch.column("_items")
-            if items.null_count:
-                items = pa.array([x or [] for x in items.to_pylist()], pa.list_(pa.string()))
-            kept = [batch.column(k) for k, f in enumerate(batch.schema) if not f.name.startswith("_")]
+            items = pa.array([sorted(ids.get(i, ())) for i in range(batch.num_rows)], pa.list_(pa.string()))
             yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(n_words.astype(np.int64)), pa.array(n_hit.astype(np.int64)), items, text.cast(pa.string()),
-                 pa.array(n_hit > max_coverage * n_words)], schema=schema)
+                [batch.column("kept"), pa.array(n_words.astype(np.int64)), pa.array(n_hit.astype(np.int64)), items,
+                 text.cast(pa.string()), pa.array(n_hit > max_coverage * n_words)], schema=schema)
     return run
