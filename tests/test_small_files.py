@@ -105,3 +105,24 @@ def test_other_files_are_not_scanned(spark):
     small = sum(2 * os.path.getsize(f) < TARGET for f in _files(path))
     scans = plan.collectLeaves()
     assert scans.apply(0).selectedPartitions().totalNumberOfFiles() == small < len(_files(path))
+
+
+def test_a_task_writes_one_group_without_sorting_it(spark, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+    path, key, held = scratch_path(spark, "small-tasks"), "spark.sql.maxConcurrentOutputFileWriters", {}
+    _write(spark, path, 20000, 60)
+    rows, parquet, finish, was = _rows(spark, path), DataFrameWriter.parquet, L._finish_packing, spark.conf.get(key, "0")
+
+    def write(self, p, *a, **k):
+        held[p.rsplit("/", 1)[-1]] = spark.conf.get(key, "0")
+        return parquet(self, p, *a, **k)
+    monkeypatch.setattr(DataFrameWriter, "parquet", write)
+    monkeypatch.setattr(L, "_finish_packing", lambda s, p: (0, 0))     # the new files stay where they were written
+    L.pack_small_files(spark, path, TARGET)
+    parts = glob.glob(f"{path}/{L.PACKING}/rows/*/part-*")
+    tasks = sorted(int(os.path.basename(p).split("-")[1]) for p in parts)
+    assert len(tasks) > 8 and tasks == list(range(len(tasks)))
+    assert held["rows"] != "0" and held["plan"] == was == spark.conf.get(key, "0")
+    monkeypatch.setattr(L, "_finish_packing", finish)
+    L.pack_small_files(spark, path, TARGET)
+    assert _rows(spark, path) == rows

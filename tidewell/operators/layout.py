@@ -3,7 +3,8 @@ partition expiry."""
 
 from __future__ import annotations
 
-from typing import Sequence
+from contextlib import contextmanager
+from typing import Iterator, Sequence
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -259,13 +260,40 @@ def pack_small_files(spark: SparkSession, path: str, file_bytes: int = FILE_BYTE
     small = data.filter(_weight(F.col("_metadata.file_size"), F.col("_metadata.file_name")) * 2 < file_bytes)
     of = plan.select(F.col("scanned").alias(f"{PACK}_file"), F.col("group").alias(PACK))
     rows = small.withColumn(f"{PACK}_file", F.col("_metadata.file_path")).join(of, f"{PACK}_file").drop(f"{PACK}_file")
-    # one folder and file a group, none of which weighs more than one and a half wanted files
-    (rows.repartition(groups, PACK).write.option("maxRecordsPerFile", 0).partitionBy(PACK).parquet(f"{work}/rows"))
+    # one task, folder and file a group, none of which weighs more than one and a half wanted files
+    dealt = rows.join(_numbered(plan), PACK).repartitionById(groups, f"{PACK}_nr").drop(f"{PACK}_nr")
+    with _unsorted_writes(spark):
+        dealt.write.option("maxRecordsPerFile", 0).partitionBy(PACK).parquet(f"{work}/rows")
     spark.range(1).coalesce(1).write.parquet(f"{work}/done")
     went, came = _finish_packing(spark, path)
     return moved[0] + went, moved[1] + came
 
 
+def _numbered(plan: DataFrame) -> DataFrame:
+    """The groups of a plan numbered from 0 without gaps: places within slices plus the sizes of the slices before."""
+    groups = plan.select(F.col("group").alias(PACK)).distinct().withColumn("slice", F.pmod(F.xxhash64(PACK), F.lit(LIST_SLICES)))
+    before = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    # one row a slice
+    offsets = groups.groupBy("slice").agg(F.count(F.lit(1)).alias("n")).select(
+        "slice", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    place = F.row_number().over(Window.partitionBy("slice").orderBy(PACK)) - 1
+    return groups.withColumn("place", place).join(offsets, "slice").select(
+        PACK, (F.col("place") + F.col("offset")).cast("int").alias(f"{PACK}_nr"))
+
+
+@contextmanager
+def _unsorted_writes(spark: SparkSession) -> Iterator[None]:
+    """Partitioned writes keep a file open for each value in a task, where else a task first sorts all its rows by it:
+    for rows dealt so that a task has one value."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    was = spark.conf.get(key, "0")
+    spark.conf.set(key, "2")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, was)
+
+
 def _has_files(spark: SparkSession, path: str) -> bool:
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
     return path_exists(spark, path) and bool(listed.load(path).select("path").head(1))
