@@ -83,3 +83,22 @@ def test_rank_key_of_odd_columns(spark):
     assert empty.select(L.rank_zorder_key(empty, ["x", "s t"])).count() == 0
     ordered = spark.range(1000).select(L.rank_zorder_key(spark.range(1000), ["id"]).alias("k"), "id")
     assert [r["id"] for r in ordered.orderBy("k", "id").collect()] == list(range(1000))
+
+
+@pytest.mark.parametrize("cols, by", [(["id"], "linear"), (["id", "s"], "linear"), (["id", "s"], "rank")])
+def test_rows_of_a_file_are_bounded_in_memory(spark, monkeypatch, cols, by):
+    # rows that compress to nearly nothing: by file sizes alone all of them would be one sort
+    df = spark.range(20000).select("id", F.lit("x" * 100).alias("s"))
+    monkeypatch.setattr(L, "SORT_BYTES", 400_000)
+    path = scratch_path(spark, "bounded")
+    L.layout_rewrite(df, path, cols, by=by)
+    out = spark.read.parquet(path)
+    assert out.exceptAll(df).count() == 0 and out.count() == 20000
+    sizes = [r["count"] for r in out.groupBy(F.col("_metadata.file_path")).count().collect()]
+    assert len(sizes) >= 8 and max(sizes) <= 20000 / 4
+
+
+def test_sort_bytes_of_odd_columns(spark):
+    df = spark.createDataFrame([(1, None, [1, 2], {"a": "b"}, b"xyz"), (None, "é" * 1000, None, {}, None)],
+                               "n int, `s t.u` string, a array<int>, m map<string,string>, b binary")
+    assert 2000 < L.sort_bytes(df) < 3000 and L.sort_bytes(df.limit(0)) == 0

@@ -14,6 +14,7 @@ from tidewell.session import list_names, move_path, path_exists, remove_path
 
 KEY_BITS = 63              # the interleaved key is a non-negative long
 FILE_BYTES = 256 << 20     # wanted size of an output file
+SORT_BYTES = 512 << 20     # rows of one file as they lie in memory, where its task sorts them
 
 
 def _as_number(c: str, dtype: T.DataType) -> Column:
@@ -120,12 +121,13 @@ def layout_rewrite(df: DataFrame, path: str, cols: Sequence[str], files: int | N
     covers a narrow band of the clustering columns.
 
     ``files`` is the number of output files; by default it follows the estimated size
-    of ``df``, which is exact for stored tables.  With several columns ``by`` chooses the interleaved key:
+    of ``df``, which is exact for stored tables, and the size of its rows in memory: a task sorts the rows
+    of one file, and files of rows that compress well hold many.  With several columns ``by`` chooses the interleaved key:
     ``"linear"`` (scaled between minimum and maximum) or ``"rank"`` (quantile ranks, for skewed columns and strings).  The range key carries a
     hash of the whole row after the clustering key, so a single key value holding
     a large share of all rows spans several contiguous files instead of one task.
     """
-    files = files or max(1, -(-input_bytes(df) // FILE_BYTES))
+    files = files or max(1, -(-input_bytes(df) // FILE_BYTES), -(-sort_bytes(df) // SORT_BYTES))
     tiebreak = F.xxhash64(*[F.col(c) for c in df.columns]).alias("_tb")
     if len(cols) == 1:
         key = F.col(cols[0])
@@ -144,6 +146,18 @@ def input_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def sort_bytes(df: DataFrame) -> int:
+    """About the bytes that the rows of a DataFrame take in memory while they are sorted: one aggregate of the row count
+    and of the lengths of values without a fixed width (nested values by the length of their text)."""
+    fixed = 8 * (len(df.columns) + 2) + 8 * (len(df.columns) // 64 + 1) + 32     # slots, null bits, the sorter's pointers
+    plain = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    loose = [F.col(_quoted(f.name)) if isinstance(f.dataType, (T.StringType, T.BinaryType)) else F.col(_quoted(f.name)).cast("string")
+             for f in df.schema.fields if not isinstance(f.dataType, plain)]
+    sums = [F.sum(F.octet_length(c).cast("long") + 8) for c in loose]
+    n, *lengths = df.agg(F.count(F.lit(1)), *sums).first()
+    return n * fixed + sum(x or 0 for x in lengths)
+
+
 def _partition_spec(text: str) -> dict[str, str]:
     """``a=1/b=2`` as a dict; values are unescaped as the catalog escaped them."""
     return {k: unquote(v) for k, v in (p.split("=", 1) for p in text.split("/"))}
