@@ -154,3 +154,17 @@ def test_pipeline_runs_twice_on_one_root(spark):
     twice = P.medallion_daily(spark, SF_SMALL, root, "order_timestamp >= TIMESTAMP '1998-01-01'")
     cols = ["customer_id", "f_name", "order_date", "books_counts"]
     assert rows(twice, *cols) == rows(P.medallion_daily(spark, SF_SMALL), *cols)
+
+
+def test_the_envelope_lands_compressed_in_bounded_files(spark, monkeypatch):
+    from tidewell.plans import stream_queries as S
+    from tidewell.sources import shapes
+    monkeypatch.setitem(S.LANDED, "maxRecordsPerFile", 500)
+    feed = shapes.bronze_envelope(spark, SF_SMALL)
+    path = S.land_envelope(spark, SF_SMALL)
+    landed = spark.read.schema(shapes.ENVELOPE_DDL).json(path)
+    assert landed.count() == feed.count() and landed.exceptAll(feed).count() == 0
+    assert max(r["count"] for r in landed.groupBy(F.col("_metadata.file_path")).count().collect()) <= 500
+    stored = sum(f.length for f in spark.read.format("binaryFile").load(path).select("length").collect())
+    text = feed.select(F.sum(F.octet_length(F.to_json(F.struct(*feed.columns))))).first()[0]
+    assert 2 * stored < text

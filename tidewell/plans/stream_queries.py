@@ -264,9 +264,15 @@ def q_stream_stream_join(spark, d):
 # ---------------------------------------------------------------------------- multiplex bronze
 
 
+# The envelope carries each value as Base64 in JSON text, several times its size: it lands compressed.  Tasks cannot
+# share a compressed file, so its rows are bounded.
+LANDED = {"compression": "gzip", "maxRecordsPerFile": 200_000}
+BRONZE = {"partition_by": ["topic", "year_month"], "compression": "zstd"}
+
+
 def land_envelope(spark, d, path: str | None = None, where: str | None = None) -> str:
     feed = shapes.bronze_envelope(spark, d)
-    return land_files(feed.filter(where) if where else feed, "json", "landing-kafka", path=path)
+    return land_files(feed.filter(where) if where else feed, "json", "landing-kafka", path=path, **LANDED)
 
 
 def bronze_stream(spark, landing: str):
@@ -278,8 +284,7 @@ def bronze_stream(spark, landing: str):
 
 def build_bronze(spark, d) -> str:
     out = scratch_path(spark, "bronze")
-    run_available_now(bronze_stream(spark, land_envelope(spark, d)), "bronze", path=out,
-                      partition_by=["topic", "year_month"])
+    run_available_now(bronze_stream(spark, land_envelope(spark, d)), "bronze", path=out, **BRONZE)
     return out
 
 

@@ -42,8 +42,9 @@ def land_files(df: DataFrame, fmt: str, name: str, chunks: Sequence[Column] | No
 def run_available_now(sdf: DataFrame, name: str, *, path: str | None = None, fmt: str = "parquet",
                       output_mode: str = "append", partition_by: Sequence[str] | None = None,
                       foreach_batch: Callable[[DataFrame, int], None] | None = None,
-                      checkpoint: str | None = None, trigger: str | None = "available_now") -> str:
+                      checkpoint: str | None = None, trigger: str | None = "available_now", **options) -> str:
     """Run a streaming DataFrame to the end of the available input; return the output path.
+    ``options`` are those of the file sink.
 
     ``trigger``: ``"available_now"`` (default), ``"once"``, a processing-time
     interval such as ``"5 seconds"``, or ``None`` for Spark's default trigger.
@@ -64,6 +65,8 @@ def run_available_now(sdf: DataFrame, name: str, *, path: str | None = None, fmt
         path = path or scratch_path(spark, name)
         if partition_by:
             w = w.partitionBy(*partition_by)
+        for k, v in options.items():
+            w = w.option(k, v)
         q = w.format(fmt).start(path)
     if finite:
         q.awaitTermination()  # however long the input takes
