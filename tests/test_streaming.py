@@ -168,3 +168,16 @@ def test_the_envelope_lands_compressed_in_bounded_files(spark, monkeypatch):
     stored = sum(f.length for f in spark.read.format("binaryFile").load(path).select("length").collect())
     text = feed.select(F.sum(F.octet_length(F.to_json(F.struct(*feed.columns))))).first()[0]
     assert 2 * stored < text
+
+
+def test_states_and_bronze_are_stored_small(spark):
+    import glob
+    import pyarrow.parquet as pq
+    from tidewell.plans import stream_queries as S
+    table = VersionedTable(spark, scratch_path(spark, "small-state"), ["id"])
+    table.create(spark.range(3).withColumn("v", F.lit("a")))
+    table.commit(1, spark.range(5).withColumn("v", F.lit("b")), lambda cur, src: merge_insert_only(cur, src, ["id"]))
+    for path in (table.path + "/state", table.path + "/changes", S.build_bronze(spark, SF_SMALL)):
+        files = glob.glob(f"{path}/**/part-*.parquet", recursive=True)
+        assert files and {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files} == {"ZSTD"}
+    assert rows(table.read()) == [(0, "a"), (1, "a"), (2, "a"), (3, "b"), (4, "b")]

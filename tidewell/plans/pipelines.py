@@ -195,12 +195,12 @@ def full_pipeline(spark: SparkSession, sf_dir: str, root: str | None = None,
 
     ``where`` (over the envelope columns) chooses what this run lands; with the same ``root``
     the next run goes on from there."""
-    from tidewell.plans.stream_queries import ORDER_VALUE_DDL, bronze_stream, demux, land_envelope
+    from tidewell.plans.stream_queries import BRONZE, ORDER_VALUE_DDL, bronze_stream, demux, land_envelope
     ws = Workspace.new(spark, "full", root)
     lookup = shapes.country_lookup(spark, sf_dir)
     # task 1-2: land and ingest the multiplex feed into bronze, partitioned by topic and month
     landing = land_envelope(spark, sf_dir, ws.path("landing"), where)
-    ws.run(bronze_stream(spark, landing), "bronze", partition_by=["topic", "year_month"])
+    ws.run(bronze_stream(spark, landing), "bronze", **BRONZE)
     bronze = lambda: ws.stream("bronze")
     landed = spark.read.parquet(ws.path("bronze"))
 

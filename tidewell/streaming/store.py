@@ -50,6 +50,7 @@ KIND = "_tw_is_state"
 
 
 BUCKET_BYTES = 128 << 20
+CODEC = "zstd"      # of state and change rows
 
 
 class VersionedTable:
@@ -215,9 +216,9 @@ class VersionedTable:
         # adaptive execution splits a bucket holding a hot key into advisory-size
         # partitions instead of writing it from one task
         folder = f"{self.path}/state/{V}={version}"
-        st.hint("rebalance", B).write.mode("overwrite").partitionBy(B).parquet(folder)
+        st.hint("rebalance", B).write.mode("overwrite").partitionBy(B).parquet(folder, compression=CODEC)
         if both is not None:
-            ch.write.mode("overwrite").parquet(f"{self.path}/pending/{CV}={version}")
+            ch.write.mode("overwrite").parquet(f"{self.path}/pending/{CV}={version}", compression=CODEC)
             both.unpersist()
         # a bucket without rows has no folder and no entry
         written = [int(n.split("=")[1]) for n in list_names(self.spark, folder) if n.startswith(f"{B}=")]
