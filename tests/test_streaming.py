@@ -179,5 +179,6 @@ def test_states_and_bronze_are_stored_small(spark):
     table.commit(1, spark.range(5).withColumn("v", F.lit("b")), lambda cur, src: merge_insert_only(cur, src, ["id"]))
     for path in (table.path + "/state", table.path + "/changes", S.build_bronze(spark, SF_SMALL)):
         files = glob.glob(f"{path}/**/part-*.parquet", recursive=True)
-        assert files and {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files} == {"ZSTD"}
+        groups = [m.row_group(0) for m in map(pq.read_metadata, files) if m.num_rows]    # a file may be empty
+        assert {g.column(0).compression for g in groups} == {"ZSTD"}
     assert rows(table.read()) == [(0, "a"), (1, "a"), (2, "a"), (3, "b"), (4, "b")]
